@@ -1,0 +1,224 @@
+"""Every analytic as a named query over a folder of test tables.
+
+Results are put in a form that does not depend on an engine's number and time types: doubles at
+six places, decimals as doubles, dates and times as ISO text.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tickloom.operators import quality, windows
+from tickloom.operators.rollup import daily_rollup
+from tickloom.plans import daily, layers, monitor, price, sector
+from tickloom.plans.staging import rows_with_id, staging, union_all
+from tickloom.schemas import MOVING_AVERAGES, RAW_TICKS, SECTOR_PERFORMANCE
+from tickloom.session import scratch_dir, stored
+from tickloom.sources import events as ev
+from tickloom.sources.messages import TICK_COLUMNS, decode_ticks, encode_ticks
+from tickloom.sources.quotes import attach_sector, normalise_quotes
+from tickloom.streaming import runner, sinks
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def flagship(spark: SparkSession, folder: str) -> DataFrame:
+    """Price analytics per symbol and day, in its own types."""
+    return price.price_analytics(_metrics(spark, folder))
+
+
+def queries() -> dict[str, Query]:
+    return {
+        "staging": lambda s, d: present(_ticks(s, d)),
+        "daily_metrics": lambda s, d: present(daily.daily_metrics(_ticks(s, d))),
+        "open_close": lambda s, d: present(daily.open_close(_ticks(s, d))),
+        "daily_volatility": lambda s, d: present(daily.daily_volatility(_ticks(s, d))),
+        "daily_return": lambda s, d: present(daily.daily_return(_ticks(s, d))),
+        "stock_metrics": lambda s, d: present(_metrics(s, d)),
+        "stock_metrics_per_tick": lambda s, d: present(
+            daily.stock_metrics(_ticks(s, d), per_tick=True)
+        ),
+        "sector_daily": lambda s, d: present(sector.sector_daily(_ticks(s, d))),
+        "sector_volatility": lambda s, d: present(sector.sector_volatility(_rollup(s, d))),
+        "sector_volatility_per_tick": lambda s, d: present(
+            sector.sector_volatility(_rollup(s, d), per_tick=True)
+        ),
+        "sector_analysis": lambda s, d: present(sector.sector_analysis(_rollup(s, d))),
+        "sector_analysis_per_tick": lambda s, d: present(
+            sector.sector_analysis(_rollup(s, d), per_tick=True)
+        ),
+        "moving_averages": lambda s, d: present(price.moving_averages(_metrics(s, d))),
+        "momentum": lambda s, d: present(price.momentum(_metrics(s, d))),
+        "trend_signal": lambda s, d: present(price.trend_signal(_metrics(s, d))),
+        "price_analytics": lambda s, d: present(flagship(s, d)),
+        "price_analytics_per_tick": _price_analytics_per_tick,
+        "window_avg_5min": lambda s, d: present(windows.window_averages(_ticks(s, d), "5min")),
+        "window_avg_15min": lambda s, d: present(windows.window_averages(_ticks(s, d), "15min")),
+        "window_avg_30min": lambda s, d: present(windows.window_averages(_ticks(s, d), "30min")),
+        "window_avg_union": lambda s, d: present(windows.moving_averages(_ticks(s, d))),
+        "sector_window_15min": lambda s, d: present(windows.sector_windows(_ticks(s, d))),
+        "stream_vs_batch": _stream_vs_batch,
+        "stream_stats": lambda s, d: present(
+            monitor.stream_stats(ev.stored_averages(_ticks(s, d)))
+        ),
+        "batch_run_stats": lambda s, d: present(
+            monitor.batch_run_stats(ev.run_log(ev.events(s, d)))
+        ),
+        "data_volume": lambda s, d: present(monitor.data_volume(_metrics(s, d))),
+        "data_volume_per_tick": lambda s, d: present(
+            monitor.data_volume(daily.counted_metrics(_ticks(s, d)), per_tick=True)
+        ),
+        "quote_normalise": lambda s, d: present(
+            normalise_quotes(ev.quote_responses(ev.events(s, d))).drop("sector")
+        ),
+        "sector_lookup": _sector_lookup,
+        "tick_decode": lambda s, d: present(
+            decode_ticks(ev.tick_messages(ev.events(s, d)))
+            .where(F.col("symbol").isNotNull()).select(*TICK_COLUMNS)
+        ),
+        "tick_encode": lambda s, d: encode_ticks(ev.wire_ticks(ev.events(s, d))),
+        "literal_rows": lambda s, d: present(_literal_rows(s, d)),
+        "literal_filter": lambda s, d: present(rows_with_id(_literal_rows(s, d), 1)),
+        "check_not_null": lambda s, d: present(
+            quality.check_not_null(price.momentum(_metrics(s, d)), "momentum_5_day")
+            .select("symbol", "trade_date")
+        ),
+        "check_unique": lambda s, d: present(quality.check_unique(_ticks(s, d), "symbol")),
+        "sink_accept": lambda s, d: present(
+            quality.accepted(_judged(s, d), RAW_TICKS)
+        ),
+        "sink_reject": _sink_reject,
+        "raw_ingest": _raw_ingest,
+        "raw_ingest_rejects": _raw_ingest_rejects,
+        "stream_moving_averages": _stream_moving_averages,
+        "stream_sector_performance": _stream_sector_performance,
+        "stored_layers": _stored_layers,
+    }
+
+
+def present(df: DataFrame) -> DataFrame:
+    return df.select(*[_plain(f).alias(f.name) for f in df.schema.fields])
+
+
+def _plain(field: T.StructField) -> Column:
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.DecimalType):
+        return column.cast("bigint") if field.dataType.scale == 0 else column.cast("double")
+    if isinstance(field.dataType, T.DoubleType):
+        # By way of nine places, so that noise in the last bits does not decide a tie.
+        return F.round(F.round(column, 9), 6)
+    if isinstance(field.dataType, T.DateType):
+        return column.cast("string")
+    if isinstance(field.dataType, T.TimestampType):
+        return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return column
+
+
+def _ticks(spark: SparkSession, folder: str) -> DataFrame:
+    return staging(ev.raw_ticks(ev.events(spark, folder)))
+
+
+def _metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return daily.stock_metrics(_ticks(spark, folder))
+
+
+def _rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """The sector model uses the rollup several times, so it is stored: one pass over the ticks."""
+    return stored(daily_rollup(_ticks(spark, folder)), "daily-rollup")
+
+
+def _price_analytics_per_tick(spark: SparkSession, folder: str) -> DataFrame:
+    rows = price.price_analytics_per_tick(daily.counted_metrics(_ticks(spark, folder)))
+    return present(
+        present(rows).groupBy(*price.COLUMNS).agg(F.sum("copies").alias("copies"))
+    )
+
+
+def _stream_vs_batch(spark: SparkSession, folder: str) -> DataFrame:
+    ticks = _ticks(spark, folder)
+    averages = ev.stored_averages(ticks)
+    return present(monitor.stream_vs_batch(averages, daily.stock_metrics(ticks)))
+
+
+def _sector_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    found = attach_sector(_ticks(spark, folder), ev.supplier_regions(spark, folder))
+    return present(found.select("id", "symbol", "price", "sector"))
+
+
+def _literal_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """A row with id 1 and a row with a null id for every tick."""
+    symbols = _ticks(spark, folder).select("symbol")
+    return union_all(
+        symbols.select("symbol", F.lit(1.0).alias("id")),
+        symbols.select("symbol", F.lit(None).cast("double").alias("id")),
+    )
+
+
+def _judged(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.apply_contract(ev.dirty_ticks(ev.events(spark, folder)), RAW_TICKS)
+
+
+def _rejects(rows: DataFrame) -> DataFrame:
+    symbol = F.get_json_object("rejected_row", "$.symbol")
+    return rows.select("reject_reason", symbol.alias("symbol"))
+
+
+def _sink_reject(spark: SparkSession, folder: str) -> DataFrame:
+    return _rejects(quality.rejected(_judged(spark, folder)))
+
+
+def _ingest(spark: SparkSession, folder: str) -> str:
+    path = scratch_dir(spark, "raw-ticks")
+    ticks = decode_ticks(ev.tick_messages(ev.event_stream(spark, folder)))
+    runner.start_raw_ingest(
+        ticks, path, scratch_dir(spark, "raw-ticks-progress"), available_now=True
+    ).awaitTermination()
+    return path
+
+
+def _raw_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sinks.stored_rows(spark, _ingest(spark, folder), RAW_TICKS)
+    return present(rows.select(*RAW_TICKS.columns))
+
+
+def _raw_ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sinks.rejected_rows(spark, _ingest(spark, folder), RAW_TICKS)
+    message = F.get_json_object("rejected_row", "$.message")
+    return rows.select("reject_reason", message.alias("message"))
+
+
+def _stream_moving_averages(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_dir(spark, "moving-averages")
+    ticks = staging(ev.wire_ticks(ev.event_stream(spark, folder)))
+    runner.start_moving_averages(
+        ticks, path, scratch_dir(spark, "moving-averages-progress"), available_now=True
+    ).awaitTermination()
+    rows = sinks.stored_rows(spark, path, MOVING_AVERAGES)
+    return present(rows.select(*MOVING_AVERAGES.columns))
+
+
+def _stream_sector_performance(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_dir(spark, "sector-performance")
+    ticks = staging(ev.wire_ticks(ev.event_stream(spark, folder)))
+    runner.start_sector_performance(
+        ticks, path, scratch_dir(spark, "sector-performance-progress"), available_now=True
+    ).awaitTermination()
+    rows = sinks.stored_rows(spark, path, SECTOR_PERFORMANCE)
+    return present(rows.select(*SECTOR_PERFORMANCE.columns))
+
+
+def _stored_layers(spark: SparkSession, folder: str) -> DataFrame:
+    """Build and store all layers, then join the two end tables by symbol's sector and day."""
+    models = layers.build_layers(
+        ev.raw_ticks(ev.events(spark, folder)),
+        location=scratch_dir(spark, "layers"),
+        prefix="tickloom_",
+    )
+    prices = models["price_analytics"].select("symbol", "trade_date", "close_price", "trend_signal")
+    members = sector.symbol_sectors(models["daily_rollup"]).select("symbol", "sector")
+    ranks = models["sector_analysis"].select("sector", "trade_date", "performance_rank")
+    return present(prices.join(members, "symbol").join(ranks, ["sector", "trade_date"]))
