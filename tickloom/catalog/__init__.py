@@ -1,4 +1,4 @@
 from tickloom.catalog.oracles import oracle_sql
-from tickloom.catalog.queries import flagship, queries
+from tickloom.catalog.registry import flagship, queries
 
 __all__ = ["flagship", "oracle_sql", "queries"]

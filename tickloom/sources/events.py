@@ -35,20 +35,23 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_ticks(source: DataFrame) -> DataFrame:
     """Events as rows of the raw tick table."""
-    return wire_ticks(source).withColumns({
-        "price": F.col("price").cast(MONEY),
-        "change_percent": F.col("change_percent").cast(MONEY),
-    })
+    return _ticks(source, F.col("value").cast(MONEY)).withColumn(
+        "change_percent", F.col("change_percent").cast(MONEY)
+    )
 
 
 def wire_ticks(source: DataFrame, *carried: str) -> DataFrame:
     """Events as ticks in the types of the stream, then any event columns to carry along."""
+    return _ticks(source, F.round("value", 2), *carried)
+
+
+def _ticks(source: DataFrame, price: Column, *carried: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("bigint")
     at = F.col("ts").cast("timestamp")
     return source.select(
         F.col("event_id").alias("id"),
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
-        F.round("value", 2).alias("price"),
+        price.alias("price"),
         (k + 1).alias("volume"),
         ((k - 50) / F.lit(10.0)).alias("change_percent"),
         at.alias("timestamp"),
