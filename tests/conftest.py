@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SMALL = "/root/testdata/sf0.001"
+CHECKED = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    from tickloom.session import build_session
+
+    warehouse = tmp_path_factory.mktemp("warehouse")
+    session = build_session("tickloom-tests", master="local[8]", overrides={
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "6g",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
+        "spark.sql.warehouse.dir": str(warehouse),
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+    })
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+TICK_DDL = (
+    "id long, symbol string, price decimal(10,2), volume long, change_percent decimal(10,2), "
+    "timestamp timestamp, sector string"
+)
+
+
+@pytest.fixture
+def ticks(spark):
+    """Build ticks from (symbol, 'YYYY-MM-DD HH:MM:SS', price[, volume, change, sector, id])."""
+    from pyspark.sql import functions as F
+
+    def build(rows):
+        full = []
+        for number, row in enumerate(rows):
+            symbol, at, price, volume, change, sector, tick_id = (
+                *row, *(None, 1, 0.0, "S", number)[len(row) - 2:]
+            )
+            full.append((tick_id, symbol, _text(price), volume, _text(change), at, sector))
+        raw = spark.createDataFrame(
+            full, "id long, symbol string, price string, volume long, change_percent string, "
+                  "timestamp string, sector string"
+        )
+        return raw.select(
+            "id", "symbol", F.col("price").cast("decimal(10,2)"), "volume",
+            F.col("change_percent").cast("decimal(10,2)"),
+            F.col("timestamp").cast("timestamp"), "sector",
+        )
+
+    return build
+
+
+def _text(value):
+    return None if value is None else str(value)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def as_dicts(df, *order):
+    return [r.asDict() for r in df.orderBy(*order).collect()]

@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+
+from tests.conftest import as_dicts, plan_of
+from tickloom.plans import daily, price
+
+
+def days(ticks, closes, symbol="A", ticks_per_day=None):
+    rows = []
+    for d, close in enumerate(closes):
+        for t in range(ticks_per_day[d] if ticks_per_day else 1):
+            rows.append((symbol, f"2024-03-{d + 1:02d} 09:{t // 60:02d}:{t % 60:02d}", close))
+    return daily.counted_metrics(ticks(rows))
+
+
+def test_first_days(ticks):
+    rows = as_dicts(price.price_analytics(days(ticks, [10, 11, 12, 13, 14, 15])), "trade_date")
+    assert [r["momentum_5_day"] for r in rows[:5]] == [None] * 5
+    assert rows[5]["momentum_5_day"] == pytest.approx(50)
+    assert [r["trend_signal"] for r in rows[:5]] == ["Neutral"] * 5
+    assert rows[5]["trend_signal"] == "Bullish"
+    assert rows[0]["ma_5_day"] == 10
+    assert rows[5]["ma_5_day"] == pytest.approx(13)
+    assert rows[5]["ma_10_day"] == pytest.approx(12.5)
+
+
+def test_falling_prices_are_bearish(ticks):
+    rows = as_dicts(price.price_analytics(days(ticks, range(20, 10, -1))), "trade_date")
+    assert rows[-1]["trend_signal"] == "Bearish"
+
+
+def test_flat_price_is_neutral_in_spite_of_rounding(ticks):
+    rows = as_dicts(price.price_analytics(days(ticks, [10.1] * 25)), "trade_date")
+    assert {r["trend_signal"] for r in rows} == {"Neutral"}
+    assert rows[-1]["momentum_5_day"] == 0
+
+
+def test_frames_count_observed_days(ticks):
+    """A gap in the calendar does not shorten a frame."""
+    rows = ticks([("A", f"2024-0{m}-01 09:00:00", m) for m in range(1, 7)])
+    last = as_dicts(price.price_analytics(daily.stock_metrics(rows)), "trade_date")[-1]
+    assert last["ma_5_day"] == pytest.approx(4)
+    assert last["momentum_5_day"] == pytest.approx(500)
+
+
+def test_lagged_close_zero_gives_null(ticks):
+    rows = as_dicts(price.price_analytics(days(ticks, [0, 1, 1, 1, 1, 1])), "trade_date")
+    assert rows[5]["momentum_5_day"] is None
+
+
+def literal_per_tick(metrics):
+    """The three-way join over repeated rows, row by row."""
+    repeated = [m for m in metrics for _ in range(m["tick_count"])]
+    moving, lagged = {}, {}
+    for i, m in enumerate(repeated):
+        means = []
+        for n in (5, 10, 20):
+            frame = [r["avg_price"] for r in repeated[max(0, i - n + 1):i + 1]]
+            means.append(round(sum(frame) / len(frame), 6))
+        moving.setdefault(m["trade_date"], []).append(tuple(means))
+        old = repeated[i - 5]["close_price"] if i >= 5 else None
+        change = None if not old else round((m["close_price"] - old) / old * 100, 6)
+        lagged.setdefault(m["trade_date"], []).append(change)
+    rows = Counter()
+    for m in repeated:
+        for means in moving[m["trade_date"]]:
+            for change in lagged[m["trade_date"]]:
+                rows[(m["trade_date"], *means, change)] += 1
+    return rows
+
+
+@pytest.mark.parametrize("ticks_per_day", [
+    [1, 1, 1, 1, 1, 1, 1],
+    [3, 1, 7, 2, 25, 1, 1, 4, 6, 30, 1, 5, 20, 21, 19],
+    [40, 1, 40],
+])
+def test_per_tick_counts_equal_the_literal_join(ticks, ticks_per_day):
+    closes = [10 + (7 * d) % 11 for d in range(len(ticks_per_day))]
+    metrics = days(ticks, closes, ticks_per_day=ticks_per_day)
+    expected = literal_per_tick(as_dicts(metrics, "trade_date"))
+    got = Counter()
+    for r in price.price_analytics_per_tick(metrics).collect():
+        change = r["momentum_5_day"]
+        key = (r["trade_date"], *(round(r[c], 6) for c in ("ma_5_day", "ma_10_day", "ma_20_day")),
+               None if change is None else round(change, 6))
+        got[key] += int(r["copies"])
+    assert got == expected
+    assert sum(got.values()) == sum(n**3 for n in ticks_per_day)
+
+
+def test_per_tick_copies_of_a_huge_day_fit(spark):
+    schema = ("symbol string, trade_date date, avg_price double, open_price double, "
+              "close_price double, high_price double, low_price double, daily_volume long, "
+              "daily_volatility double, daily_return double, tick_count long")
+    n = 300_000_000_000
+    import datetime
+
+    rows = [("A", datetime.date(2024, 1, 1), 1.0, 1.0, 1.0, 1.0, 1.0, 1, 0.0, 0.0, n)]
+    result = price.price_analytics_per_tick(spark.createDataFrame(rows, schema)).collect()
+    assert len(result) == 20 * 6
+    assert sum(int(r["copies"]) for r in result) == n**3
+
+
+def test_one_window_serves_all_columns(spark):
+    from tests.conftest import SMALL
+    from tickloom.catalog import registry
+
+    plan = plan_of(registry.flagship(spark, SMALL))
+    assert plan.count("Window [") == 1
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange") == 2
+    assert "Join" not in plan

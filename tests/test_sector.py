@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import statistics
+
+import pytest
+
+from tests.conftest import as_dicts
+from tickloom.operators.rollup import daily_rollup
+from tickloom.plans import daily, sector
+
+
+def sample(ticks):
+    return ticks([
+        ("A", "2024-01-01 09:00:00", 10, 1, 1.0, "X"),
+        ("A", "2024-01-01 10:00:00", 12, 2, 2.0, "X"),
+        ("A", "2024-01-01 11:00:00", 11, 3, 3.0, "X"),
+        ("A", "2024-01-02 09:00:00", 11, 3, 3.0, "Y"),
+        ("B", "2024-01-01 09:00:00", 20, 4, 4.0, "X"),
+        ("B", "2024-01-01 10:00:00", 30, 4, 4.0, "X"),
+        ("B", "2024-01-02 10:00:00", 30, 4, -4.0, "X"),
+        ("C", "2024-01-01 10:00:00", 5, 4, 2.0, None),
+        ("D", "2024-01-01 10:00:00", 5, 4, None, "Z"),
+        ("D", "2024-01-01 11:00:00", 6, 4, None, "Z"),
+    ])
+
+
+def literal_volatility(rows):
+    """Repeated daily rows joined to all ticks on the symbol."""
+    metrics = {(r["symbol"], r["trade_date"]): r for r in as_dicts(daily.symbol_days(rows), "symbol")}
+    groups = {}
+    collected = rows.collect()
+    for r in collected:
+        day = metrics[r["symbol"], r["timestamp"].date()]
+        for s in collected:
+            if s["symbol"] == r["symbol"]:
+                groups.setdefault((s["sector"], day["trade_date"]), []).append(
+                    day["daily_volatility"])
+    return {k: statistics.stdev(v) if len(v) > 1 else None for k, v in groups.items()}
+
+
+def test_per_tick_volatility_equals_the_literal_join(ticks):
+    rows = sample(ticks)
+    expected = literal_volatility(rows)
+    got = {(r["sector"], r["trade_date"]): r["sector_volatility"]
+           for r in sector.sector_volatility(rows, per_tick=True).collect()}
+    assert got.keys() == expected.keys()
+    for key, value in expected.items():
+        assert got[key] == (None if value is None else pytest.approx(value, abs=1e-9)), key
+
+
+def test_one_symbol_sector(ticks):
+    rows = ticks([("A", "2024-01-01 09:00:00", 10), ("A", "2024-01-01 10:00:00", 12)])
+    alone, = as_dicts(sector.sector_volatility(rows), "sector")
+    weighted, = as_dicts(sector.sector_volatility(rows, per_tick=True), "sector")
+    assert alone["sector_volatility"] is None
+    assert weighted["sector_volatility"] == 0
+
+
+def test_default_counts_each_symbol_once(ticks):
+    result = {(r["sector"], str(r["trade_date"])): r["sector_volatility"]
+              for r in sector.sector_volatility(sample(ticks)).collect()}
+    a, b = 2 / 11 * 100, 10 / 25 * 100
+    assert result["X", "2024-01-01"] == pytest.approx(statistics.stdev([a, b]))
+
+
+def test_null_sector_is_kept_without_volatility(ticks):
+    row, = [r for r in sector.sector_analysis(sample(ticks), per_tick=True).collect()
+            if r["sector"] is None]
+    assert row["sector_avg_price"] == 5
+    assert row["sector_volatility"] is None
+
+
+def test_null_change_ranks_first_and_ties_leave_gaps(ticks):
+    at = "2024-01-01 09:00:00"
+    rows = ticks([("A", at, 1, 1, 5, "S1"), ("B", at, 1, 1, 5, "S2"), ("C", at, 1, 1, 3, "S3"),
+                  ("D", at, 1, 1, None, "S4")])
+    ranks = {r["sector"]: r["performance_rank"] for r in sector.sector_analysis(rows).collect()}
+    assert ranks == {"S4": 1, "S1": 2, "S2": 2, "S3": 4}
+
+
+@pytest.mark.parametrize("per_tick", [False, True])
+def test_rollup_gives_the_same_analysis(spark, ticks, per_tick):
+    rows = sample(ticks)
+    direct = as_dicts(sector.sector_analysis(rows, per_tick), "sector", "trade_date")
+    rolled = as_dicts(sector.sector_analysis(daily_rollup(rows), per_tick), "sector", "trade_date")
+    assert len(direct) == len(rolled)
+    for a, b in zip(direct, rolled):
+        for column, value in a.items():
+            same = pytest.approx(value) if isinstance(value, float) else value
+            assert b[column] == same
