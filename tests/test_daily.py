@@ -63,6 +63,29 @@ def test_order_key_holds_largest_ids_and_early_times(ticks):
     assert (row["open_price"], row["close_price"]) == (1, 2)
 
 
+def test_order_key_keeps_neighbouring_microseconds_apart(ticks):
+    """Stored ids are hashes, so they take any sign."""
+    rows = ticks([
+        ("A", "2024-01-01 09:00:00.000001", 1, 1, 0, "S", 2**63 - 1),
+        ("A", "2024-01-01 09:00:00.000002", 2, 1, 0, "S", -(2**63)),
+    ])
+    row, = as_dicts(daily.open_close(rows), "symbol")
+    assert (row["open_price"], row["close_price"]) == (1, 2)
+
+
+def test_symbol_filter_reaches_the_scan(spark, ticks, tmp_path):
+    from tickloom.plans import price
+
+    ticks([("A", "2024-01-01 09:00:00", 1), ("B", "2024-01-01 09:00:00", 1)]).write.parquet(
+        f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    result = price.price_analytics(daily.stock_metrics(stored)).where("symbol = 'A'")
+    plan = plan_of(result)
+    assert "EqualTo(symbol,A)" in plan
+    assert "sector" not in plan.split("ReadSchema")[1]
+    assert result.count() == 1
+
+
 def test_rollup_gives_the_same_days(ticks):
     rows = ticks([
         ("A", f"2024-01-0{1 + i % 3} {8 + i:02d}:00:00", 10 + i * 1.37, i, i / 7, f"S{i % 2}")

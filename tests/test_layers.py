@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+import pytest
+
+from tests.conftest import SMALL, plan_of
+from tickloom.plans import layers, price
+from tickloom.plans.daily import METRICS
+from tickloom.session import CLUSTER_DEFAULTS, pin_utc, scratch_dir, stored
+from tickloom.sources import events as ev
+
+
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    raw = ev.raw_ticks(ev.events(spark, SMALL))
+    folder = str(tmp_path_factory.mktemp("tables"))
+    return layers.build_layers(raw, location=folder, prefix="t_", buckets=4)
+
+
+def test_layers_are_a_view_and_tables(spark, built):
+    kinds = {t.name: t.tableType for t in spark.catalog.listTables() if t.name.startswith("t_")}
+    assert kinds.pop("t_staging") == "TEMPORARY"
+    assert set(kinds) == {"t_daily_rollup", "t_stock_metrics", "t_sector_analysis",
+                          "t_price_analytics"}
+    assert "TEMPORARY" not in kinds.values()
+    assert built["stock_metrics"].count() == built["price_analytics"].count() == 397
+    assert built["sector_analysis"].count() == 149
+
+
+def test_price_model_reads_the_bucketed_table_without_a_shuffle(spark, built):
+    plan = plan_of(price.price_analytics(spark.table("t_stock_metrics").select(*METRICS)))
+    assert "Exchange" not in plan
+    assert "Window" in plan
+
+
+def test_rebuild_replaces(spark, built, tmp_path):
+    raw = ev.raw_ticks(ev.events(spark, SMALL))
+    for _ in range(2):
+        models = layers.build_layers(raw, location=str(tmp_path), prefix="again_", buckets=2)
+    assert models["price_analytics"].count() == 397
+
+
+def test_scratch_follows_the_cluster_setting(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_dir(spark, "x").startswith(base)
+    assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+    df = stored(spark.range(5).selectExpr("id", "id * 2 as twice"), "pairs")
+    assert df.count() == 5
+    assert base in df.inputFiles()[0]
+
+
+def test_session(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    pin_utc(spark)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == (
+        CLUSTER_DEFAULTS["spark.sql.files.maxPartitionBytes"])

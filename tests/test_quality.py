@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tests.conftest import as_dicts, plan_of
+from tickloom.operators import quality
+from tickloom.operators.lookup import fits, lookup
+from tickloom.plans.staging import literal_rows, rows_with_id, union_all
+from tickloom.schemas import MARKET_ALERTS, MOVING_AVERAGES, RAW_TICKS, SECTOR_PERFORMANCE
+
+WIRE = ("symbol string, price double, volume long, change_percent double, timestamp timestamp, "
+        "sector string")
+
+
+def judge(spark, *rows):
+    df = spark.createDataFrame(rows, WIRE.replace("timestamp timestamp", "timestamp string"))
+    return quality.apply_contract(
+        df.withColumn("timestamp", F.col("timestamp").cast("timestamp")), RAW_TICKS)
+
+
+AT = "2024-01-01 09:00:00"
+
+
+def test_checks(spark):
+    rows = literal_rows(spark, [1, None, None, 2, 2])
+    assert quality.check_not_null(rows, "id").count() == 2
+    assert as_dicts(quality.check_unique(rows, "id"), "id") == [{"id": 2, "n_records": 2}]
+
+
+def test_literal_rows(spark):
+    rows = union_all(literal_rows(spark, [1]), literal_rows(spark, [None]))
+    assert [r["id"] for r in rows.collect()] == [1, None]
+    assert [r["id"] for r in rows_with_id(rows, 1).collect()] == [1]
+
+
+def test_accepts_rounded_half_away_from_zero(spark):
+    rows = quality.accepted(judge(
+        spark, ("A", 2.345, 1, -2.345, AT, None), ("ABCDEFGHIJ", 99999999.994, 1, None, AT, "S" * 50)
+    ), RAW_TICKS)
+    got = as_dicts(rows, "volume", "symbol")
+    assert [str(r["price"]) for r in got] == ["2.35", "99999999.99"]
+    assert str(got[0]["change_percent"]) == "-2.35"
+    assert rows.dtypes[1] == ("price", "decimal(10,2)")
+
+
+def test_rejects_name_every_broken_rule(spark):
+    rows = judge(
+        spark,
+        ("ABCDEFGHIJK", 1.0, 1, 1.0, AT, "S"),
+        ("A", 1e8, 1, 1.0, AT, "S"),
+        ("A", 99999999.995, 1, 1.0, AT, "S"),
+        ("A", float("nan"), 1, 1.0, AT, "S"),
+        ("A", 1.0, 1, 1e9, AT, "S"),
+        ("A", 1.0, 1, 1.0, AT, "S" * 51),
+        (None, None, None, None, None, None),
+    )
+    assert quality.accepted(rows, RAW_TICKS).count() == 0
+    reasons = sorted(r["reject_reason"] for r in quality.rejected(rows).collect())
+    assert reasons == sorted([
+        "symbol longer than 10", "price out of range", "price out of range", "price out of range",
+        "change_percent out of range", "sector longer than 50",
+        "symbol is null; price is null; volume is null; timestamp is null",
+    ])
+
+
+def test_rejected_row_is_kept_whole(spark):
+    row, = quality.rejected(judge(spark, ("A" * 11, 1e8, 5, None, AT, None))).collect()
+    assert '"price":1.0E8' in row["rejected_row"]
+    assert '"volume":5' in row["rejected_row"]
+    assert '"sector":null' in row["rejected_row"]
+
+
+def test_row_id_is_the_same_on_every_run(spark):
+    df = quality.accepted(judge(spark, ("A", 1.0, 1, None, AT, "S"), ("B", 1.0, 1, None, AT, "S")),
+                          RAW_TICKS)
+    first = as_dicts(quality.with_row_id(df, RAW_TICKS), "symbol")
+    again = as_dicts(quality.with_row_id(df.repartition(5), RAW_TICKS), "symbol")
+    assert first == again
+    assert first[0]["id"] != first[1]["id"]
+
+
+def test_contract_schemas():
+    assert MOVING_AVERAGES.schema().simpleString() == (
+        "struct<id:bigint,symbol:string,window_size:string,avg_price:decimal(10,2),"
+        "window_end_time:timestamp,processed_timestamp:timestamp>")
+    assert SECTOR_PERFORMANCE.columns == [
+        "sector", "avg_price", "total_volume", "avg_change_percent", "window_end_time"]
+    assert [f.name for f in MARKET_ALERTS.fields if f.required] == [
+        "symbol", "alert_type", "value", "threshold", "triggered_at"]
+
+
+def test_lookup_broadcasts_only_below_the_bound(spark):
+    facts = spark.range(1000).select(
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("K"), F.col("id") % 40))
+        .alias("symbol"), F.col("id").alias("volume"))
+    dimension = spark.createDataFrame(
+        [("HOT", "S")] + [(f"K{i}", f"S{i % 5}") for i in range(30)], "symbol string, sector string")
+    assert fits(dimension, 31) and not fits(dimension, 30)
+    small = lookup(facts, dimension, "symbol")
+    salted = lookup(facts, dimension, "symbol", broadcast_rows=30, salts=4)
+    assert "__salt" not in salted.columns
+    assert "__salt" not in plan_of(small) and "__salt" in plan_of(salted)
+    assert small.count() == 1000
+    assert small.exceptAll(salted.select(small.columns)).count() == 0
+    assert salted.where("sector is null").count() == small.where("sector is null").count() > 0

@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import functions as F
+
+from tests.conftest import SMALL, plan_of
+from tickloom.catalog import registry
+from tickloom.operators import windows
+from tickloom.plans import monitor
+
+
+def at(text):
+    return datetime.datetime.fromisoformat(text)
+
+
+def test_window_end_time_is_the_last_tick(ticks):
+    rows = ticks([("A", "2024-01-01 09:01:00", 1), ("A", "2024-01-01 09:04:59", 3),
+                  ("A", "2024-01-01 09:05:00", 9)])
+    found = windows.window_averages(rows, "5min", with_close=True).orderBy("window_close").collect()
+    naive = [(r["avg_price"], r["window_end_time"], r["window_close"]) for r in found]
+    assert naive == [
+        (2.0, at("2024-01-01 09:04:59"), at("2024-01-01 09:05:00")),
+        (9.0, at("2024-01-01 09:05:00"), at("2024-01-01 09:10:00")),
+    ]
+
+
+def test_single_pass_union_equals_the_three_windows(spark):
+    rows = registry._ticks(spark, SMALL)
+    single = windows.moving_averages(rows, with_close=True)
+    parts = windows.window_averages(rows, "5min", True)
+    for label in ("15min", "30min"):
+        parts = parts.unionByName(windows.window_averages(rows, label, True))
+    assert single.columns == parts.columns
+    assert single.exceptAll(parts).count() == parts.exceptAll(single).count() == 0
+
+
+def test_single_pass_union_before_1970_and_null_times(ticks):
+    rows = ticks([("A", "1969-12-31 23:58:00", 4), ("A", None, 1)])
+    closes = {r["window_size"]: r["window_close"]
+              for r in windows.moving_averages(rows, with_close=True).collect()}
+    assert set(closes.values()) == {at("1970-01-01 00:00:00")}
+    assert len(closes) == 3
+
+
+def test_union_plan_scans_and_shuffles_once(spark):
+    plan = plan_of(windows.moving_averages(registry._ticks(spark, SMALL)))
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange") == 1
+    assert "SortAggregate" not in plan
+
+
+def test_sector_window_keeps_null_change_apart(ticks):
+    rows = ticks([("A", "2024-01-01 09:01:00", 1, 10, None, "X"),
+                  ("B", "2024-01-01 09:14:00", 3, 20, 2.0, "X")])
+    row, = windows.sector_windows(rows).collect()
+    assert (row["avg_price"], row["total_volume"], row["avg_change_percent"]) == (2.0, 30, 2.0)
+
+
+def test_stream_vs_batch_by_hand(spark):
+    averages = spark.createDataFrame(
+        [("A", "30min", 11.0, at("2024-01-01 09:10:00")), ("A", "5min", 99.0, at("2024-01-01 09:10:00")),
+         ("Z", "30min", 5.0, at("2024-01-01 09:10:00")), ("N", "30min", 5.0, at("2024-01-01 09:10:00"))],
+        "symbol string, window_size string, avg_price double, window_end_time timestamp")
+    day = datetime.date(2024, 1, 1)
+    metrics = spark.createDataFrame(
+        [("A", day, 10.0), ("Z", day, 0.0), ("A", datetime.date(2024, 1, 2), 7.0)],
+        "symbol string, trade_date date, avg_price double")
+    rows = monitor.stream_vs_batch(averages, metrics).collect()
+    assert [(r["symbol"], r["price_difference"], r["percentage_difference"]) for r in rows] == [
+        ("Z", 5.0, None), ("A", 1.0, 10.0)]
+
+
+def test_stream_stats_and_run_stats_keep_fractions(spark):
+    averages = spark.createDataFrame(
+        [(at("2024-01-01 09:00:00.250000"), at("2024-01-01 09:00:01")),
+         (at("2024-01-01 09:00:00"), at("2024-01-01 09:00:00.250000"))],
+        "window_end_time timestamp, processed_timestamp timestamp")
+    row, = monitor.stream_stats(averages).collect()
+    assert (row["total_records"], row["avg_processing_delay_seconds"]) == (2, 0.5)
+    start = at("2024-01-01 09:00:00")
+    log = spark.createDataFrame(
+        [(start, start, at("2024-01-01 09:00:01.500000"), "m"),
+         (start, start, None, "open"), (start, start, at("2024-01-01 09:00:00.500000"), "m")],
+        "created_at timestamp, started_at timestamp, completed_at timestamp, model_name string")
+    rows = monitor.batch_run_stats(log).collect()
+    assert [r["model_name"] for r in rows] == ["open", "m"]
+    assert (rows[1]["avg_execution_time"], rows[1]["max_execution_time"]) == (1.0, 1.5)
+
+
+def test_sorted_results_are_sorted(spark):
+    rows = registry.queries()["stream_vs_batch"](spark, SMALL).select(
+        F.coalesce("percentage_difference", F.lit(float("inf"))).alias("p")).collect()
+    values = [r["p"] for r in rows]
+    assert values == sorted(values, reverse=True)

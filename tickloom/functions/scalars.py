@@ -39,13 +39,11 @@ def order_key(timestamp: Column | str, tick_id: Column | str) -> Column:
     """(timestamp, id) as one decimal(38,0).
 
     A struct would order the same but forces a sort-based aggregate; a decimal fits the hash
-    aggregate's fixed-width buffer. 19 digits hold any non-negative long id.
+    aggregate's fixed-width buffer. Ids of any sign fit between two microseconds, 2**64 apart.
     """
     micros = F.unix_micros(_c(timestamp)).cast("decimal(38,0)")
-    return (
-        micros * F.lit("10000000000000000000").cast("decimal(20,0)")
-        + F.coalesce(_c(tick_id), F.lit(0))
-    ).cast("decimal(38,0)")
+    step = F.lit(str(2**64)).cast("decimal(20,0)")
+    return (micros * step + F.coalesce(_c(tick_id), F.lit(0))).cast("decimal(38,0)")
 
 
 def text_to_double(text: Column | str) -> Column:

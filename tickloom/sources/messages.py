@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions import text_to_double
 from tickloom.schemas import TICK_MESSAGE
@@ -31,6 +32,26 @@ def topic_messages(spark: SparkSession, servers: str, topic: str = RAW_TOPIC,
     )
 
 
+def publish(messages: DataFrame, servers: str, topic: str = METRICS_TOPIC,
+            checkpoint: str | None = None) -> StreamingQuery | None:
+    """Send messages of `encode_rows` to a topic; a stream needs a checkpoint folder."""
+    if messages.isStreaming:
+        return (
+            messages.writeStream.format("kafka")
+            .option("kafka.bootstrap.servers", servers)
+            .option("topic", topic)
+            .option("checkpointLocation", checkpoint)
+            .start()
+        )
+    (
+        messages.write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .save()
+    )
+    return None
+
+
 def file_messages(spark: SparkSession, folder: str, glob: str = "*",
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Text files with one message per line as a stream, in the topic's shape."""

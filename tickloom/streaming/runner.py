@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickloom.operators.windows import moving_averages, sector_windows
-from tickloom.schemas import MOVING_AVERAGES, RAW_TICKS, SECTOR_PERFORMANCE, Contract
+from tickloom.schemas import MOVING_AVERAGES, RAW_TICKS, SECTOR_PERFORMANCE
 from tickloom.sources.messages import TICK_COLUMNS
 from tickloom.streaming.sinks import batch_writer
 
@@ -25,33 +27,40 @@ def register_stream(ticks: DataFrame, name: str = "stock_stream") -> DataFrame:
 
 
 def start_raw_ingest(ticks: DataFrame, path: str, checkpoint: str,
-                     available_now: bool = False) -> StreamingQuery:
+                     available_now: bool = False, every: str | None = None) -> StreamingQuery:
     """Every tick to the raw table, by date. Rows that break the contract are kept as rejects."""
     message = ["message"] if "message" in ticks.columns else []
     writer = batch_writer(path, RAW_TICKS, checkpoint, date_from="timestamp")
     rows = ticks.select(*TICK_COLUMNS, *message)
-    return _start(rows.writeStream.foreachBatch(writer), checkpoint, available_now)
+    return _start(rows.writeStream.foreachBatch(writer), checkpoint, available_now, every)
 
 
 def start_moving_averages(ticks: DataFrame, path: str, checkpoint: str,
-                          available_now: bool = False) -> StreamingQuery:
+                          available_now: bool = False, every: str | None = None,
+                          files: int | None = None) -> StreamingQuery:
     """Closed windows of all lengths, appended once each."""
+    writer = batch_writer(path, MOVING_AVERAGES, checkpoint, skip_empty=True, files=files)
     rows = moving_averages(with_watermark(ticks))
-    return _start_aggregate(rows, path, MOVING_AVERAGES, checkpoint, available_now)
+    return _start(_appended(rows, writer), checkpoint, available_now, every)
 
 
 def start_sector_performance(ticks: DataFrame, path: str, checkpoint: str,
-                             available_now: bool = False) -> StreamingQuery:
+                             available_now: bool = False, every: str | None = None,
+                             files: int | None = None) -> StreamingQuery:
+    """Closed sector windows, appended once each."""
+    writer = batch_writer(path, SECTOR_PERFORMANCE, checkpoint, skip_empty=True, files=files)
     rows = sector_windows(with_watermark(ticks))
-    return _start_aggregate(rows, path, SECTOR_PERFORMANCE, checkpoint, available_now)
+    return _start(_appended(rows, writer), checkpoint, available_now, every)
 
 
 def start_aggregates(ticks: DataFrame, averages_path: str, sectors_path: str, checkpoint: str,
-                     available_now: bool = False) -> list[StreamingQuery]:
+                     available_now: bool = False, every: str | None = None,
+                     files: int | None = None) -> list[StreamingQuery]:
     """Both aggregate queries side by side over one source."""
+    options = {"available_now": available_now, "every": every, "files": files}
     return [
-        start_moving_averages(ticks, averages_path, f"{checkpoint}/averages", available_now),
-        start_sector_performance(ticks, sectors_path, f"{checkpoint}/sectors", available_now),
+        start_moving_averages(ticks, averages_path, f"{checkpoint}/averages", **options),
+        start_sector_performance(ticks, sectors_path, f"{checkpoint}/sectors", **options),
     ]
 
 
@@ -60,13 +69,17 @@ def wait_for_any(spark: SparkSession) -> None:
     spark.streams.awaitAnyTermination()
 
 
-def _start_aggregate(rows: DataFrame, path: str, contract: Contract, checkpoint: str,
-                     available_now: bool) -> StreamingQuery:
-    writer = batch_writer(path, contract, checkpoint, skip_empty=True)
-    stream = rows.writeStream.outputMode("append").foreachBatch(writer)
-    return _start(stream, checkpoint, available_now)
+def _appended(rows: DataFrame, writer: Callable[[DataFrame, int], None]) -> DataStreamWriter:
+    return rows.writeStream.outputMode("append").foreachBatch(writer)
 
 
-def _start(stream: DataStreamWriter, checkpoint: str, available_now: bool) -> StreamingQuery:
+def _start(stream: DataStreamWriter, checkpoint: str, available_now: bool,
+           every: str | None = None) -> StreamingQuery:
+    """By default the next batch starts when the last one ends. `every` sets an interval and
+    `available_now` stops after the data that is there."""
     stream = stream.option("checkpointLocation", checkpoint)
-    return (stream.trigger(availableNow=True) if available_now else stream).start()
+    if available_now:
+        stream = stream.trigger(availableNow=True)
+    elif every:
+        stream = stream.trigger(processingTime=every)
+    return stream.start()

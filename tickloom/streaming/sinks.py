@@ -14,13 +14,14 @@ from tickloom.schemas import Contract
 
 
 def batch_writer(path: str, contract: Contract, checkpoint: str, date_from: str | None = None,
-                 skip_empty: bool = False) -> Callable[[DataFrame, int], None]:
+                 skip_empty: bool = False, files: int | None = None) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function that writes accepted and rejected rows in one pass.
 
     Each batch owns the folder of its number below a folder for its checkpoint, and replaces it
     when retried. Errors are raised, so a failed batch is never taken as done. `date_from` adds a
     date partition from that timestamp. `skip_empty` leaves out empty batches; the batch is then
-    kept while it is tested and written, as each use would compute it again.
+    kept while it is tested and written, as each use would compute it again. `files` sets the files
+    per batch; by default there is one per task, which for a short trigger makes many small ones.
     """
     run = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 
@@ -34,6 +35,8 @@ def batch_writer(path: str, contract: Contract, checkpoint: str, date_from: str
         if date_from:
             judged = judged.withColumn("trade_date", F.to_date(date_from))
             partitions.append("trade_date")
+        if files:
+            judged = judged.repartition(files)
         target = f"{path.rstrip('/')}/run={run}/batch_id={batch_id}"
         if not skip_empty:
             _replace(judged, target, partitions)
