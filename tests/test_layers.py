@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from tests.conftest import SMALL, plan_of
-from tickloom.plans import layers, price
+from tickloom.plans import daily, layers, price
 from tickloom.plans.daily import METRICS
 from tickloom.session import CLUSTER_DEFAULTS, pin_utc, scratch_dir, stored
 from tickloom.sources import events as ev
@@ -32,6 +32,13 @@ def test_price_model_reads_the_bucketed_table_without_a_shuffle(spark, built):
     assert "Window" in plan
 
 
+def test_daily_table_needs_one_shuffle_and_one_file_per_bucket(spark, built):
+    rollup = spark.table("t_daily_rollup").repartition(4, "symbol")
+    plan = plan_of(daily.counted_metrics(rollup))
+    assert plan.count("Exchange") == 1
+    assert len(spark.table("t_stock_metrics").inputFiles()) <= 4
+
+
 def test_rebuild_replaces(spark, built, tmp_path):
     raw = ev.raw_ticks(ev.events(spark, SMALL))
     for _ in range(2):

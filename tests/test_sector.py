@@ -82,9 +82,16 @@ def test_null_change_ranks_first_and_ties_leave_gaps(ticks):
 def test_rollup_gives_the_same_analysis(spark, ticks, per_tick):
     rows = sample(ticks)
     direct = as_dicts(sector.sector_analysis(rows, per_tick), "sector", "trade_date")
-    rolled = as_dicts(sector.sector_analysis(daily_rollup(rows), per_tick), "sector", "trade_date")
-    assert len(direct) == len(rolled)
-    for a, b in zip(direct, rolled):
-        for column, value in a.items():
-            same = pytest.approx(value) if isinstance(value, float) else value
-            assert b[column] == same
+    rollup = daily_rollup(rows)
+    days = daily.counted_metrics(rollup)
+    for other in (
+        sector.sector_analysis(rollup, per_tick),
+        sector.sector_analysis(daily_rollup(rows, open_close=False), per_tick),
+        sector.sector_analysis(rollup, per_tick, days),
+    ):
+        rolled = as_dicts(other, "sector", "trade_date")
+        assert len(direct) == len(rolled)
+        for a, b in zip(direct, rolled):
+            for column, value in a.items():
+                same = pytest.approx(value) if isinstance(value, float) else value
+                assert b[column] == same

@@ -94,6 +94,17 @@ def test_stream_equals_batch_on_closed_windows(spark, tmp_path):
     assert stored.exceptAll(batch).count() == batch.exceptAll(stored).count() == 0
 
 
+def test_source_may_be_a_folder_of_files(spark, tmp_path):
+    ev.events(spark, SMALL).repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    counts = []
+    for folder in (SMALL, str(tmp_path)):
+        out, progress = str(tmp_path / f"o{len(counts)}"), str(tmp_path / f"p{len(counts)}")
+        stream = ev.wire_ticks(ev.event_stream(spark, folder))
+        runner.start_sector_performance(stream, out, progress, available_now=True).awaitTermination()
+        counts.append(sinks.stored_rows(spark, out, SECTOR_PERFORMANCE).count())
+    assert counts[0] == counts[1] > 0
+
+
 def test_both_aggregates_run_over_one_source(spark, tmp_path):
     stream = ev.wire_ticks(ev.event_stream(spark, SMALL))
     paths = [str(tmp_path / name) for name in ("averages", "sectors")]

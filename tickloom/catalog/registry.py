@@ -136,7 +136,7 @@ def _metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 def _rollup(spark: SparkSession, folder: str) -> DataFrame:
     """The sector model uses the rollup several times, so it is stored: one pass over the ticks."""
-    return stored(daily_rollup(_ticks(spark, folder)), "daily-rollup")
+    return stored(daily_rollup(_ticks(spark, folder), open_close=False), "sector-rollup")
 
 
 def _price_analytics_per_tick(spark: SparkSession, folder: str) -> DataFrame:

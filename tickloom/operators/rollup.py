@@ -47,25 +47,35 @@ def as_partials(source: DataFrame) -> DataFrame:
 
 def merge(partials: DataFrame, *keys: str) -> DataFrame:
     """Merge partials per key. Combined before the shuffle, so a hot key costs one row per task."""
-    return partials.groupBy(*keys).agg(
-        F.sum("tick_count").alias("tick_count"),
-        F.sum("price_sum").alias("price_sum"),
-        F.sum("price_count").alias("price_count"),
-        F.max("high_price").alias("high_price"),
-        F.min("low_price").alias("low_price"),
-        F.min("open_key").alias("open_key"),
-        F.min_by("open_price", "open_key").alias("open_price"),
-        F.max("close_key").alias("close_key"),
-        F.max_by("close_price", "close_key").alias("close_price"),
-        F.sum("volume_sum").alias("volume_sum"),
-        F.sum("change_sum").alias("change_sum"),
-        F.sum("change_count").alias("change_count"),
-    )
+    rules = {
+        "tick_count": F.sum("tick_count"),
+        "price_sum": F.sum("price_sum"),
+        "price_count": F.sum("price_count"),
+        "high_price": F.max("high_price"),
+        "low_price": F.min("low_price"),
+        "volume_sum": F.sum("volume_sum"),
+        "change_sum": F.sum("change_sum"),
+        "change_count": F.sum("change_count"),
+    }
+    if "open_key" in partials.columns:
+        rules |= {
+            "open_key": F.min("open_key"),
+            "open_price": F.min_by("open_price", "open_key"),
+            "close_key": F.max("close_key"),
+            "close_price": F.max_by("close_price", "close_key"),
+        }
+    return partials.groupBy(*keys).agg(*[rule.alias(name) for name, rule in rules.items()])
+
 
+def daily_rollup(ticks: DataFrame, open_close: bool = True) -> DataFrame:
+    """One row of partials per symbol, sector and day: the only pass over the ticks.
 
-def daily_rollup(ticks: DataFrame) -> DataFrame:
-    """One row of partials per symbol, sector and day: the only pass over the ticks."""
-    return merge(as_partials(ticks), "symbol", "sector", "trade_date")
+    The sector model does without `open_close`, which needs the most work per tick.
+    """
+    partials = as_partials(ticks)
+    if not open_close:
+        partials = partials.drop("open_key", "open_price", "close_key", "close_price")
+    return merge(partials, "symbol", "sector", "trade_date")
 
 
 def mean(hundredths: str, count: str) -> Column:

@@ -59,6 +59,16 @@ def stock_metrics(source: DataFrame, per_tick: bool = False) -> DataFrame:
     return (repeat_rows(days, "tick_count") if per_tick else days).select(*METRICS)
 
 
+def volatility_days(source: DataFrame) -> DataFrame:
+    """Volatility and tick count per symbol and day; a rollup without open and close will do."""
+    return (
+        merge(as_partials(source), *KEYS)
+        .where(F.col("symbol").isNotNull() & F.col("trade_date").isNotNull())
+        .withColumn("daily_volatility", range_percent("high_price", "low_price"))
+        .select(*KEYS, "daily_volatility", "tick_count")
+    )
+
+
 def counted_metrics(source: DataFrame) -> DataFrame:
     """`stock_metrics` with `tick_count`, the number of times each row counts per tick."""
     return symbol_days(source).where(

@@ -22,9 +22,8 @@ def store_view(df: DataFrame, name: str) -> DataFrame:
 
 def store_table(df: DataFrame, name: str, location: str | None = None,
                 buckets: int | None = None) -> DataFrame:
-    """Replace a table. With `buckets`, rows are hashed by symbol into one file per bucket."""
-    if buckets:
-        df = df.repartition(buckets, "symbol")
+    """Replace a table. With `buckets` it is bucketed by symbol; rows that are already hashed by
+    symbol into that many partitions make one file per bucket."""
     writer = df.write.mode("overwrite").format("parquet")
     if buckets:
         writer = writer.bucketBy(buckets, "symbol").sortBy("symbol", "trade_date")
@@ -49,7 +48,10 @@ def build_layers(raw: DataFrame, location: str | None = None, prefix: str = "",
         models[name] = store_table(df, f"{prefix}{name}", location, **options)
 
     table("daily_rollup", daily_rollup(models["staging"]))
-    table("stock_metrics", counted_metrics(models["daily_rollup"]), buckets=buckets)
-    table("sector_analysis", sector_analysis(models["daily_rollup"]))
-    table("price_analytics", price_analytics(models["stock_metrics"].select(*METRICS)))
+    # Hashed by symbol alone, the rows serve the daily aggregate and the buckets in one shuffle.
+    by_symbol = models["daily_rollup"].repartition(buckets, "symbol")
+    table("stock_metrics", counted_metrics(by_symbol), buckets=buckets)
+    days = models["stock_metrics"]
+    table("sector_analysis", sector_analysis(models["daily_rollup"], days=days))
+    table("price_analytics", price_analytics(days.select(*METRICS)))
     return models

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.rollup import as_partials, mean, merge
-from tickloom.plans.daily import counted_metrics
+from tickloom.plans.daily import volatility_days
 
 KEYS = ["sector", "trade_date"]
 
@@ -32,15 +32,19 @@ def symbol_sectors(source: DataFrame) -> DataFrame:
     )
 
 
-def sector_volatility(source: DataFrame, per_tick: bool = False) -> DataFrame:
+def sector_volatility(source: DataFrame, per_tick: bool = False,
+                      days: DataFrame | None = None) -> DataFrame:
     """Sample standard deviation of daily volatility over the symbols of a sector.
 
     By default each symbol counts once. `per_tick` weighs a symbol's day by its ticks that day
     times its ticks in the sector, which is what joining repeated daily rows to all ticks on the
-    symbol alone amounts to, without forming the pairs.
+    symbol alone amounts to, without forming the pairs. `days` is the stored daily table with
+    tick counts, if there is one.
     """
-    days = counted_metrics(source).select("symbol", "trade_date", "daily_volatility", "tick_count")
-    members = days.join(symbol_sectors(source), "symbol")
+    days = volatility_days(source) if days is None else days
+    members = days.select("symbol", "trade_date", "daily_volatility", "tick_count").join(
+        symbol_sectors(source), "symbol"
+    )
     if per_tick:
         return _weighted(members)
     return members.groupBy(*KEYS).agg(
@@ -48,12 +52,13 @@ def sector_volatility(source: DataFrame, per_tick: bool = False) -> DataFrame:
     )
 
 
-def sector_analysis(source: DataFrame, per_tick: bool = False) -> DataFrame:
+def sector_analysis(source: DataFrame, per_tick: bool = False,
+                    days: DataFrame | None = None) -> DataFrame:
     """Daily sector figures with volatility and the rank by average change, nulls first."""
     by_change = Window.partitionBy("trade_date").orderBy(F.desc_nulls_first("sector_avg_change"))
     return (
         sector_daily(source)
-        .join(sector_volatility(source, per_tick), KEYS, "left")
+        .join(sector_volatility(source, per_tick, days), KEYS, "left")
         .withColumn("performance_rank", F.rank().over(by_change).cast("long"))
     )
 

@@ -28,9 +28,10 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The table as a stream, be it one file or a folder of files: a stream takes a plain path for
+    a folder, a pattern for either."""
     pin_utc(spark)
-    reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(folder)
+    return spark.readStream.schema(EVENTS).parquet(f"{folder}/events[.]parquet")
 
 
 def raw_ticks(source: DataFrame) -> DataFrame:
