@@ -139,6 +139,15 @@ def test_data_volume_both_ways(ticks):
     assert per_tick["total_trade_volume"] == 65
 
 
+def test_date_filter_reaches_the_scan(ticks, spark, tmp_path):
+    ticks([("A", "2024-01-01 09:00:00", 1), ("A", "2024-01-02 09:00:00", 1)]).write.parquet(
+        f"{tmp_path}/t")
+    result = daily.stock_metrics(spark.read.parquet(f"{tmp_path}/t"))
+    late = result.where("trade_date >= date'2024-01-02'")
+    assert "GreaterThanOrEqual(timestamp,2024-01-02" in plan_of(late)
+    assert late.count() == 1
+
+
 def test_daily_plan_is_one_hash_aggregate_over_one_scan(spark):
     from tests.conftest import SMALL
     from tickloom.catalog import registry

@@ -63,6 +63,18 @@ def test_rejects_name_every_broken_rule(spark):
     ])
 
 
+def test_text_that_does_not_parse_is_rejected_not_an_error(spark):
+    df = spark.createDataFrame(
+        [("A", "1.5", "3", None, "yesterday", "S"), ("B", "1.5", "3", "x", AT, "S"),
+         ("C", "1.5", "3", "-1", AT, "S")],
+        "symbol string, price string, volume string, change_percent string, timestamp string, "
+        "sector string")
+    judged = quality.apply_contract(df, RAW_TICKS)
+    assert [r["symbol"] for r in quality.accepted(judged, RAW_TICKS).collect()] == ["C"]
+    assert {r["reject_reason"] for r in quality.rejected(judged).collect()} == {
+        "timestamp out of range", "change_percent out of range"}
+
+
 def test_rejected_row_is_kept_whole(spark):
     row, = quality.rejected(judge(spark, ("A" * 11, 1e8, 5, None, AT, None))).collect()
     assert '"price":1.0E8' in row["rejected_row"]

@@ -148,7 +148,7 @@ def _price_analytics_per_tick(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stream_vs_batch(spark: SparkSession, folder: str) -> DataFrame:
     ticks = _ticks(spark, folder)
-    averages = ev.stored_averages(ticks)
+    averages = ev.stored_averages(ticks, monitor.COMPARED_WINDOW)
     return present(monitor.stream_vs_batch(averages, daily.stock_metrics(ticks)))
 
 

@@ -55,10 +55,8 @@ def with_row_id(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def _typed(field: Field) -> Column:
-    """Decimals are rounded half up to their scale; out of range becomes null, not an error."""
-    if isinstance(field.type, (T.DecimalType, T.LongType)):
-        return F.col(field.name).try_cast(field.type)
-    return F.col(field.name).cast(field.type)
+    """Decimals are rounded half up to their scale; what does not fit becomes null, not an error."""
+    return F.col(field.name).try_cast(field.type)
 
 
 def _violation(field: Field) -> Column:
@@ -68,10 +66,9 @@ def _violation(field: Field) -> Column:
         broken = F.when(
             F.char_length(column) > field.max_length, f"{field.name} longer than {field.max_length}"
         )
-    if isinstance(field.type, T.DecimalType):
+    if not isinstance(field.type, T.StringType):
         broken = F.when(
-            column.isNotNull() & _typed(field).isNull(),
-            f"{field.name} out of range",
+            column.isNotNull() & _typed(field).isNull(), f"{field.name} out of range"
         )
     if field.required:
         broken = F.when(column.isNull(), f"{field.name} is null").otherwise(broken)

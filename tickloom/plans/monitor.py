@@ -69,11 +69,12 @@ def batch_run_stats(run_log: DataFrame) -> DataFrame:
 def data_volume(metrics: DataFrame, per_tick: bool = False) -> DataFrame:
     """Rows, symbols and volume per day of the daily table.
 
-    `per_tick` counts each daily row once per tick of its day and needs `tick_count`.
+    `per_tick` counts each daily row once per tick of its day and needs `tick_count`. Its volume
+    grows with the square of the ticks, so it is a wide decimal.
     """
     if per_tick:
         records = F.sum("tick_count")
-        volume = F.sum(F.col("daily_volume") * F.col("tick_count"))
+        volume = F.sum(F.col("daily_volume").cast("decimal(38,0)") * F.col("tick_count"))
     else:
         records = F.count("*")
         volume = F.sum("daily_volume")

@@ -19,8 +19,6 @@ CLUSTER_DEFAULTS = {
     # Window state keyed by symbol can outgrow the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # Removes scratch checkpoints once nothing refers to them.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -35,7 +33,7 @@ def build_session(app_name: str = "tickloom", master: str | None = None,
     spark = builder.getOrCreate()
     given = overrides or {}
     for key, value in CLUSTER_DEFAULTS.items():
-        if key.startswith("spark.sql.") and key not in given and not _was_set(spark, key):
+        if key not in given and not _was_set(spark, key):
             spark.conf.set(key, value)
     return pin_utc(spark)
 

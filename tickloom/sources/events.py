@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.windows import moving_averages
+from tickloom.operators.windows import moving_averages, window_averages
 from tickloom.schemas import MONEY
 from tickloom.session import pin_utc
 from tickloom.sources.messages import ISO_MICROS, TICK_COLUMNS
@@ -109,10 +109,14 @@ def dirty_ticks(source: DataFrame) -> DataFrame:
     )
 
 
-def stored_averages(ticks: DataFrame) -> DataFrame:
-    """The stream's table of averages as a batch: prices at two places, loaded 60 s after the
-    window closes, the earliest a one-minute watermark allows."""
-    return moving_averages(ticks, with_close=True).select(
+def stored_averages(ticks: DataFrame, label: str | None = None) -> DataFrame:
+    """The stream's table of averages as a batch, of all windows or one length: prices at two
+    places, loaded 60 s after the window closes, the earliest a one-minute watermark allows."""
+    averages = (
+        window_averages(ticks, label, with_close=True) if label
+        else moving_averages(ticks, with_close=True)
+    )
+    return averages.select(
         "symbol",
         "window_size",
         F.col("avg_price").cast(MONEY).alias("avg_price"),

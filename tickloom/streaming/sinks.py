@@ -23,7 +23,7 @@ def batch_writer(path: str, contract: Contract, checkpoint: str, date_from: str
     kept while it is tested and written, as each use would compute it again. `files` sets the files
     per batch; by default there is one per task, which for a short trigger makes many small ones.
     """
-    run = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+    run = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         judged = (
