@@ -47,7 +47,8 @@ def wire_ticks(source: DataFrame, *carried: str) -> DataFrame:
 
 
 def _ticks(source: DataFrame, price: Column, *carried: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    # props is {"k": n}; a pattern is several times cheaper than a JSON parse per row.
+    k = F.regexp_extract("props", r'"k": *(\d+)', 1).cast("bigint")
     at = F.col("ts").cast("timestamp")
     return source.select(
         F.col("event_id").alias("id"),
