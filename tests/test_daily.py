@@ -73,6 +73,16 @@ def test_order_key_keeps_neighbouring_microseconds_apart(ticks):
     assert (row["open_price"], row["close_price"]) == (1, 2)
 
 
+def test_volume_counted_per_tick_may_exceed_a_long(spark):
+    import datetime
+
+    days = spark.createDataFrame(
+        [("A", datetime.date(2024, 1, 1), 3 * 10**14, 3 * 10**11)],
+        "symbol string, trade_date date, daily_volume long, tick_count long")
+    row, = monitor.data_volume(days, per_tick=True).collect()
+    assert int(row["total_trade_volume"]) == 9 * 10**25
+
+
 def test_symbol_filter_reaches_the_scan(spark, ticks, tmp_path):
     from tickloom.plans import price
 

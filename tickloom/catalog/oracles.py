@@ -289,6 +289,9 @@ SELECT t.id, t.symbol, {_six('price')}, r.r_name AS sector
 FROM ticks t LEFT JOIN supplier s ON t.symbol = 'U' || s.s_suppkey
     LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
     LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
+        "sector_lookup_unknown": f"""
+SELECT t.id, t.symbol, {_six('price')} FROM ticks t
+WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE t.symbol = 'U' || s.s_suppkey)""",
         "tick_decode": f"SELECT {TICK_VALUES} FROM ticks WHERE kind <> 'error'",
         "tick_encode": "SELECT symbol AS key, message AS value FROM encoded",
         "literal_rows": "SELECT symbol, CAST(1 AS DOUBLE) AS id FROM ticks "

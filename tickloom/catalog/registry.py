@@ -75,7 +75,10 @@ def queries() -> dict[str, Query]:
         "quote_normalise": lambda s, d: present(
             normalise_quotes(ev.quote_responses(ev.events(s, d))).drop("sector")
         ),
-        "sector_lookup": _sector_lookup,
+        "sector_lookup": lambda s, d: present(_looked_up(s, d)),
+        "sector_lookup_unknown": lambda s, d: present(
+            quality.check_not_null(_looked_up(s, d), "sector").drop("sector")
+        ),
         "tick_decode": lambda s, d: present(
             decode_ticks(ev.tick_messages(ev.events(s, d)))
             .where(F.col("symbol").isNotNull()).select(*TICK_COLUMNS)
@@ -152,9 +155,9 @@ def _stream_vs_batch(spark: SparkSession, folder: str) -> DataFrame:
     return present(monitor.stream_vs_batch(averages, daily.stock_metrics(ticks)))
 
 
-def _sector_lookup(spark: SparkSession, folder: str) -> DataFrame:
+def _looked_up(spark: SparkSession, folder: str) -> DataFrame:
     found = attach_sector(_ticks(spark, folder), ev.supplier_regions(spark, folder))
-    return present(found.select("id", "symbol", "price", "sector"))
+    return found.select("id", "symbol", "price", "sector")
 
 
 def _literal_rows(spark: SparkSession, folder: str) -> DataFrame:
