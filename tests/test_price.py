@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 from tests.conftest import as_dicts, plan_of
+from tickloom.operators.repeat import repeat_rows
 from tickloom.plans import daily, price
 
 
@@ -91,6 +92,12 @@ def test_per_tick_counts_equal_the_literal_join(ticks, ticks_per_day):
     assert sum(got.values()) == sum(n**3 for n in ticks_per_day)
 
 
+def test_copies_expand_to_the_literal_rows(ticks):
+    per_day = [3, 1, 7]
+    rows = price.price_analytics_per_tick(days(ticks, [1, 2, 3], ticks_per_day=per_day))
+    assert repeat_rows(rows, "copies", block=10).count() == 27 + 1 + 343
+
+
 def test_per_tick_copies_of_a_huge_day_fit(spark):
     schema = ("symbol string, trade_date date, avg_price double, open_price double, "
               "close_price double, high_price double, low_price double, daily_volume long, "

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL, plan_of
 from tickloom.catalog import registry
 from tickloom.operators import windows
-from tickloom.plans import monitor
+from tickloom.plans import daily, monitor
 
 
 def at(text):
@@ -43,6 +43,13 @@ def test_single_pass_union_before_1970_and_null_times(ticks):
     assert len(closes) == 3
 
 
+def test_timestamps_without_zone(ticks):
+    rows = ticks([("A", "2024-01-01 09:01:00", 1), ("A", "2024-01-01 09:04:00", 3)])
+    plain = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    for build in (windows.moving_averages, windows.sector_windows, daily.stock_metrics):
+        assert build(plain).collect() == build(rows).collect()
+
+
 def test_union_plan_scans_and_shuffles_once(spark):
     plan = plan_of(windows.moving_averages(registry._ticks(spark, SMALL)))
     assert plan.count("FileScan") == 1

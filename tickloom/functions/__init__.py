@@ -1,5 +1,6 @@
 from tickloom.functions.scalars import (
     epoch_seconds_between,
+    micros,
     order_key,
     percent_change,
     range_percent,
@@ -10,6 +11,6 @@ from tickloom.functions.scalars import (
 )
 
 __all__ = [
-    "epoch_seconds_between", "order_key", "percent_change", "range_percent",
+    "epoch_seconds_between", "micros", "order_key", "percent_change", "range_percent",
     "text_to_double", "text_to_long", "trade_date", "trend",
 ]

@@ -13,9 +13,14 @@ def trade_date(timestamp: Column | str) -> Column:
     return F.to_date(timestamp)
 
 
+def micros(timestamp: Column | str) -> Column:
+    """Microseconds since 1970; a timestamp without zone is taken in the session's, UTC."""
+    return F.unix_micros(_c(timestamp).cast("timestamp"))
+
+
 def epoch_seconds_between(start: Column | str, end: Column | str) -> Column:
     """Seconds with fraction from start to end."""
-    return (F.unix_micros(_c(end)) - F.unix_micros(_c(start))) / F.lit(1e6)
+    return (micros(end) - micros(start)) / F.lit(1e6)
 
 
 def percent_change(new: Column | str, old: Column | str) -> Column:
@@ -41,9 +46,9 @@ def order_key(timestamp: Column | str, tick_id: Column | str) -> Column:
     A struct would order the same but forces a sort-based aggregate; a decimal fits the hash
     aggregate's fixed-width buffer. Ids of any sign fit between two microseconds, 2**64 apart.
     """
-    micros = F.unix_micros(_c(timestamp)).cast("decimal(38,0)")
+    at = micros(timestamp).cast("decimal(38,0)")
     step = F.lit(str(2**64)).cast("decimal(20,0)")
-    return (micros * step + F.coalesce(_c(tick_id), F.lit(0))).cast("decimal(38,0)")
+    return (at * step + F.coalesce(_c(tick_id), F.lit(0))).cast("decimal(38,0)")
 
 
 def text_to_double(text: Column | str) -> Column:

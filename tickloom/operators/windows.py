@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions import micros
+
 # Window label and length in minutes.
 AVERAGE_WINDOWS = {"5min": 5, "15min": 15, "30min": 30}
 SECTOR_WINDOW_MINUTES = 15
@@ -78,5 +80,5 @@ def _average_columns(with_close: bool) -> list[str]:
 def _slot_end(minutes: int) -> Column:
     """End of the epoch-aligned window that holds the tick."""
     width = minutes * 60_000_000
-    micros = F.unix_micros("timestamp")
-    return F.timestamp_micros(micros - F.pmod(micros, F.lit(width)) + F.lit(width))
+    at = micros("timestamp")
+    return F.timestamp_micros(at - F.pmod(at, F.lit(width)) + F.lit(width))
