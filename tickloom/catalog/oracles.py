@@ -29,7 +29,8 @@ daily AS (
 ),
 edges AS (
     SELECT id, symbol, trade_date,
-           first_value(price) OVER (PARTITION BY symbol, trade_date ORDER BY tick_time, id) AS open_price,
+           first_value(price) OVER (PARTITION BY symbol, trade_date ORDER BY tick_time, id)
+               AS open_price,
            last_value(price) OVER (PARTITION BY symbol, trade_date ORDER BY tick_time, id
                ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS close_price
     FROM ticks
@@ -237,7 +238,10 @@ SELECT CAST(trade_date AS VARCHAR) AS analysis_date, count(*) AS total_records,
 FROM {table} GROUP BY trade_date ORDER BY 1"""
 
 
-TICK_VALUES = f"symbol, {_six('price', 'change_percent')}, volume, sector, {_iso('tick_time', 'timestamp')}"
+TICK_VALUES = (
+    f"symbol, {_six('price', 'change_percent')}, volume, sector, "
+    f"{_iso('tick_time', 'timestamp')}"
+)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -34,7 +34,7 @@ def range_percent(high: Column | str, low: Column | str) -> Column:
 
 
 def trend(fast: Column | str, slow: Column | str) -> Column:
-    """Bullish when the fast average is above the slow one, Bearish below, else (or null) Neutral."""
+    """Bullish when the fast average is above the slow one, Bearish below, else or null Neutral."""
     gap = _c(fast) - _c(slow)
     noise = F.abs(_c(slow)) * TREND_TOLERANCE
     return F.when(gap > noise, "Bullish").when(gap < -noise, "Bearish").otherwise("Neutral")

@@ -1,4 +1,4 @@
-"""Data checks, and the split of rows into those that meet a table contract and those that do not."""
+"""Data checks, and the split of rows into those a table contract accepts and rejects."""
 
 from __future__ import annotations
 

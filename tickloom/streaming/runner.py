@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickloom.operators.windows import moving_averages, sector_windows
 from tickloom.schemas import MOVING_AVERAGES, RAW_TICKS, SECTOR_PERFORMANCE
 from tickloom.sources.messages import TICK_COLUMNS
-from tickloom.streaming.sinks import batch_writer
+from tickloom.streaming.sinks import BatchWriter, batch_writer
 
 WATERMARK = "1 minute"
 
@@ -69,7 +67,7 @@ def wait_for_any(spark: SparkSession) -> None:
     spark.streams.awaitAnyTermination()
 
 
-def _appended(rows: DataFrame, writer: Callable[[DataFrame, int], None]) -> DataStreamWriter:
+def _appended(rows: DataFrame, writer: BatchWriter) -> DataStreamWriter:
     return rows.writeStream.outputMode("append").foreachBatch(writer)
 
 

@@ -13,8 +13,11 @@ from tickloom.operators.quality import apply_contract, with_row_id
 from tickloom.schemas import Contract
 
 
+BatchWriter = Callable[[DataFrame, int], None]
+
+
 def batch_writer(path: str, contract: Contract, checkpoint: str, date_from: str | None = None,
-                 skip_empty: bool = False, files: int | None = None) -> Callable[[DataFrame, int], None]:
+                 skip_empty: bool = False, files: int | None = None) -> BatchWriter:
     """A `foreachBatch` function that writes accepted and rejected rows in one pass.
 
     Each batch owns the folder of its number below a folder for its checkpoint, and replaces it
