@@ -108,8 +108,7 @@ def test_source_may_be_a_folder_of_files(spark, tmp_path):
 def test_both_aggregates_run_over_one_source(spark, tmp_path):
     stream = ev.wire_ticks(ev.event_stream(spark, SMALL))
     paths = [str(tmp_path / name) for name in ("averages", "sectors")]
-    queries = runner.start_aggregates(
-        stream, *paths, str(tmp_path / "c"), available_now=True, files=1)
+    queries = runner.start_aggregates(stream, *paths, str(tmp_path / "c"), available_now=True)
     for query in queries:
         query.awaitTermination()
     assert sinks.stored_rows(spark, paths[0], MOVING_AVERAGES).count() > 0
@@ -119,10 +118,22 @@ def test_both_aggregates_run_over_one_source(spark, tmp_path):
     assert sectors.columns == SECTOR_PERFORMANCE.schema().fieldNames()
 
 
+def test_small_batches_make_few_files(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write = sinks.batch_writer(out, MOVING_AVERAGES, "c", small=True, rows_per_file=40)
+    rows = spark.range(100, numPartitions=16).selectExpr(
+        "concat('S', id) as symbol", "'5min' as window_size", "1D as avg_price",
+        "timestamp'2024-01-01 09:00:00' as window_end_time")
+    write(rows, 0)
+    stored = sinks.stored_rows(spark, out, MOVING_AVERAGES)
+    assert stored.count() == 100
+    assert len(stored.inputFiles()) == 3
+
+
 def test_retried_batch_replaces_itself(spark, tmp_path):
     out = str(tmp_path / "out")
-    write = sinks.batch_writer(out, MOVING_AVERAGES, "checkpoint-a", skip_empty=True)
-    other = sinks.batch_writer(out, MOVING_AVERAGES, "checkpoint-b", skip_empty=True)
+    write = sinks.batch_writer(out, MOVING_AVERAGES, "checkpoint-a", small=True)
+    other = sinks.batch_writer(out, MOVING_AVERAGES, "checkpoint-b", small=True)
     rows = spark.sql("select 'A' as symbol, '5min' as window_size, 1.005D as avg_price, "
                      "timestamp'2024-01-01 09:00:00' as window_end_time")
     write(rows, 0)

@@ -34,28 +34,27 @@ def start_raw_ingest(ticks: DataFrame, path: str, checkpoint: str,
 
 
 def start_moving_averages(ticks: DataFrame, path: str, checkpoint: str,
-                          available_now: bool = False, every: str | None = None,
-                          files: int | None = None) -> StreamingQuery:
+                          available_now: bool = False, every: str | None = None) -> StreamingQuery:
     """Closed windows of all lengths, appended once each."""
-    writer = batch_writer(path, MOVING_AVERAGES, checkpoint, skip_empty=True, files=files)
+    writer = batch_writer(path, MOVING_AVERAGES, checkpoint, small=True)
     rows = moving_averages(with_watermark(ticks))
     return _start(_appended(rows, writer), checkpoint, available_now, every)
 
 
 def start_sector_performance(ticks: DataFrame, path: str, checkpoint: str,
-                             available_now: bool = False, every: str | None = None,
-                             files: int | None = None) -> StreamingQuery:
+                             available_now: bool = False,
+                             every: str | None = None) -> StreamingQuery:
     """Closed sector windows, appended once each."""
-    writer = batch_writer(path, SECTOR_PERFORMANCE, checkpoint, skip_empty=True, files=files)
+    writer = batch_writer(path, SECTOR_PERFORMANCE, checkpoint, small=True)
     rows = sector_windows(with_watermark(ticks))
     return _start(_appended(rows, writer), checkpoint, available_now, every)
 
 
 def start_aggregates(ticks: DataFrame, averages_path: str, sectors_path: str, checkpoint: str,
-                     available_now: bool = False, every: str | None = None,
-                     files: int | None = None) -> list[StreamingQuery]:
+                     available_now: bool = False,
+                     every: str | None = None) -> list[StreamingQuery]:
     """Both aggregate queries side by side over one source."""
-    options = {"available_now": available_now, "every": every, "files": files}
+    options = {"available_now": available_now, "every": every}
     return [
         start_moving_averages(ticks, averages_path, f"{checkpoint}/averages", **options),
         start_sector_performance(ticks, sectors_path, f"{checkpoint}/sectors", **options),

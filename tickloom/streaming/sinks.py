@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,17 +15,20 @@ from tickloom.schemas import Contract
 
 
 BatchWriter = Callable[[DataFrame, int], None]
+ROWS_PER_FILE = 1_000_000
 
 
 def batch_writer(path: str, contract: Contract, checkpoint: str, date_from: str | None = None,
-                 skip_empty: bool = False, files: int | None = None) -> BatchWriter:
+                 small: bool = False, rows_per_file: int = ROWS_PER_FILE) -> BatchWriter:
     """A `foreachBatch` function that writes accepted and rejected rows in one pass.
 
     Each batch owns the folder of its number below a folder for its checkpoint, and replaces it
     when retried. Errors are raised, so a failed batch is never taken as done. `date_from` adds a
-    date partition from that timestamp. `skip_empty` leaves out empty batches; the batch is then
-    kept while it is tested and written, as each use would compute it again. `files` sets the files
-    per batch; by default there is one per task, which for a short trigger makes many small ones.
+    date partition from that timestamp.
+
+    `small` is for aggregates, whose batches are small but spread over every state partition. The
+    batch is kept while it is counted and written, as each use would compute it again; an empty one
+    is left out and others go to one file per `rows_per_file` rows instead of one per task.
     """
     run = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
@@ -38,17 +42,16 @@ def batch_writer(path: str, contract: Contract, checkpoint: str, date_from: str
         if date_from:
             judged = judged.withColumn("trade_date", F.to_date(date_from))
             partitions.append("trade_date")
-        if files:
-            judged = judged.repartition(files)
         target = f"{path.rstrip('/')}/run={run}/batch_id={batch_id}"
-        if not skip_empty:
+        if not small:
             _replace(judged, target, partitions)
             return
         judged.persist()
         try:
             # One parallel job; probing an empty batch for a first row takes several small ones.
-            if judged.count() > 0:
-                _replace(judged, target, partitions)
+            rows = judged.count()
+            if rows > 0:
+                _replace(judged.coalesce(math.ceil(rows / rows_per_file)), target, partitions)
         finally:
             judged.unpersist()
 
