@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -11,7 +12,7 @@ from tests.conftest import SMALL, as_dicts
 from tickloom.operators import windows
 from tickloom.schemas import MOVING_AVERAGES, RAW_TICKS, SECTOR_PERFORMANCE
 from tickloom.sources import events as ev
-from tickloom.sources.messages import decode_ticks, file_messages
+from tickloom.sources.messages import decode_ticks, encode_ticks, file_messages
 from tickloom.streaming import runner, sinks
 
 
@@ -94,6 +95,40 @@ def test_stream_equals_batch_on_closed_windows(spark, tmp_path):
     assert stored.exceptAll(batch).count() == batch.exceptAll(stored).count() == 0
 
 
+@pytest.mark.parametrize("provider", ["HDFSBackedStateStoreProvider", "RocksDBStateStoreProvider"])
+def test_many_batches_equal_one_batch_job(spark, tmp_path, provider):
+    """Ticks in time order over several batches and restarts, state evicted on the way."""
+    ticks = ev.wire_ticks(ev.events(spark, SMALL))
+    lines = [r["value"] for r in encode_ticks(ticks.orderBy("timestamp")).collect()]
+    inbox, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
+    inbox.mkdir()
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, f"org.apache.spark.sql.execution.streaming.state.{provider}")
+    try:
+        left = 0
+        for part in range(4):
+            for piece in range(2):
+                n = part * 2 + piece
+                (inbox / f"{n}.json").write_text("\n".join(lines[n * 125:(n + 1) * 125]) + "\n")
+                time.sleep(0.05)
+            stream = decode_ticks(file_messages(spark, str(inbox), "*.json", 1))
+            query = runner.start_moving_averages(stream, out, progress, available_now=True)
+            query.awaitTermination()
+            left = sum(s["numRowsTotal"] for s in query.lastProgress["stateOperators"])
+    finally:
+        spark.conf.set(setting, before)
+    assert left == 3
+    until = ticks.agg(F.max("timestamp")).first()[0] - datetime.timedelta(minutes=1)
+    batch = (
+        windows.moving_averages(ticks, with_close=True).where(F.col("window_close") <= until)
+        .withColumn("avg_price", F.col("avg_price").cast("decimal(10,2)"))
+        .select(*MOVING_AVERAGES.columns)
+    )
+    stored = sinks.stored_rows(spark, out, MOVING_AVERAGES).select(*MOVING_AVERAGES.columns)
+    assert stored.exceptAll(batch).count() == batch.exceptAll(stored).count() == 0
+
+
 def test_source_may_be_a_folder_of_files(spark, tmp_path):
     ev.events(spark, SMALL).repartition(3).write.parquet(f"{tmp_path}/events.parquet")
     counts = []
