@@ -284,7 +284,7 @@ def oracle_sql() -> dict[str, str]:
         "data_volume_per_tick": _data_volume("per_tick"),
         "quote_normalise": f"""
 SELECT symbol, CASE WHEN sent THEN price END AS price,
-       CASE WHEN sent THEN volume END AS volume,
+       CAST(CASE WHEN sent THEN volume END AS DOUBLE) AS volume,
        CASE WHEN sent THEN change_percent END AS change_percent,
        {_iso('tick_time', 'timestamp')}
 FROM (SELECT *, kind NOT IN ('error', 'signup') AS sent FROM ticks)""",
@@ -296,7 +296,11 @@ FROM ticks t LEFT JOIN supplier s ON t.symbol = 'U' || s.s_suppkey
         "sector_lookup_unknown": f"""
 SELECT t.id, t.symbol, {_six('price')} FROM ticks t
 WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE t.symbol = 'U' || s.s_suppkey)""",
-        "tick_decode": f"SELECT {TICK_VALUES} FROM ticks WHERE kind <> 'error'",
+        "tick_decode": f"""
+SELECT * REPLACE (CAST(volume AS DOUBLE) AS volume)
+FROM (SELECT {TICK_VALUES} FROM ticks WHERE kind <> 'error')
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM ticks WHERE kind = 'error'""",
         "tick_encode": "SELECT symbol AS key, message AS value FROM encoded",
         "literal_rows": "SELECT symbol, CAST(1 AS DOUBLE) AS id FROM ticks "
                         "UNION ALL SELECT symbol, CAST(NULL AS DOUBLE) AS id FROM ticks",

@@ -72,17 +72,16 @@ def queries() -> dict[str, Query]:
         "data_volume_per_tick": lambda s, d: present(
             monitor.data_volume(daily.counted_metrics(_ticks(s, d)), per_tick=True)
         ),
-        "quote_normalise": lambda s, d: present(
+        "quote_normalise": lambda s, d: present(_volume_as_double(
             normalise_quotes(ev.quote_responses(ev.events(s, d))).drop("sector")
-        ),
+        )),
         "sector_lookup": lambda s, d: present(_looked_up(s, d)),
         "sector_lookup_unknown": lambda s, d: present(
             quality.check_not_null(_looked_up(s, d), "sector").drop("sector")
         ),
-        "tick_decode": lambda s, d: present(
-            decode_ticks(ev.tick_messages(ev.events(s, d)))
-            .where(F.col("symbol").isNotNull()).select(*TICK_COLUMNS)
-        ),
+        "tick_decode": lambda s, d: present(_volume_as_double(
+            decode_ticks(ev.tick_messages(ev.events(s, d))).select(*TICK_COLUMNS)
+        )),
         "tick_encode": lambda s, d: encode_ticks(ev.wire_ticks(ev.events(s, d))),
         "literal_rows": lambda s, d: present(_literal_rows(s, d)),
         "literal_filter": lambda s, d: present(rows_with_id(_literal_rows(s, d), 1)),
@@ -173,6 +172,11 @@ def _judged(spark: SparkSession, folder: str) -> DataFrame:
     return quality.apply_contract(ev.dirty_ticks(ev.events(spark, folder)), RAW_TICKS)
 
 
+def _volume_as_double(ticks: DataFrame) -> DataFrame:
+    """Whole numbers with nulls come back in different types from different engines."""
+    return ticks.withColumn("volume", F.col("volume").cast("double"))
+
+
 def _rejects(rows: DataFrame) -> DataFrame:
     symbol = F.get_json_object("rejected_row", "$.symbol")
     return rows.select("reject_reason", symbol.alias("symbol"))
