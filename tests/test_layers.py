@@ -5,7 +5,7 @@ import pytest
 from tests.conftest import SMALL, plan_of
 from tickloom.plans import daily, layers, price
 from tickloom.plans.daily import METRICS
-from tickloom.session import CLUSTER_DEFAULTS, pin_utc, scratch_dir, stored
+from tickloom.session import CLUSTER_DEFAULTS, build_session, pin_utc, scratch_dir, stored
 from tickloom.sources import events as ev
 
 
@@ -55,6 +55,14 @@ def test_scratch_follows_the_cluster_setting(spark):
     assert base in df.inputFiles()[0]
 
 
+def test_session_keeps_settings_made_before(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "32m")
+    assert build_session().conf.get(key) == "32m"
+    spark.conf.set(key, before)
+
+
 def test_session(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     pin_utc(spark)

@@ -24,24 +24,22 @@ CLUSTER_DEFAULTS = {
 
 def build_session(app_name: str = "tickloom", master: str | None = None,
                   overrides: dict[str, str] | None = None) -> SparkSession:
-    """A session with UTC time and settings for large shuffles; cluster settings win over ours."""
+    """A session with UTC time and settings for large shuffles. Settings of the cluster, and those
+    already made in a running session, win over ours."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in (overrides or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    given = overrides or {}
+    cluster, untouched = spark.sparkContext.getConf(), spark.newSession()
     for key, value in CLUSTER_DEFAULTS.items():
-        if key not in given and not _was_set(spark, key):
+        changed = spark.conf.get(key, None) != untouched.conf.get(key, None)
+        if not (key in (overrides or {}) or cluster.contains(key) or changed):
             spark.conf.set(key, value)
     return pin_utc(spark)
 
 
-def _was_set(spark: SparkSession, key: str) -> bool:
-    return spark.sparkContext.getConf().contains(key)
-
-
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Ticks carry wall-clock time without a zone; every date and window is taken in UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
