@@ -10,9 +10,9 @@ WITH RECURSIVE worded AS (
     ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM worded
 ), flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
 ), pairs AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS both
+  SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS common
   FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
-), links AS (SELECT x, y FROM pairs WHERE 100 * both >= 85 * (nx + ny - both)
+), links AS (SELECT x, y FROM pairs WHERE 100 * common >= 85 * (nx + ny - common)
 ), reach AS (
   SELECT doc_id, doc_id AS other FROM documents
   UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.other = l.x
