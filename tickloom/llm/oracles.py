@@ -20,3 +20,29 @@ WITH RECURSIVE worded AS (
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
 FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
 """
+
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+DECONTAMINATE = rf"""
+WITH docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS w FROM documents
+), items AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, '{_TERM}') AS w FROM benchmark
+), cut AS (SELECT item, least(10, len(w)) AS n, w FROM items WHERE len(w) > 0
+), known AS (
+  SELECT DISTINCT item, n, array_to_string(g, ' ') AS g FROM (
+    SELECT item, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: w[i:i + n - 1])) AS g FROM cut)
+), lengths AS (SELECT DISTINCT n FROM known
+), spots AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lengths WHERE len(w) >= n
+), hits AS (
+  SELECT s.doc_id, s.i, s.n, k.item FROM (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM spots) s
+  JOIN known k ON k.n = s.n AND k.g = s.g
+), places AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names
+  FROM hits GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(p.n_hit, 0) AS n_hit, coalesce(m.n_items, 0) AS n_items,
+  sha256(coalesce(m.names, '')) AS items_sha256, coalesce(p.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN places p USING (doc_id) LEFT JOIN named m USING (doc_id)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import minhash, oracles
+from tickloom.llm import decontaminate, minhash, oracles
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,10 +16,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_minhash_near_dedup": lambda s, d: minhash.near_duplicates(_table(s, d, "documents")),
+        "op10_benchmark_decontamination": lambda s, d: decontaminate.contamination(
+            _table(s, d, "documents"), _table(s, d, "benchmark")).drop("hit_words"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_minhash_near_dedup": oracles.MINHASH,
+        "op10_benchmark_decontamination": oracles.DECONTAMINATE,
     }
