@@ -41,7 +41,7 @@ BROADCAST_BYTES = 32 << 20
 
 _SEEDS = text.mix(np.arange(1, 2 * SIZE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _SIGNED = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
+    T.StructField("doc_id", T.LongType()), T.StructField("row_key", T.LongType()), T.StructField("n_shingles", T.LongType()),
     T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())),
     T.StructField("sketch", T.BinaryType()),
 ])
@@ -49,7 +49,45 @@ _SIGNED = T.StructType([
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for `docs(doc_id, text)`; see the module."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    found = _classes(docs, percent)
+    least = stored(found.groupBy("component").agg(F.min("doc_id").alias("component_id")), "minhash-named")
+    return found.join(least, "component", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicate(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """`docs` with one row of each group, that of the smallest id, and all rows without words.
+
+    Rows are found again by a hash of id and text, so only hashes are shuffled; equal rows are one.
+    """
+    found = stored(_classes(docs, percent).filter("component IS NOT NULL"), "minhash-classes")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key"))
+    first = stored(found.groupBy("component").agg(F.min(order)["row_key"].alias("first")), "minhash-first")
+    gone = found.join(first, "component").filter("row_key <> first").select("row_key").distinct()
+    twice = found.groupBy("row_key").count().filter("count > 1").select("row_key")
+    twice = stored(twice.join(gone, "row_key", "left_anti"), "minhash-twice")
+    gone = stored(gone, "minhash-gone")
+    kept = docs.join(_small(gone), _row_key() == gone["row_key"], "left_anti")
+    if twice.isEmpty():
+        return kept
+    repeated = kept.join(_small(twice), _row_key() == twice["row_key"], "left_semi")
+    repeated = repeated.withColumn("its_row_key", _row_key()).dropDuplicates(["its_row_key"]).drop("its_row_key")
+    return kept.join(_small(twice), _row_key() == twice["row_key"], "left_anti").unionByName(repeated)
+
+
+def _row_key():
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def _small(keys: DataFrame) -> DataFrame:
+    """Broadcast where its measured size allows."""
+    return F.broadcast(keys) if keys.count() * 16 <= BROADCAST_BYTES else keys
+
+
+def _classes(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, row_key, n_shingles, component (null without words) for each row."""
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _row_key().alias("row_key"))
     signed = stored(docs.mapInArrow(text.by_batch(_sign), _SIGNED), "minhash-signed")
     nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
@@ -74,12 +112,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     parts = graph.components(links, "a", "b")
     named = nodes.select("node", "first_id").join(parts, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = named.join(least, "component").select("node", "component_id")
-    out = signed.drop("bands", "sketch").join(named, "node", "left")
-    whole = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", whole.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = stored(named.select("node", "component"), "minhash-components")
+    return signed.select("doc_id", "row_key", "n_shingles", "node").join(named, "node", "left").drop("node")
 
 
 def shingles(raw: bytes | None) -> np.ndarray:
@@ -125,7 +159,7 @@ def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         bands.append(key.view(np.int64))
         sketches.append((text.mix(coordinates) & np.uint64(255)).astype(np.uint8).tobytes())
     return pa.RecordBatch.from_arrays([
-        batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()),
+        batch.column("doc_id"), batch.column("row_key"), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()),
         pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
     ], names=_SIGNED.names)
 

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontaminate, minhash, oracles
+import corpus_pipeline
+from tickloom.llm import decontaminate, minhash, mixing, oracles, sharding, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,9 +16,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_source_mixing": lambda s, d: mixing.mix(
+            _table(s, d, "documents").select("doc_id", "source", "text")).drop("text"),
+        "op3_sharding": lambda s, d: sharding.place(
+            _table(s, d, "documents").select("doc_id", "source"), corpus_pipeline.SHARDS),
         "op6_minhash_near_dedup": lambda s, d: minhash.near_duplicates(_table(s, d, "documents")),
+        "op7_toxicity": lambda s, d: toxicity.toxicity(_table(s, d, "documents"), _table(s, d, "labels")),
         "op10_benchmark_decontamination": lambda s, d: decontaminate.contamination(
             _table(s, d, "documents"), _table(s, d, "benchmark")).drop("hit_words"),
+        "pipeline": corpus_pipeline.run,
     }
 
 
