@@ -11,10 +11,9 @@ probability (1 - 0.85^5)^32 < 1e-8. Links are confirmed on full shingle sets:
 
 * Texts with equal sets are one node, so copies cost a row, not pairs.
 * Every node of a bucket is compared with the bucket's leader, and connected components follow.
-* In buckets that still hold several components, nodes of different components are compared, in
-  blocks, first by their sketches (a pair at 0.85 agrees in less than 0.7 of the coordinates with
-  probability < 1e-7) and then on full sets. So nothing is capped, and a group whose members all
-  lie near its leader costs a row per member.
+* In buckets that still hold several components, all full sets are compared in blocks of BLOCK
+  nodes, and a block returns a link only where it joins two components. So nothing is capped, and a
+  group costs a row per member, whether or not its members lie near its leader.
 
 Nulls and texts without words have an empty set and link with nothing. Rows repeat as they came;
 rows with equal sets share a component whatever their ids. A null id never names a component.
@@ -35,15 +34,13 @@ from tickloom.session import stored
 SHINGLE = 5
 BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
-LEAST_AGREE = 0.7
-BLOCK = 1024
+BLOCK, COLUMNS = 512, 4096
 BROADCAST_BYTES = 32 << 20
 
 _SEEDS = text.mix(np.arange(1, 2 * SIZE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _SIGNED = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("row_key", T.LongType()), T.StructField("n_shingles", T.LongType()),
     T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())),
-    T.StructField("sketch", T.BinaryType()),
 ])
 
 
@@ -90,7 +87,7 @@ def _classes(docs: DataFrame, percent: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _row_key().alias("row_key"))
     signed = stored(docs.mapInArrow(text.by_batch(_sign), _SIGNED), "minhash-signed")
     nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
     nodes = stored(nodes, "minhash-nodes")
 
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -106,7 +103,7 @@ def _classes(docs: DataFrame, percent: int) -> DataFrame:
         "component", F.coalesce("component", "node"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     left = placed.join(mixed.filter("lo <> hi").select("bucket"), "bucket")
-    rest = _verified(docs, nodes, _close_pairs(left, nodes), percent)
+    rest = _block_links(docs, stored(left, "minhash-mixed"), nodes, percent)
     links = stored(links.unionByName(rest), "minhash-links")
 
     parts = graph.components(links, "a", "b")
@@ -143,12 +140,12 @@ def sketch(items: np.ndarray) -> np.ndarray:
 
 
 def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
-    counts, nodes, bands, sketches = [], [], [], []
+    counts, nodes, bands = [], [], []
     for raw in text.as_bytes(batch.column("text")):
         items = shingles(raw)
         counts.append(len(items))
         if not len(items):
-            nodes.append(None), bands.append(None), sketches.append(None)
+            nodes.append(None), bands.append(None)
             continue
         coordinates = sketch(items)
         rows = text.mix(coordinates).reshape(BANDS, ROWS)
@@ -157,10 +154,9 @@ def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
             key = text.mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
         nodes.append(xxh3_128_digest(items.tobytes()))
         bands.append(key.view(np.int64))
-        sketches.append((text.mix(coordinates) & np.uint64(255)).astype(np.uint8).tobytes())
     return pa.RecordBatch.from_arrays([
         batch.column("doc_id"), batch.column("row_key"), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()),
-        pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
+        pa.array(bands, pa.list_(pa.int64())),
     ], names=_SIGNED.names)
 
 
@@ -169,14 +165,18 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int)
     pairs = stored(pairs, "minhash-pairs")
     needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     needed = stored(nodes.select("node", "first_id").join(needed, "node"), "minhash-needed")
+    sets = stored(_sets_of(docs, needed), "minhash-sets")
+    both = pairs.join(sets.toDF("a", "items_a"), "a").join(sets.toDF("b", "items_b"), "b")
+    return both.mapInArrow(text.by_batch(lambda batch: _alike(batch, percent)), "a binary, b binary")
+
+
+def _sets_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """node, items (its sorted shingles) for the nodes of `needed(node, first_id)`."""
     ids = needed.select(F.col("first_id").alias("id")).distinct()
     if needed.count() * 16 <= BROADCAST_BYTES:  # else texts are shuffled by id
         ids = F.broadcast(ids)
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["id"]), "left_semi").select("text")
-    sets = texts.mapInArrow(text.by_batch(_sets), "node binary, items binary")
-    sets = stored(sets.dropDuplicates(["node"]), "minhash-sets")
-    both = pairs.join(sets.toDF("a", "items_a"), "a").join(sets.toDF("b", "items_b"), "b")
-    return both.mapInArrow(text.by_batch(lambda batch: _alike(batch, percent)), "a binary, b binary")
+    return texts.mapInArrow(text.by_batch(_sets), "node binary, items binary").dropDuplicates(["node"])
 
 
 def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -200,48 +200,64 @@ def _alike(batch: pa.RecordBatch, percent: int) -> pa.RecordBatch:
     return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _close_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components whose sketches agree, found block by block."""
+def _block_links(docs: DataFrame, members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of a bucket, enough of them to join what is linked."""
+    needed = stored(nodes.select("node", "first_id").join(members.select("node").distinct(), "node"), "minhash-needed")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     group = ["bucket", "lo", "hi"]
-    rows = rows.join(nodes.select("node", "sketch"), "node").select(
+    rows = rows.join(_sets_of(docs, needed), "node").select(
         "bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own",
-        "node", "component", "sketch")
+        "node", "component", "items")
     count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(count, *group).sortWithinPartitions(*group)
-    return rows.mapInArrow(_agreeing, "a binary, b binary").distinct()
-
-
-def _agreeing(batches):
-    rest = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([rest, table]) if rest is not None else table
-        key = np.stack([table.column(k).to_numpy() for k in ("bucket", "lo", "hi")])
-        cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
-        bounds = [0, *cuts.tolist()]
-        for start, end in zip(bounds, bounds[1:], strict=False):
-            yield from _group_pairs(table.slice(start, end - start))
-        rest = table.slice(bounds[-1])
-    if rest is not None and rest.num_rows:
-        yield from _group_pairs(rest)
-
-
-def _group_pairs(group: pa.Table):
+    return rows.mapInArrow(lambda batches: _each_group(batches, percent), "a binary, b binary").distinct()
+
+
+def _each_group(batches, percent: int):
+    for group in text.by_group(batches, ["bucket", "lo", "hi"]):
+        yield from _group_links(group, percent)
+
+
+def _group_links(group: pa.Table, percent: int):
+    """All sets of the group against each other, as products of a 0/1 matrix by shared shingle."""
+    parts = np.unique(np.array(group.column("component").to_pylist(), object), return_inverse=True)[1]
+    if parts.max() == 0:
+        return
+    sets = [np.frombuffer(x, np.uint64) for x in group.column("items").to_pylist()]
+    sizes = np.array([len(s) for s in sets])
+    row = np.repeat(np.arange(len(sets)), sizes)
+    _, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    place = np.cumsum(seen > 1) - 1
+    shared = (seen > 1)[column]
+    row, column = row[shared], place[column[shared]]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(place[-1]) + 1, COLUMNS):
+        inside = (column >= start) & (column < start + COLUMNS)
+        dense = np.zeros((len(sets), COLUMNS), np.float32)
+        dense[row[inside], column[inside] - start] = 1
+        common += dense @ dense.T
+    linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    linked &= parts[:, None] != parts[None, :]
     lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
-    own = group.column("own").to_numpy()
-    nodes = np.array(group.column("node").to_pylist(), object)
-    part = np.unique(np.array(group.column("component").to_pylist(), object), return_inverse=True)[1]
-    marks = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, SIZE)
-    left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
-    for i in left:
-        js = right[(right > i) if lo == hi else slice(None)]
-        js = js[part[js] != part[i]]
-        js = js[(marks[js] == marks[i]).mean(axis=1) >= LEAST_AGREE]
-        if len(js):
-            pairs = [sorted((nodes[i], nodes[j])) for j in js]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary()),
-            ], names=["a", "b"])
+    if lo != hi:
+        own = group.column("own").to_numpy()
+        linked &= own[:, None] != own[None, :]
+    root = list(range(int(parts.max()) + 1))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    nodes, found = group.column("node").to_pylist(), []
+    for i, j in zip(*np.nonzero(np.triu(linked)), strict=True):
+        x, y = find(int(parts[i])), find(int(parts[j]))
+        if x != y:
+            root[x] = y
+            found.append(sorted((nodes[i], nodes[j])))
+    if found:
+        yield pa.RecordBatch.from_arrays([
+            pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary()),
+        ], names=["a", "b"])

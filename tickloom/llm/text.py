@@ -48,3 +48,19 @@ def by_batch(each: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.Recor
                 out = each(batch.slice(start, 1000))
                 yield from [out] if isinstance(out, pa.RecordBatch) else out
     return run
+
+
+def by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of rows that are sorted by whole-number `keys`, one after the other."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        key = np.stack([table.column(k).to_numpy() for k in keys])
+        cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+        bounds = [0, *cuts.tolist()]
+        for start, end in zip(bounds, bounds[1:], strict=False):
+            yield table.slice(start, end - start)
+        rest = table.slice(bounds[-1])
+    if rest is not None and rest.num_rows:
+        yield rest
