@@ -46,3 +46,42 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(p.n_hit, 0) AS n_
   sha256(coalesce(m.names, '')) AS items_sha256, coalesce(p.n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN places p USING (doc_id) LEFT JOIN named m USING (doc_id)
 """
+
+NEIGHBOURS = """
+WITH RECURSIVE valid AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM valid a JOIN valid b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT r.vec_id, l.y FROM reach r JOIN links l ON r.other = l.x
+), least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id
+), counts AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l USING (vec_id) LEFT JOIN counts c USING (vec_id)
+"""
+
+REPEATS = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), strings AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM docs)
+), least AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM strings JOIN least USING (s) WHERE doc_id > first
+), bytes AS (
+  SELECT d.doc_id, b.p, substr(d.h, 2 * b.p + 1, 2) AS b, g.p IS NOT NULL AS g
+  FROM (SELECT doc_id, unnest(range(0, len(h) // 2)) AS p FROM docs) b JOIN docs d USING (doc_id)
+  LEFT JOIN gone g ON g.doc_id = b.doc_id AND g.p = b.p
+), runs AS (
+  SELECT doc_id, p, b, g, g AND NOT coalesce(lag(g) OVER (PARTITION BY doc_id ORDER BY p), false) AS begins FROM bytes
+), kept AS (
+  SELECT doc_id, count(*) FILTER (g) AS n_removed, count(*) FILTER (begins) AS n_spans,
+    coalesce(string_agg(b, '' ORDER BY p) FILTER (NOT g), '') AS k FROM runs GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(k.n_removed, 0) AS n_removed,
+  coalesce(k.n_spans, 0) AS n_spans, sha256(unhex(coalesce(k.k, ''))) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tickloom.llm import decontaminate, minhash, mixing, oracles, sharding, toxicity
+from tickloom.llm import decontaminate, katz, minhash, mixing, neighbours, oracles, repeats, sharding, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,10 +18,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": lambda s, d: mixing.mix(
             _table(s, d, "documents").select("doc_id", "source", "text")).drop("text"),
+        "op2_embedding_near_dedup": lambda s, d: neighbours.near_duplicates(
+            _table(s, d, "embeddings")).drop("audited_recall"),
         "op3_sharding": lambda s, d: sharding.place(
             _table(s, d, "documents").select("doc_id", "source"), corpus_pipeline.SHARDS),
         "op6_minhash_near_dedup": lambda s, d: minhash.near_duplicates(_table(s, d, "documents")),
         "op7_toxicity": lambda s, d: toxicity.toxicity(_table(s, d, "documents"), _table(s, d, "labels")),
+        "op8_katz_scores": lambda s, d: katz.scores(_table(s, d, "documents")),
+        "op9_repeated_substrings": lambda s, d: repeats.remove_repeats(_table(s, d, "documents")),
         "op10_benchmark_decontamination": lambda s, d: decontaminate.contamination(
             _table(s, d, "documents"), _table(s, d, "benchmark")).drop("hit_words"),
         "pipeline": corpus_pipeline.run,
@@ -30,6 +34,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_embedding_near_dedup": oracles.NEIGHBOURS,
+        "op9_repeated_substrings": oracles.REPEATS,
         "op6_minhash_near_dedup": oracles.MINHASH,
         "op10_benchmark_decontamination": oracles.DECONTAMINATE,
     }
