@@ -73,7 +73,7 @@ WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
   SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM strings JOIN least USING (s) WHERE doc_id > first
 ), bytes AS (
   SELECT d.doc_id, b.p, substr(d.h, 2 * b.p + 1, 2) AS b, g.p IS NOT NULL AS g
-  FROM (SELECT doc_id, unnest(range(0, len(h) // 2)) AS p FROM docs) b JOIN docs d USING (doc_id)
+  FROM (SELECT doc_id, unnest(range(0, len(h) // 2)) AS p FROM docs WHERE doc_id IN (SELECT doc_id FROM gone)) b JOIN docs d USING (doc_id)
   LEFT JOIN gone g ON g.doc_id = b.doc_id AND g.p = b.p
 ), runs AS (
   SELECT doc_id, p, b, g, g AND NOT coalesce(lag(g) OVER (PARTITION BY doc_id ORDER BY p), false) AS begins FROM bytes
@@ -82,6 +82,23 @@ WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
     coalesce(string_agg(b, '' ORDER BY p) FILTER (NOT g), '') AS k FROM runs GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(k.n_removed, 0) AS n_removed,
-  coalesce(k.n_spans, 0) AS n_spans, sha256(unhex(coalesce(k.k, ''))) AS kept_sha256
+  coalesce(k.n_spans, 0) AS n_spans, sha256(unhex(coalesce(k.k, d.h))) AS kept_sha256
 FROM docs d LEFT JOIN kept k USING (doc_id)
 """
+
+LINES = """
+WITH split AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS a FROM documents
+), filled AS (
+  SELECT doc_id, list_filter(list_transform(a, lambda x, i: {'i': i, 'x': x}), lambda s: trim(s.x) <> '') AS f FROM split
+), runs AS (
+  SELECT doc_id, j, list_transform(f[j:j + 2], lambda s: s.x) AS run
+  FROM (SELECT doc_id, f, unnest(range(1, len(f) - 1)) AS j FROM filled WHERE len(f) >= 3)
+), later AS (
+  SELECT doc_id, j FROM (SELECT doc_id, j, row_number() OVER (PARTITION BY run ORDER BY doc_id, j) AS n FROM runs) WHERE n > 1
+), gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(j, j + 3)) AS p FROM later) GROUP BY doc_id
+), placed AS (SELECT doc_id, list_transform(g.ps, lambda p: f[p].i) AS gone FROM gone g JOIN filled USING (doc_id))
+SELECT s.doc_id, CAST(len(f.f) AS BIGINT) AS line_count, CAST(coalesce(len(p.gone), 0) AS BIGINT) AS lines_removed,
+  sha256(CASE WHEN p.gone IS NULL THEN s.text ELSE coalesce(array_to_string(
+    list_filter(s.a, lambda x, i: NOT list_contains(p.gone, i)), chr(10)), '') END) AS kept_sha256
+FROM split s JOIN filled f USING (doc_id) LEFT JOIN placed p USING (doc_id)
+"""

@@ -5,15 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickloom.llm import decontaminate, katz, minhash, mixing, neighbours, oracles, repeats, sharding, toxicity
+from tickloom.llm import cotraining, decontaminate, katz, lines, minhash, mixing, neighbours, oracles, repeats, sharding, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _line_digest(docs: DataFrame) -> DataFrame:
+    kept = lines.deduplicate_lines(docs.select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return kept.select("doc_id", "line_count", "lines_removed", digest.alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": lambda s, d: mixing.mix(
@@ -22,6 +29,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _table(s, d, "embeddings")).drop("audited_recall"),
         "op3_sharding": lambda s, d: sharding.place(
             _table(s, d, "documents").select("doc_id", "source"), corpus_pipeline.SHARDS),
+        "op4_quality_cotraining": lambda s, d: cotraining.quality(_table(s, d, "documents"), _table(s, d, "labels")),
+        "op5_line_dedup": lambda s, d: _line_digest(_table(s, d, "documents")),
         "op6_minhash_near_dedup": lambda s, d: minhash.near_duplicates(_table(s, d, "documents")),
         "op7_toxicity": lambda s, d: toxicity.toxicity(_table(s, d, "documents"), _table(s, d, "labels")),
         "op8_katz_scores": lambda s, d: katz.scores(_table(s, d, "documents")),
@@ -35,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_embedding_near_dedup": oracles.NEIGHBOURS,
+        "op5_line_dedup": oracles.LINES,
         "op9_repeated_substrings": oracles.REPEATS,
         "op6_minhash_near_dedup": oracles.MINHASH,
         "op10_benchmark_decontamination": oracles.DECONTAMINATE,
