@@ -1,0 +1,54 @@
+import random
+
+import pytest
+
+from tickloom.llm import lines
+
+
+def brute(rows):
+    order = lambda i: (i is None, i or 0)
+    texts = [[(k, x) for k, x in enumerate((t or "").split("\n")) if x.strip(" ")] for _, t in rows]
+    first = {}
+    for (doc_id, _), f in zip(rows, texts):
+        for j in range(len(f) - lines.RUN + 1):
+            run = tuple(x for _, x in f[j:j + lines.RUN])
+            first[run] = min(first.get(run, ((True, 1 << 70), 0)), (order(doc_id), j))
+    out = []
+    for (doc_id, text), f in zip(rows, texts):
+        gone = set()
+        for j in range(len(f) - lines.RUN + 1):
+            if first[tuple(x for _, x in f[j:j + lines.RUN])] < (order(doc_id), j):
+                gone |= {k for k, _ in f[j:j + lines.RUN]}
+        kept = None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
+        out.append((doc_id, kept, len(f), len(gone)))
+    return sorted(out, key=str)
+
+
+def corpus(seed, n, variety):
+    rng = random.Random(seed)
+    return [(i, "\n".join(rng.choice([f"line {rng.randint(0, variety)}"] * 9 + ["", "  "]) for _ in range(rng.randint(0, 25)))) for i in range(n)]
+
+
+EDGES = [(700, None), (701, ""), (702, "\n\n\n"), (703, "a\nb\nc"), (704, "a\n\nb\nc\nd"), (705, "x\n" * 3000), (706, "a\nb"),
+         (None, "a\nb\nc"), (707, "A\nB\nC"), (708, "p\nq\nr\np\nq\nr"), (709, "word " * 20_000), (703, "a\nb\nc")]
+
+
+@pytest.mark.parametrize("variety", [3, 12, 200])
+def test_equals_brute_force(make, variety):
+    rows = corpus(variety, 60, variety) + EDGES
+    docs = make(rows, clash=True)
+    got = lines.deduplicate_lines(docs)
+    assert set(docs.columns) < set(got.columns)
+    assert sorted([(r.doc_id, r.text, r.line_count, r.lines_removed) for r in got.collect()], key=str) == brute(rows)
+
+
+def test_longer_runs_and_no_broadcast(make, monkeypatch):
+    monkeypatch.setattr(lines, "RUN", 5)
+    monkeypatch.setattr(lines, "BROADCAST_BYTES", -1)
+    rows = corpus(9, 80, 2)
+    got = lines.deduplicate_lines(make(rows)).collect()
+    assert sorted([(r.doc_id, r.text, r.line_count, r.lines_removed) for r in got], key=str) == brute(rows)
+
+
+def test_empty_table(make):
+    assert lines.deduplicate_lines(make([])).collect() == []

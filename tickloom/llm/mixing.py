@@ -3,8 +3,8 @@
 A source's weight is its token share to the power of an exponent, normalised. The exponent is
 bisected: the entropy of the weights falls as it grows, and so does the largest number of times a
 source must be repeated. The result meets the target entropy if the repetition limit allows it, and
-otherwise comes as near as the limit allows. Every bisection step is one small aggregation over the
-stored table of sources.
+otherwise comes as near as the limit allows. Every four bisection steps are one small aggregation over
+the stored table of sources.
 
 The weights become rows by budgeted block permutations: a source with a quota of q tokens and T
 tokens gives floor(q / T) whole passes and then the start of one more, each pass in an order of its
@@ -16,11 +16,13 @@ spreads every source evenly over the mix: any stretch of slots holds the weights
 less than one whole pass, so nothing is lost. Tokens are runs of characters other than x20 and
 x09-x0D. A null source is a source of its own. A source without tokens has weight zero, cannot be
 measured against a budget and gives one pass. Repeated rows and ids are rows of their own, but
-equal rows come in the same place of a pass. Columns beyond doc_id, text and source pass through.
+equal rows come in the same place of a pass. Columns pass through, but
+those that mixing adds replace any of their name.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -53,43 +55,50 @@ def weights(sources: DataFrame, entropy: float = ENTROPY, most_passes: float = M
         return 1.0, 0.0
     share = F.col("tokens") / F.lit(float(total))
 
-    def at(exponent: float) -> tuple[float, float, float]:
-        power = F.exp(F.log(share) * exponent)
-        norm, weighted, largest, dearest = known.agg(
-            F.sum(power), F.sum(power * F.log(share) * exponent), F.max(power / F.col("tokens")),
-            F.max(F.col("tokens") / power)).first()
-        need = float(budget) if budget is not None else dearest * norm
-        return math.log(norm) - weighted / norm, need * largest / norm, need
-
-    def bisect(good) -> float:
-        """The largest exponent from 0 to 1 that is good, where smaller ones are good too; or 0."""
-        if good(at(1.0)):
-            return 1.0
-        low, high = 0.0, 1.0
-        for _ in range(STEPS):
-            middle = (low + high) / 2
-            low, high = (middle, high) if good(at(middle)) else (low, middle)
-        return low
+    def at(exponents: list[float]) -> list[tuple[float, float, float]]:
+        """For each exponent the entropy, the most passes of a source, and the budget."""
+        sums = []
+        for e in exponents:
+            power = F.exp(F.log(share) * e)
+            sums += [F.sum(power), F.sum(power * F.log(share) * e), F.max(power / F.col("tokens")), F.max(F.col("tokens") / power)]
+        row, out = known.agg(*sums).first(), []
+        for norm, weighted, largest, dearest in zip(*[iter(row)] * 4, strict=True):
+            need = float(budget) if budget is not None else dearest * norm
+            out.append((math.log(norm) - weighted / norm, need * largest / norm, need))
+        return out
+
+    def bisect(low: float, high: float, below) -> tuple[float, float]:
+        """Narrow to where `below` turns false, four halvings with each aggregation."""
+        for _ in range(STEPS // 4):
+            points = [low + (high - low) * k / 16 for k in range(1, 16)]
+            held = sum(1 for _ in itertools.takewhile(below, at(points)))
+            points = [low, *points, high]
+            low, high = points[held], points[held + 1]
+        return low, high
 
     goal = entropy * math.log(count)
-    exponent = bisect(lambda x: x[0] >= goal)
-    if at(exponent)[1] > most_passes:  # repeats grow as the exponent falls, so stop earlier
-        low, high = exponent, 1.0
-        for _ in range(STEPS):
-            middle = (low + high) / 2
-            low, high = (low, middle) if at(middle)[1] <= most_passes else (middle, high)
-        exponent = high
-    return exponent, at(exponent)[2]
+    even, asis = at([0.0, 1.0])
+    if asis[0] >= goal:
+        exponent, now = 1.0, asis
+    elif even[0] < goal:
+        exponent, now = 0.0, even
+    else:
+        exponent = bisect(0.0, 1.0, lambda x: x[0] >= goal)[0]
+        now, = at([exponent])
+    if now[1] > most_passes:  # repeats grow as the exponent falls, so stop earlier
+        exponent = bisect(exponent, 1.0, lambda x: x[1] > most_passes)[1]
+        now, = at([exponent])
+    return exponent, now[2]
 
 
 def quotas(sources: DataFrame, exponent: float, budget: float) -> DataFrame:
     """source, tokens, weight, passes (whole ones), rest (tokens of the last), span (all, in passes)."""
-    share = F.col("tokens") / sources.filter("tokens > 0").agg(F.sum("tokens")).first()[0]
+    share = F.col("tokens") / (sources.agg(F.sum("tokens")).first()[0] or 1)
     power = F.when(F.col("tokens") > 0, F.exp(F.log(share) * exponent)).otherwise(0.0)
-    norm = sources.agg(F.sum(power)).first()[0]
+    norm = sources.agg(F.sum(power)).first()[0] or 1.0
     out = sources.withColumn("weight", power / norm)
     # A quota that is whole but for rounding is whole.
-    quota = F.col("weight") * F.lit(budget) / F.col("tokens")
+    quota = F.col("weight") * F.lit(budget) / F.when(F.col("tokens") > 0, F.col("tokens"))
     near = F.abs(quota - F.round(quota)) < 1e-9
     span = F.when(F.col("tokens") > 0, F.when(near, F.round(quota)).otherwise(quota)).otherwise(1.0)
     out = out.withColumn("span", span).withColumn("passes", F.floor("span").cast("long"))
@@ -160,4 +169,5 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, most_passes: float = MOST_PAS
     part = F.when(F.col("mix_pass") < F.col("passes"), within).otherwise(
         F.col("place") / F.greatest(F.col("end"), F.lit(1)) * (F.col("span") - F.col("passes")))
     slot = (F.col("mix_pass") + part) / F.col("span")
-    return rows.select("d.*", F.col("n").alias("mix_tokens"), "mix_pass", slot.alias("mix_slot"))
+    others = [F.col(f"d.`{c}`") for c in docs.columns if c not in ("mix_tokens", "mix_pass", "mix_slot")]
+    return rows.select(*others, F.col("n").alias("mix_tokens"), "mix_pass", slot.alias("mix_slot"))
