@@ -32,18 +32,18 @@ NO_ID = (1 << 63) - 1
 def deduplicate_lines(docs: DataFrame) -> DataFrame:
     """`docs` with repeated runs cut out of the text, and line_count, lines_removed."""
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    gone = stored(repeated_lines(docs), "lines-gone")
-    held = gone.agg(F.sum(32 + 4 * F.size("gone"))).first()[0] or 0
+    gone = stored(repeated_lines(docs).toDF("_llm_key", "_llm_gone"), "lines-gone")
+    held = gone.agg(F.sum(32 + 4 * F.size("_llm_gone"))).first()[0] or 0
     if held <= BROADCAST_BYTES:  # else the documents are shuffled by key
         gone = F.broadcast(gone)
     lines = F.split(F.col("text").cast("string"), "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i)), "\n")
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_llm_gone", i)), "\n")
     count = F.coalesce(F.size(F.filter(lines, lambda x: F.trim(x) != "")), F.lit(0)).cast("long")
     count = F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(count)
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "line_count", "lines_removed")]
-    return docs.join(gone, key == gone["gone_key"], "left").select(
-        *others, F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
-        count.alias("line_count"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("lines_removed"))
+    return docs.join(gone, key == gone["_llm_key"], "left").select(
+        *others, F.when(F.col("_llm_gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
+        count.alias("line_count"), F.coalesce(F.size("_llm_gone"), F.lit(0)).cast("long").alias("lines_removed"))
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:

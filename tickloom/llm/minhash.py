@@ -69,7 +69,7 @@ def deduplicate(docs: DataFrame, percent: int = 85) -> DataFrame:
     if twice.isEmpty():
         return kept
     repeated = kept.join(_small(twice), _row_key() == twice["row_key"], "left_semi")
-    repeated = repeated.withColumn("its_row_key", _row_key()).dropDuplicates(["its_row_key"]).drop("its_row_key")
+    repeated = repeated.withColumn("_llm_row_key", _row_key()).dropDuplicates(["_llm_row_key"]).drop("_llm_row_key")
     return kept.join(_small(twice), _row_key() == twice["row_key"], "left_anti").unionByName(repeated)
 
 
