@@ -27,9 +27,8 @@ def _key(row: tuple) -> tuple:
 
 
 def _plain(value):
-    if isinstance(value, float):
-        return None if math.isnan(value) else value
-    return value
+    """NaN equals itself, and is not null."""
+    return "NaN" if isinstance(value, float) and math.isnan(value) else value
 
 
 def rows_of_spark(df: DataFrame) -> tuple[list[str], list[tuple]]:

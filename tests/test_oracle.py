@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+from tickloom import catalog
 from tests.conftest import CHECKED
 from tests.oracle_check import compare, connect, rows_of_spark, rows_of_sql
 
@@ -15,13 +16,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_equals_sql(spark, con, name):
-    got = rows_of_spark(driver.queries()[name](spark, CHECKED))
-    expected = rows_of_sql(con, driver.oracle_sql()[name])
+    got = rows_of_spark(catalog.queries()[name](spark, CHECKED))
+    expected = rows_of_sql(con, catalog.oracle_sql()[name])
     assert compare(got, expected) is None
     assert got[1], "a query should have rows to compare"
 

@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import as_dicts, plan_of
 from tickloom.operators import quality
-from tickloom.operators.lookup import fits, lookup
+from tickloom.operators.lookup import lookup, measured_bytes
 from tickloom.plans.staging import literal_rows, rows_with_id, union_all
 from tickloom.schemas import MARKET_ALERTS, MOVING_AVERAGES, RAW_TICKS, SECTOR_PERFORMANCE
 
@@ -107,11 +108,31 @@ def test_lookup_broadcasts_only_below_the_bound(spark):
         .alias("symbol"), F.col("id").alias("volume"))
     dimension = spark.createDataFrame(
         [("HOT", "S")] + [(f"K{i}", f"S{i % 5}") for i in range(30)], "symbol string, sector string")
-    assert fits(dimension, 31) and not fits(dimension, 30)
+    size = measured_bytes(dimension)
+    assert 31 * 32 < size < 31 * 64
     small = lookup(facts, dimension, "symbol")
-    salted = lookup(facts, dimension, "symbol", broadcast_rows=30, salts=4)
+    salted = lookup(facts, dimension, "symbol", broadcast_bytes=size - 1, salts=4)
     assert "__salt" not in salted.columns
     assert "__salt" not in plan_of(small) and "__salt" in plan_of(salted)
     assert small.count() == 1000
     assert small.exceptAll(salted.select(small.columns)).count() == 0
     assert salted.where("sector is null").count() == small.where("sector is null").count() > 0
+
+
+def test_lookup_bound_is_in_bytes_and_keys_are_checked(spark):
+    facts = spark.range(10).selectExpr("concat('K', id) as symbol")
+    wide = spark.createDataFrame([("K1", "x" * 5000)], "symbol string, sector string")
+    assert "__salt" in plan_of(lookup(facts, wide, "symbol", broadcast_bytes=4000))
+    twice = spark.createDataFrame([("K1", "a"), ("K1", "b")], "symbol string, sector string")
+    with pytest.raises(ValueError, match="2 rows"):
+        lookup(facts, twice, "symbol")
+    nulls = spark.createDataFrame([(None, "a"), (None, "b")], "symbol string, sector string")
+    assert lookup(facts, nulls, "symbol").count() == 10
+
+
+def test_salt_splits_alike_facts(spark):
+    facts = spark.range(1000).selectExpr("'HOT' as symbol")
+    dimension = spark.createDataFrame([("HOT", "S")], "symbol string, sector string")
+    joined = lookup(facts, dimension, "symbol", broadcast_bytes=0, salts=32)
+    salts = facts.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(32)).alias("s")).distinct().count()
+    assert salts == 32 and joined.where("sector = 'S'").count() == 1000

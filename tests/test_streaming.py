@@ -155,7 +155,7 @@ def test_both_aggregates_run_over_one_source(spark, tmp_path):
 
 def test_small_batches_make_few_files(spark, tmp_path):
     out = str(tmp_path / "out")
-    write = sinks.batch_writer(out, MOVING_AVERAGES, "c", small=True, rows_per_file=40)
+    write = sinks.batch_writer(out, MOVING_AVERAGES, small=True, rows_per_file=40, run="c")
     rows = spark.range(100, numPartitions=16).selectExpr(
         "concat('S', id) as symbol", "'5min' as window_size", "1D as avg_price",
         "timestamp'2024-01-01 09:00:00' as window_end_time")
@@ -167,8 +167,8 @@ def test_small_batches_make_few_files(spark, tmp_path):
 
 def test_retried_batch_replaces_itself(spark, tmp_path):
     out = str(tmp_path / "out")
-    write = sinks.batch_writer(out, MOVING_AVERAGES, "checkpoint-a", small=True)
-    other = sinks.batch_writer(out, MOVING_AVERAGES, "checkpoint-b", small=True)
+    write = sinks.batch_writer(out, MOVING_AVERAGES, small=True, run="a")
+    other = sinks.batch_writer(out, MOVING_AVERAGES, small=True, run="b")
     rows = spark.sql("select 'A' as symbol, '5min' as window_size, 1.005D as avg_price, "
                      "timestamp'2024-01-01 09:00:00' as window_end_time")
     write(rows, 0)
@@ -186,7 +186,7 @@ def test_retried_batch_replaces_itself(spark, tmp_path):
 
 def test_rows_that_break_the_contract_are_kept_apart(spark, tmp_path):
     out = str(tmp_path / "out")
-    write = sinks.batch_writer(out, SECTOR_PERFORMANCE, "c")
+    write = sinks.batch_writer(out, SECTOR_PERFORMANCE, run="c")
     write(spark.sql(
         "select s as sector, p as avg_price, 1L as total_volume, cast(null as double) as "
         "avg_change_percent, timestamp'2024-01-01 09:00:00' as window_end_time "

@@ -73,13 +73,13 @@ sizes(window_size, width) AS (
 ),
 windows AS (
     SELECT symbol, window_size, time_bucket(width, tick_time) + width AS window_close,
-           avg(price) AS avg_price, max(tick_time) AS window_end_time
+           sum(cents) / (count(*) * 100.0) AS avg_price, max(tick_time) AS window_end_time
     FROM ticks, sizes GROUP BY symbol, window_size, width, time_bucket(width, tick_time)
 ),
 sector_windows AS (
     SELECT sector, time_bucket(INTERVAL 15 MINUTE, tick_time) + INTERVAL 15 MINUTE AS window_close,
-           avg(price) AS avg_price, CAST(sum(volume) AS BIGINT) AS total_volume,
-           avg(change_percent) AS avg_change_percent, max(tick_time) AS window_end_time
+           sum(cents) / (count(*) * 100.0) AS avg_price, CAST(sum(volume) AS BIGINT) AS total_volume,
+           sum(change_tenths) / (count(*) * 10.0) AS avg_change_percent, max(tick_time) AS window_end_time
     FROM ticks GROUP BY sector, time_bucket(INTERVAL 15 MINUTE, tick_time)
 ),
 released AS (SELECT max(tick_time) - INTERVAL 1 MINUTE AS until FROM ticks),
@@ -191,7 +191,7 @@ joined AS (
     FROM per_tick JOIN moving USING (symbol, trade_date)
         LEFT JOIN lagged USING (symbol, trade_date)
 )
-SELECT *, count(*) AS copies FROM joined GROUP BY ALL"""
+SELECT *, CAST(count(*) AS VARCHAR) AS copies FROM joined GROUP BY ALL"""
 
 STREAM_VS_BATCH = f"""
 SELECT symbol, CAST(analysis_date AS VARCHAR) AS analysis_date,
@@ -230,11 +230,11 @@ FROM (
 ORDER BY run_date, avg_execution_time DESC"""
 
 
-def _data_volume(table: str) -> str:
+def _data_volume(table: str, volume: str = "BIGINT") -> str:
     return f"""
 SELECT CAST(trade_date AS VARCHAR) AS analysis_date, count(*) AS total_records,
        count(DISTINCT symbol) AS total_symbols,
-       CAST(sum(daily_volume) AS BIGINT) AS total_trade_volume
+       CAST(sum(daily_volume) AS {volume}) AS total_trade_volume
 FROM {table} GROUP BY trade_date ORDER BY 1"""
 
 
@@ -281,7 +281,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_stats": STREAM_STATS,
         "batch_run_stats": BATCH_RUN_STATS,
         "data_volume": _data_volume("metrics"),
-        "data_volume_per_tick": _data_volume("per_tick"),
+        "data_volume_per_tick": _data_volume("per_tick", "VARCHAR"),
         "quote_normalise": f"""
 SELECT symbol, CASE WHEN sent THEN price END AS price,
        CAST(CASE WHEN sent THEN volume END AS DOUBLE) AS volume,
@@ -296,6 +296,11 @@ FROM ticks t LEFT JOIN supplier s ON t.symbol = 'U' || s.s_suppkey
         "sector_lookup_unknown": f"""
 SELECT t.id, t.symbol, {_six('price')} FROM ticks t
 WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE t.symbol = 'U' || s.s_suppkey)""",
+        "sector_lookup_default": f"""
+SELECT t.id, t.symbol, {_six('price')}, coalesce(r.r_name, 'Unknown') AS sector
+FROM ticks t LEFT JOIN supplier s ON t.symbol = 'U' || s.s_suppkey
+    LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+    LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
         "tick_decode": f"""
 SELECT * REPLACE (CAST(volume AS DOUBLE) AS volume)
 FROM (SELECT {TICK_VALUES} FROM ticks WHERE kind <> 'error')
@@ -313,14 +318,34 @@ SELECT * FROM (
         "check_unique": "SELECT symbol, count(*) AS n_records FROM ticks "
                         "WHERE symbol IS NOT NULL GROUP BY symbol HAVING count(*) > 1",
         "sink_accept": f"SELECT {TICK_VALUES} FROM judged WHERE reject_reason = ''",
-        "sink_reject": "SELECT reject_reason, symbol FROM judged WHERE reject_reason <> ''",
+        "sink_reject": f"SELECT reject_reason, {TICK_VALUES} FROM judged WHERE reject_reason <> ''",
         "raw_ingest": f"SELECT {TICK_VALUES} FROM ticks WHERE kind <> 'error'",
+        "raw_ingest_resumed": f"SELECT {TICK_VALUES} FROM ticks WHERE kind <> 'error'",
+        "raw_ingest_day": f"SELECT CAST(trade_date AS VARCHAR) AS trade_date, {TICK_VALUES} FROM ticks "
+                          "WHERE kind <> 'error' AND trade_date = (SELECT min(trade_date) FROM ticks)",
+        "raw_ingest_keys": "SELECT symbol, true AS has_id, true AS has_load_time, CAST(count(*) AS BIGINT) AS n_rows "
+                           "FROM ticks WHERE kind <> 'error' GROUP BY symbol",
+        "table_by_name": f"SELECT id, {TICK_VALUES} FROM ticks",
+        "stream_sql_view": f"""
+SELECT symbol, {_iso('time_bucket(INTERVAL 5 MINUTE, tick_time)', 'window_start')}, count(*) AS n_ticks
+FROM ticks, released GROUP BY symbol, time_bucket(INTERVAL 5 MINUTE, tick_time), until
+HAVING time_bucket(INTERVAL 5 MINUTE, tick_time) + INTERVAL 5 MINUTE <= until""",
+        "stream_both_aggregates": f"""
+SELECT 'symbol' AS kind, symbol AS name, window_size, {_six('avg_price')}, {_iso('window_end_time', 'window_end_time')}
+FROM averages, released WHERE processed_timestamp - INTERVAL 60 SECOND <= until
+UNION ALL
+SELECT 'sector', sector, '15min', CAST(CAST(CAST(avg_price AS VARCHAR) AS DECIMAL(10, 2)) AS DOUBLE),
+       {_iso('window_end_time', 'window_end_time')}
+FROM sector_windows, released WHERE window_close <= until""",
         "raw_ingest_rejects": """
 SELECT 'symbol is null; price is null; volume is null; timestamp is null' AS reject_reason,
        '<' || message AS message
 FROM encoded WHERE kind = 'error'""",
         "stream_moving_averages": f"""
 SELECT symbol, window_size, {_six('avg_price')}, {_iso('window_end_time', 'window_end_time')}
+FROM averages, released WHERE processed_timestamp - INTERVAL 60 SECOND <= until""",
+        "stream_late_ticks": f"""
+SELECT symbol, window_size, {_six('avg_price')}, {_iso('window_end_time', 'window_end_time')}
 FROM averages, released WHERE processed_timestamp - INTERVAL 60 SECOND <= until""",
         "stream_sector_performance": f"""
 SELECT sector, CAST(CAST(CAST(avg_price AS VARCHAR) AS DECIMAL(10, 2)) AS DOUBLE) AS avg_price,

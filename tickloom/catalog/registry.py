@@ -6,6 +6,7 @@ six places, decimals as doubles, dates and times as ISO text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,11 +16,13 @@ from pyspark.sql import types as T
 from tickloom.operators import quality, windows
 from tickloom.operators.rollup import daily_rollup
 from tickloom.plans import daily, layers, monitor, price, sector
-from tickloom.plans.staging import rows_with_id, staging, union_all
-from tickloom.schemas import MOVING_AVERAGES, RAW_TICKS, SECTOR_PERFORMANCE
+from tickloom.functions import trade_date
+from tickloom.plans.staging import literal_rows, rows_with_id, staging, union_all
+from tickloom.schemas import MOVING_AVERAGES, RAW_TICKS, SECTOR_PERFORMANCE, TICK_MESSAGE
 from tickloom.session import scratch_dir, stored
 from tickloom.sources import events as ev
-from tickloom.sources.messages import TICK_COLUMNS, decode_ticks, encode_ticks
+from tickloom.sources import tables
+from tickloom.sources.messages import TICK_COLUMNS, decode_ticks, encode_ticks, file_messages
 from tickloom.sources.quotes import attach_sector, normalise_quotes
 from tickloom.streaming import runner, sinks
 
@@ -79,6 +82,8 @@ def queries() -> dict[str, Query]:
         "sector_lookup_unknown": lambda s, d: present(
             quality.check_not_null(_looked_up(s, d), "sector").drop("sector")
         ),
+        "sector_lookup_default": lambda s, d: present(_looked_up(s, d, "Unknown")),
+        "table_by_name": _table_by_name,
         "tick_decode": lambda s, d: present(_volume_as_double(
             decode_ticks(ev.tick_messages(ev.events(s, d))).select(*TICK_COLUMNS)
         )),
@@ -96,8 +101,14 @@ def queries() -> dict[str, Query]:
         "sink_reject": _sink_reject,
         "raw_ingest": _raw_ingest,
         "raw_ingest_rejects": _raw_ingest_rejects,
+        "raw_ingest_resumed": _raw_ingest_resumed,
+        "raw_ingest_day": _raw_ingest_day,
+        "raw_ingest_keys": _raw_ingest_keys,
+        "stream_sql_view": _stream_sql_view,
+        "stream_both_aggregates": _stream_both_aggregates,
         "stream_moving_averages": _stream_moving_averages,
         "stream_sector_performance": _stream_sector_performance,
+        "stream_late_ticks": _stream_late_ticks,
         "stored_layers": _stored_layers,
     }
 
@@ -109,23 +120,26 @@ def present(df: DataFrame) -> DataFrame:
 def _plain(field: T.StructField) -> Column:
     column = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.DecimalType):
-        return column.cast("bigint") if field.dataType.scale == 0 else column.cast("double")
+        return column.cast("string") if field.dataType.scale == 0 else column.cast("double")
     if isinstance(field.dataType, T.DoubleType):
         return _six_places(column)
     if isinstance(field.dataType, T.DateType):
         return column.cast("string")
     if isinstance(field.dataType, T.TimestampType):
-        return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        utc = F.to_utc_timestamp(column, F.current_timezone())
+        return F.date_format(utc, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return column
 
 
 def _six_places(column: Column) -> Column:
     """Half up, by way of nine places so that noise in the last bits does not decide a tie.
 
-    Plain arithmetic, as `round` on a double goes through a decimal object per value.
+    Plain arithmetic where nine places are whole numbers in a double; `round`, which goes through a
+    decimal object per value, for larger numbers and those that are none.
     """
     ninth = F.rint(column * 1e9)
-    return F.signum(ninth) * F.floor((F.abs(ninth) + 500) / 1000) / 1e6 + F.lit(0.0)
+    near = F.signum(ninth) * F.floor((F.abs(ninth) + 500) / 1000) / 1e6 + F.lit(0.0)
+    return F.when(F.abs(column) < 9e6, near).otherwise(F.round(column, 6))
 
 
 def _ticks(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,7 +158,7 @@ def _rollup(spark: SparkSession, folder: str) -> DataFrame:
 def _price_analytics_per_tick(spark: SparkSession, folder: str) -> DataFrame:
     rows = price.price_analytics_per_tick(daily.counted_metrics(_ticks(spark, folder)))
     return present(
-        present(rows).groupBy(*price.COLUMNS).agg(F.sum("copies").alias("copies"))
+        present(rows).groupBy(*price.COLUMNS).agg(F.sum(F.col("copies").cast("decimal(38,0)")).alias("copies"))
     )
 
 
@@ -154,18 +168,18 @@ def _stream_vs_batch(spark: SparkSession, folder: str) -> DataFrame:
     return present(monitor.stream_vs_batch(averages, daily.stock_metrics(ticks)))
 
 
-def _looked_up(spark: SparkSession, folder: str) -> DataFrame:
-    found = attach_sector(_ticks(spark, folder), ev.supplier_regions(spark, folder))
+def _looked_up(spark: SparkSession, folder: str, default: str | None = None) -> DataFrame:
+    found = attach_sector(_ticks(spark, folder), ev.supplier_regions(spark, folder), default)
     return found.select("id", "symbol", "price", "sector")
 
 
 def _literal_rows(spark: SparkSession, folder: str) -> DataFrame:
     """A row with id 1 and a row with a null id for every tick."""
     symbols = _ticks(spark, folder).select("symbol")
-    return union_all(
-        symbols.select("symbol", F.lit(1.0).alias("id")),
-        symbols.select("symbol", F.lit(None).cast("double").alias("id")),
-    )
+    ids = literal_rows(spark, [1, None]).withColumn("on", F.lit(1))
+    rows = symbols.withColumn("on", F.lit(1)).join(F.broadcast(ids), "on")
+    one, none = (rows.where(c).select("symbol", F.col("id").cast("double")) for c in ("id = 1", "id IS NULL"))
+    return union_all(one, none)
 
 
 def _judged(spark: SparkSession, folder: str) -> DataFrame:
@@ -177,21 +191,20 @@ def _volume_as_double(ticks: DataFrame) -> DataFrame:
     return ticks.withColumn("volume", F.col("volume").cast("double"))
 
 
-def _rejects(rows: DataFrame) -> DataFrame:
-    symbol = F.get_json_object("rejected_row", "$.symbol")
-    return rows.select("reject_reason", symbol.alias("symbol"))
-
-
 def _sink_reject(spark: SparkSession, folder: str) -> DataFrame:
-    return _rejects(quality.rejected(_judged(spark, folder)))
-
-
-def _ingest(spark: SparkSession, folder: str) -> str:
-    path = scratch_dir(spark, "raw-ticks")
-    ticks = decode_ticks(ev.tick_messages(ev.event_stream(spark, folder)))
-    runner.start_raw_ingest(
-        ticks, path, scratch_dir(spark, "raw-ticks-progress"), available_now=True
-    ).awaitTermination()
+    """The whole row as it came, read back from its JSON."""
+    rows = quality.rejected(_judged(spark, folder))
+    row = F.from_json("rejected_row", TICK_MESSAGE).alias("row")
+    return present(rows.select("reject_reason", row).select("reject_reason", "row.*").withColumn(
+        "change_percent", F.col("change_percent").cast("double")))
+
+
+def _ingest(spark: SparkSession, folder: str, times: int = 1) -> str:
+    """The raw table filled by a query that is started `times` times on one checkpoint."""
+    path, progress = scratch_dir(spark, "raw-ticks"), scratch_dir(spark, "raw-ticks-progress")
+    for _ in range(times):
+        ticks = decode_ticks(ev.tick_messages(ev.event_stream(spark, folder)))
+        runner.start_raw_ingest(ticks, path, progress, available_now=True).awaitTermination()
     return path
 
 
@@ -200,6 +213,68 @@ def _raw_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return present(rows.select(*RAW_TICKS.columns))
 
 
+def _raw_ingest_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sinks.stored_rows(spark, _ingest(spark, folder, times=2), RAW_TICKS)
+    return present(rows.select(*RAW_TICKS.columns))
+
+
+def _raw_ingest_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The first day of the raw table, read by its date."""
+    path = _ingest(spark, folder)
+    first = ev.raw_ticks(ev.events(spark, folder)).agg(F.min(trade_date("timestamp"))).first()[0]
+    rows = sinks.stored_rows(spark, path, RAW_TICKS, day=str(first))
+    return present(rows.select("trade_date", *RAW_TICKS.columns))
+
+
+def _raw_ingest_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids and load times, which differ between runs, by whether they are there."""
+    rows = sinks.stored_rows(spark, _ingest(spark, folder), RAW_TICKS)
+    return rows.groupBy("symbol").agg(
+        F.bool_and(F.col("id").isNotNull()).alias("has_id"),
+        F.bool_and(F.col("processed_timestamp").isNotNull()).alias("has_load_time"),
+        F.count("*").alias("n_rows"))
+
+
+def _table_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw ticks as a table, read by the name that the models use."""
+    path = scratch_dir(spark, "tables")
+    _ticks(spark, folder).write.parquet(f"{path}/raw_stock_data")
+    rows = tables.parquet_table(spark, path, "raw_stock_data")
+    return present(rows.drop("processed_timestamp"))
+
+
+def _stream_sql_view(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL over the registered stream, stored by a query of its own."""
+    name, path = f"ticks_{uuid.uuid4().hex}", scratch_dir(spark, "sql-view")
+    runner.register_stream(ev.wire_ticks(ev.event_stream(spark, folder)), name)
+    try:
+        counts = spark.sql(
+            f"SELECT symbol, window.start AS window_start, count(*) AS n_ticks FROM {name} "
+            "GROUP BY symbol, window(timestamp, '5 minutes')")
+        query = counts.writeStream.outputMode("append").format("parquet").option(
+            "checkpointLocation", scratch_dir(spark, "sql-view-progress")).trigger(availableNow=True).start(path)
+        query.awaitTermination()
+    finally:
+        spark.catalog.dropTempView(name)
+    return present(spark.read.schema(counts.schema).parquet(path))
+
+
+def _stream_both_aggregates(spark: SparkSession, folder: str) -> DataFrame:
+    """Both aggregates at once over one source."""
+    averages, sectors = scratch_dir(spark, "both-averages"), scratch_dir(spark, "both-sectors")
+    ticks = staging(ev.wire_ticks(ev.event_stream(spark, folder)))
+    started = runner.start_aggregates(
+        ticks, averages, sectors, scratch_dir(spark, "both-progress"), available_now=True)
+    for query in started:
+        query.awaitTermination()
+    one = sinks.stored_rows(spark, averages, MOVING_AVERAGES).select(
+        F.lit("symbol").alias("kind"), F.col("symbol").alias("name"), "window_size", "avg_price", "window_end_time")
+    other = sinks.stored_rows(spark, sectors, SECTOR_PERFORMANCE).select(
+        F.lit("sector").alias("kind"), F.col("sector").alias("name"), F.lit("15min").alias("window_size"),
+        "avg_price", "window_end_time")
+    return present(union_all(one, other))
+
+
 def _raw_ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
     rows = sinks.rejected_rows(spark, _ingest(spark, folder), RAW_TICKS)
     message = F.get_json_object("rejected_row", "$.message")
@@ -226,12 +301,32 @@ def _stream_sector_performance(spark: SparkSession, folder: str) -> DataFrame:
     return present(rows.select(*SECTOR_PERFORMANCE.columns))
 
 
+def _stream_late_ticks(spark: SparkSession, folder: str) -> DataFrame:
+    """The averages over many micro-batches, the last of which holds all ticks of the first day again.
+
+    By then the windows of that day are closed, so its ticks are late and change nothing.
+    """
+    messages, path = scratch_dir(spark, "late-messages"), scratch_dir(spark, "late-averages")
+    ticks = ev.wire_ticks(ev.events(spark, folder))
+    sent = encode_ticks(ticks).select("value")
+    days = [r[0] for r in ticks.select(trade_date("timestamp").alias("d")).distinct().orderBy("d").collect()]
+    progress = scratch_dir(spark, "late-progress")
+    parts = [(days[0], days[len(days) // 2]), (days[len(days) // 2], None), (days[0], days[1])]
+    for first, end in parts:
+        day = F.to_date(F.get_json_object("value", "$.timestamp"))
+        rows = sent.where((day >= first) & (day < end) if end else day >= first)
+        rows.coalesce(1).write.mode("append").text(messages)
+        stream = decode_ticks(file_messages(spark, messages, "*.txt", 1))
+        runner.start_moving_averages(stream, path, progress, available_now=True).awaitTermination()
+    return present(sinks.stored_rows(spark, path, MOVING_AVERAGES).select(*MOVING_AVERAGES.columns))
+
+
 def _stored_layers(spark: SparkSession, folder: str) -> DataFrame:
     """Build and store all layers, then join the two end tables by symbol's sector and day."""
     models = layers.build_layers(
         ev.raw_ticks(ev.events(spark, folder)),
         location=scratch_dir(spark, "layers"),
-        prefix="tickloom_",
+        prefix=f"tickloom_{uuid.uuid4().hex}_",
     )
     prices = models["price_analytics"].select("symbol", "trade_date", "close_price", "trend_signal")
     members = sector.symbol_sectors(models["daily_rollup"]).select("symbol", "sector")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Two averages of the same prices can differ in the last bits of a double.
@@ -10,11 +10,15 @@ TREND_TOLERANCE = 1e-12
 
 
 def trade_date(timestamp: Column | str) -> Column:
-    return F.to_date(timestamp)
+    """The day in UTC, whatever the session's time zone. Where that is UTC too, it is a plain cast,
+    through which Spark pushes date filters to the scan."""
+    if SparkSession.active().conf.get("spark.sql.session.timeZone") == "UTC":
+        return F.to_date(timestamp)
+    return F.date_from_unix_date(F.floor(micros(timestamp) / F.lit(86_400_000_000)).cast("int"))
 
 
 def micros(timestamp: Column | str) -> Column:
-    """Microseconds since 1970; a timestamp without zone is taken in the session's, UTC."""
+    """Microseconds since 1970; a timestamp without zone is taken in the session's."""
     return F.unix_micros(_c(timestamp).cast("timestamp"))
 
 

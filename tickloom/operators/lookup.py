@@ -4,23 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of at most 10 + 50 characters: about 20 MB at this bound.
-BROADCAST_ROWS = 200_000
+from tickloom.session import stored
+
+BROADCAST_BYTES = 32 << 20
 SALTS = 32
 
 
 def lookup(facts: DataFrame, dimension: DataFrame, key: str,
-           broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
-    """Left join; attributes are null for unknown keys.
+           broadcast_bytes: int = BROADCAST_BYTES, salts: int = SALTS) -> DataFrame:
+    """Left join; attributes are null for unknown and null keys. Raises on a key with two rows.
 
-    The dimension has one row per key. It is broadcast only after a count shows it to be small.
-    Beyond that the join is salted: facts of one key spread over `salts` partitions and the
-    dimension is repeated to match.
+    The dimension is stored once, and one aggregation over it measures its bytes and checks its
+    keys. Within `broadcast_bytes` it is broadcast. Beyond, the join is salted: facts of one key
+    spread over `salts` partitions by their place in their partition, which also splits alike facts
+    and is the same when a task over files runs again; the dimension is repeated to match.
     """
-    if fits(dimension, broadcast_rows):
+    dimension = stored(dimension.where(F.col(key).isNotNull()), "lookup")
+    size, most = _measured(dimension, key)
+    if most > 1:
+        raise ValueError(f"the dimension has {most} rows for one {key}")
+    if size <= broadcast_bytes:
         return facts.join(F.broadcast(dimension), key, "left")
-    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int")
     salted_facts = facts.withColumn("__salt", salt)
     salted_dimension = dimension.withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
@@ -28,7 +35,22 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: str,
     return salted_facts.join(salted_dimension, [key, "__salt"], "left").drop("__salt")
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """True when df has at most `rows` rows. A count adds up in parallel and reads no columns; a
-    limit would send that many rows of every partition to one task."""
-    return df.count() <= rows
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows as a broadcast holds them, about."""
+    return df.agg(F.sum(_width(df))).first()[0] or 0
+
+
+def _measured(dimension: DataFrame, key: str) -> tuple[int, int]:
+    by_key = dimension.groupBy(key).agg(F.sum(_width(dimension)).alias("size"), F.count("*").alias("n"))
+    size, most = by_key.agg(F.sum("size"), F.max("n")).first()
+    return size or 0, most or 0
+
+
+def _width(df: DataFrame):
+    fixed = F.lit(16)
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            fixed = fixed + F.coalesce(F.octet_length(column), F.lit(0))
+        fixed = fixed + F.lit(8 if isinstance(field.dataType, T.AtomicType) else 256)
+    return fixed.cast("long")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.schemas import Contract, Field
+from tickloom.schemas import ISO_MICROS, Contract, Field
 
 
 def check_not_null(df: DataFrame, column: str) -> DataFrame:
@@ -30,7 +30,7 @@ def apply_contract(df: DataFrame, contract: Contract) -> DataFrame:
     `reject_reason` is null for rows the table accepts and otherwise lists the broken rules.
     `rejected_row` keeps the whole row as it came, as JSON, for rejected rows only.
     """
-    original = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    original = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false", "timestampFormat": ISO_MICROS})
     reasons = F.concat_ws("; ", *[_violation(field) for field in contract.fields])
     judged = df.withColumn("reject_reason", F.when(reasons != "", reasons))
     rejected = F.col("reject_reason").isNotNull()

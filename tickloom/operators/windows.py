@@ -69,7 +69,13 @@ def sector_windows(ticks: DataFrame, with_close: bool = False) -> DataFrame:
 
 
 def _average(column: str) -> Column:
-    return F.avg(F.col(column).cast("double"))
+    """Summed as decimals of eight places and divided once, so that neither order, partitions nor
+    retries change it. A plain average where a value is too large for that, or no number."""
+    value = F.col(column)
+    units = value.try_cast("decimal(24,8)")
+    exact = F.sum(units) / F.count(units).cast("decimal(10,0)")
+    whole = F.count(units) == F.count(value)
+    return F.when(F.count(value) > 0, F.when(whole, exact.cast("double")).otherwise(F.avg(value.cast("double"))))
 
 
 def _average_columns(with_close: bool) -> list[str]:

@@ -56,7 +56,11 @@ def stock_metrics(source: DataFrame, per_tick: bool = False) -> DataFrame:
     instead of shuffling the ticks a second time.
     """
     days = counted_metrics(source)
-    return (repeat_rows(days, "tick_count") if per_tick else days).select(*METRICS)
+    if per_tick:
+        # The ticks themselves are the rows to make: counting them reads no columns.
+        total = None if "tick_count" in source.columns else source.count()
+        days = repeat_rows(days, "tick_count", total=total)
+    return days.select(*METRICS)
 
 
 def volatility_days(source: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ reads it without a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from tickloom.operators.rollup import daily_rollup
 from tickloom.plans.daily import METRICS, counted_metrics
@@ -14,6 +14,8 @@ from tickloom.plans.price import price_analytics
 from tickloom.plans.sector import sector_analysis
 from tickloom.plans.staging import staging
 
+ROWS_PER_BUCKET = 2_000_000
+
 
 def store_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
@@ -38,16 +40,15 @@ def build_layers(raw: DataFrame, location: str | None = None, prefix: str = "",
     """Build every model from the raw tick table; returns them by name.
 
     `location` is the folder for the tables (default: the warehouse), `prefix` goes before table
-    names, `buckets` defaults to the session's shuffle partitions.
+    names, `buckets` defaults to one for every ROWS_PER_BUCKET rows of the rollup.
     """
-    spark: SparkSession = raw.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     models = {"staging": store_view(staging(raw), f"{prefix}staging")}
 
     def table(name: str, df: DataFrame, **options) -> None:
         models[name] = store_table(df, f"{prefix}{name}", location, **options)
 
     table("daily_rollup", daily_rollup(models["staging"]))
+    buckets = buckets or 1 + models["daily_rollup"].count() // ROWS_PER_BUCKET
     # Hashed by symbol alone, the rows serve the daily aggregate and the buckets in one shuffle.
     by_symbol = models["daily_rollup"].repartition(buckets, "symbol")
     table("stock_metrics", counted_metrics(by_symbol), buckets=buckets)

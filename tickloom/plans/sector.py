@@ -8,8 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators.lookup import BROADCAST_BYTES, SALTS, measured_bytes
 from tickloom.operators.rollup import as_partials, mean, merge
 from tickloom.plans.daily import volatility_days
+from tickloom.session import stored
 
 KEYS = ["sector", "trade_date"]
 
@@ -63,20 +65,29 @@ def sector_analysis(source: DataFrame, per_tick: bool = False,
     )
 
 
-def _weighted(members: DataFrame) -> DataFrame:
+def _weighted(members: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Weighted sample deviation in two passes; weights are doubles as their product may not fit
-    a long. Both passes combine before the shuffle."""
+    a long. Both passes combine before the shuffle: the centres, a row per sector and day, are
+    measured and broadcast, or repeated by a salt that splits each sector and day."""
     weight = F.col("tick_count").cast("double") * F.col("sector_ticks").cast("double")
-    rows = members.select(*KEYS, F.col("daily_volatility").alias("x"), weight.alias("w"))
+    salt = F.pmod(F.xxhash64("symbol"), F.lit(SALTS)).cast("int").alias("salt")
+    rows = stored(
+        members.select(*KEYS, F.col("daily_volatility").alias("x"), weight.alias("w"), salt), "sector-members")
     counted = F.when(F.col("x").isNotNull(), F.col("w"))
     centres = rows.groupBy(*KEYS).agg(
         F.sum(counted).alias("total"),
         F.try_divide(F.sum(F.col("w") * F.col("x")), F.sum(counted)).alias("centre"),
     )
+    centres = stored(centres, "sector-centres")
     same_group = (
         F.col("r.sector").eqNullSafe(F.col("c.sector"))
         & (F.col("r.trade_date") == F.col("c.trade_date"))
     )
+    if measured_bytes(centres) <= broadcast_bytes:
+        centres = F.broadcast(centres)
+    else:
+        centres = centres.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        same_group = same_group & (F.col("r.salt") == F.col("c.salt"))
     off = F.col("x") - F.col("centre")
     return (
         rows.alias("r").join(centres.alias("c"), same_group)

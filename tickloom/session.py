@@ -48,7 +48,8 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the shared checkpoint directory of the cluster.
+    """A fresh folder in the shared checkpoint directory of the cluster, deleted when the session's
+    process ends.
 
     A machine-local folder is used only in local mode, where one machine runs everything.
     """
@@ -57,7 +58,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         base = tempfile.mkdtemp(prefix="tickloom-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(folder)
+    system.deleteOnExit(folder)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -67,5 +73,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     outlive lost executors, and readers still get column pruning.
     """
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

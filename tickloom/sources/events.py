@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from tickloom.operators.windows import moving_averages, window_averages
 from tickloom.schemas import MONEY
-from tickloom.session import pin_utc
 from tickloom.sources.messages import ISO_MICROS, TICK_COLUMNS
 from tickloom.sources.quotes import BLOCK, CHANGE_KEY, PRICE_KEY, VOLUME_KEY
 
@@ -23,14 +22,12 @@ EVENTS = T.StructType([
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    pin_utc(spark)
     return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The table as a stream, be it one file or a folder of files: a stream takes a plain path for
     a folder, a pattern for either."""
-    pin_utc(spark)
     return spark.readStream.schema(EVENTS).parquet(f"{folder}/events[.]parquet")
 
 
@@ -47,9 +44,8 @@ def wire_ticks(source: DataFrame, *carried: str) -> DataFrame:
 
 
 def _ticks(source: DataFrame, price: Column, *carried: str) -> DataFrame:
-    # props is {"k": n}; a pattern is several times cheaper than a JSON parse per row.
-    k = F.regexp_extract("props", r'"k": *(\d+)', 1).cast("bigint")
-    at = F.col("ts").cast("timestamp")
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
+    at = utc_time(source, "ts")
     return source.select(
         F.col("event_id").alias("id"),
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
@@ -128,7 +124,7 @@ def stored_averages(ticks: DataFrame, label: str | None = None) -> DataFrame:
 
 def run_log(source: DataFrame) -> DataFrame:
     """Events as model runs lasting `value` seconds."""
-    start = F.col("ts").cast("timestamp")
+    start = utc_time(source, "ts")
     length = F.round(F.col("value") * 1e6).cast("bigint")
     return source.select(
         start.alias("created_at"),
@@ -153,6 +149,13 @@ def supplier_regions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def utc_time(source: DataFrame, column: str) -> Column:
+    """A timestamp without zone as the moment it names in UTC, whatever the session's time zone."""
+    if source.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC":
+        return F.col(column).cast("timestamp")
+    return F.concat(F.col(column).cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def _json(*columns: Column | str) -> Column:
     return F.to_json(
         F.struct(*columns), {"timestampFormat": ISO_MICROS, "ignoreNullFields": "false"}

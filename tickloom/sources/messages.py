@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions import text_to_double
-from tickloom.schemas import TICK_MESSAGE
+from tickloom.schemas import ISO_MICROS, TICK_MESSAGE
 
 # Topic names.
 RAW_TOPIC = "raw-stock-data"
@@ -15,7 +15,6 @@ METRICS_TOPIC = "processed-stock-metrics"
 ALERTS_TOPIC = "market-alerts"
 
 TICK_COLUMNS = TICK_MESSAGE.fieldNames()
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def topic_messages(spark: SparkSession, servers: str, topic: str = RAW_TOPIC,

@@ -11,6 +11,7 @@ from tickloom.sources.messages import TICK_COLUMNS
 from tickloom.streaming.sinks import BatchWriter, batch_writer
 
 WATERMARK = "1 minute"
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def with_watermark(ticks: DataFrame) -> DataFrame:
@@ -28,33 +29,36 @@ def start_raw_ingest(ticks: DataFrame, path: str, checkpoint: str,
                      available_now: bool = False, every: str | None = None) -> StreamingQuery:
     """Every tick to the raw table, by date. Rows that break the contract are kept as rejects."""
     message = ["message"] if "message" in ticks.columns else []
-    writer = batch_writer(path, RAW_TICKS, checkpoint, date_from="timestamp")
+    writer = batch_writer(path, RAW_TICKS, date_from="timestamp")
     rows = ticks.select(*TICK_COLUMNS, *message)
     return _start(rows.writeStream.foreachBatch(writer), checkpoint, available_now, every)
 
 
 def start_moving_averages(ticks: DataFrame, path: str, checkpoint: str,
-                          available_now: bool = False, every: str | None = None) -> StreamingQuery:
+                          available_now: bool = False, every: str | None = None,
+                          state_partitions: int | None = None) -> StreamingQuery:
     """Closed windows of all lengths, appended once each."""
-    writer = batch_writer(path, MOVING_AVERAGES, checkpoint, small=True)
+    writer = batch_writer(path, MOVING_AVERAGES, small=True)
     rows = moving_averages(with_watermark(ticks))
-    return _start(_appended(rows, writer), checkpoint, available_now, every)
+    return _start(_appended(rows, writer), checkpoint, available_now, every, state_partitions)
 
 
 def start_sector_performance(ticks: DataFrame, path: str, checkpoint: str,
                              available_now: bool = False,
-                             every: str | None = None) -> StreamingQuery:
+                             every: str | None = None,
+                          state_partitions: int | None = None) -> StreamingQuery:
     """Closed sector windows, appended once each."""
-    writer = batch_writer(path, SECTOR_PERFORMANCE, checkpoint, small=True)
+    writer = batch_writer(path, SECTOR_PERFORMANCE, small=True)
     rows = sector_windows(with_watermark(ticks))
-    return _start(_appended(rows, writer), checkpoint, available_now, every)
+    return _start(_appended(rows, writer), checkpoint, available_now, every, state_partitions)
 
 
 def start_aggregates(ticks: DataFrame, averages_path: str, sectors_path: str, checkpoint: str,
                      available_now: bool = False,
-                     every: str | None = None) -> list[StreamingQuery]:
+                     every: str | None = None,
+                     state_partitions: int | None = None) -> list[StreamingQuery]:
     """Both aggregate queries side by side over one source."""
-    options = {"available_now": available_now, "every": every}
+    options = {"available_now": available_now, "every": every, "state_partitions": state_partitions}
     return [
         start_moving_averages(ticks, averages_path, f"{checkpoint}/averages", **options),
         start_sector_performance(ticks, sectors_path, f"{checkpoint}/sectors", **options),
@@ -71,12 +75,21 @@ def _appended(rows: DataFrame, writer: BatchWriter) -> DataStreamWriter:
 
 
 def _start(stream: DataStreamWriter, checkpoint: str, available_now: bool,
-           every: str | None = None) -> StreamingQuery:
+           every: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """By default the next batch starts when the last one ends. `every` sets an interval and
-    `available_now` stops after the data that is there."""
+    `available_now` stops after the data that is there. `state_partitions` is fixed for the life of
+    a checkpoint; without it the session's `spark.sql.shuffle.partitions` counts."""
     stream = stream.option("checkpointLocation", checkpoint)
     if available_now:
         stream = stream.trigger(availableNow=True)
     elif every:
         stream = stream.trigger(processingTime=every)
-    return stream.start()
+    if state_partitions is None:
+        return stream.start()
+    conf = SparkSession.active().conf
+    before = conf.get(PARTITIONS)
+    conf.set(PARTITIONS, str(state_partitions))
+    try:  # a query takes a copy of the settings when it starts
+        return stream.start()
+    finally:
+        conf.set(PARTITIONS, before)

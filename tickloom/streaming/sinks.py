@@ -1,15 +1,21 @@
-"""Micro-batch sinks that end up with every row once, however often a batch is retried."""
+"""Micro-batch sinks that end up with every row once, however often a batch is retried.
+
+A batch owns the folders of its query and number. The query is known by the id that its checkpoint
+keeps: a restart has the same, however the path is spelled, and a new checkpoint another, also at an
+old path. Tables by date have the date above those folders, so that a day is listed and read alone.
+"""
 
 from __future__ import annotations
 
-import hashlib
 import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions import trade_date
 from tickloom.operators.quality import apply_contract, with_row_id
 from tickloom.schemas import Contract
 
@@ -18,50 +24,54 @@ BatchWriter = Callable[[DataFrame, int], None]
 ROWS_PER_FILE = 1_000_000
 
 
-def batch_writer(path: str, contract: Contract, checkpoint: str, date_from: str | None = None,
-                 small: bool = False, rows_per_file: int = ROWS_PER_FILE) -> BatchWriter:
+def batch_writer(path: str, contract: Contract, date_from: str | None = None, small: bool = False,
+                 rows_per_file: int = ROWS_PER_FILE, run: str | None = None) -> BatchWriter:
     """A `foreachBatch` function that writes accepted and rejected rows in one pass.
 
-    Each batch owns the folder of its number below a folder for its checkpoint, and replaces it
-    when retried. Errors are raised, so a failed batch is never taken as done. `date_from` adds a
-    date partition from that timestamp.
+    A retried batch replaces its folders. Errors are raised, so a failed batch is never taken as
+    done. `date_from` adds a date partition from that timestamp, in UTC. `run` names the query
+    where the function is called outside one.
 
     `small` is for aggregates, whose batches are small but spread over every state partition. The
     batch is kept while it is counted and written, as each use would compute it again; an empty one
     is left out and others go to one file per `rows_per_file` rows instead of one per task.
     """
-    run = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
-
     def write(batch: DataFrame, batch_id: int) -> None:
         judged = (
             with_row_id(apply_contract(batch, contract), contract)
             .withColumn("processed_timestamp", F.current_timestamp())
             .withColumn("accepted", F.col("reject_reason").isNull())
         )
-        partitions = ["accepted"]
+        judged = judged.withColumn("run", F.lit(run or _query_id(batch)))
+        judged = judged.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        partitions = ["run", "batch_id", "accepted"]
         if date_from:
-            judged = judged.withColumn("trade_date", F.to_date(date_from))
-            partitions.append("trade_date")
-        target = f"{path.rstrip('/')}/run={run}/batch_id={batch_id}"
+            judged = judged.withColumn("trade_date", trade_date(date_from))
+            partitions = ["trade_date", "accepted", "run", "batch_id"]
         if not small:
-            _replace(judged, target, partitions)
+            _replace(judged, path, partitions)
             return
         judged.persist()
         try:
             # One parallel job; probing an empty batch for a first row takes several small ones.
             rows = judged.count()
             if rows > 0:
-                _replace(judged.coalesce(math.ceil(rows / rows_per_file)), target, partitions)
+                _replace(judged.coalesce(math.ceil(rows / rows_per_file)), path, partitions)
         finally:
             judged.unpersist()
 
     return write
 
 
-def stored_rows(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """Accepted rows of a table filled by `batch_writer`, in the table's schema."""
-    columns = contract.schema().fieldNames()
-    return _read(spark, path, contract).where("accepted").select(*columns)
+def stored_rows(spark: SparkSession, path: str, contract: Contract, day: str | None = None) -> DataFrame:
+    """Accepted rows of a table filled by `batch_writer`, in the table's schema.
+
+    `day` (ISO date) is for tables by date: only that day's folders are listed and read. Such
+    tables also have the column `trade_date`, whose filters prune.
+    """
+    rows = _read(spark, path, contract, day).where("accepted")
+    dated = ["trade_date"] if "trade_date" in rows.columns else []
+    return rows.select(*contract.schema().fieldNames(), *dated)
 
 
 def rejected_rows(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
@@ -70,17 +80,90 @@ def rejected_rows(spark: SparkSession, path: str, contract: Contract) -> DataFra
     )
 
 
-def _replace(df: DataFrame, target: str, partitions: list[str]) -> None:
-    df.write.mode("overwrite").partitionBy(*partitions).parquet(target)
-
+def compact_day(spark: SparkSession, path: str, contract: Contract, day: str,
+                rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Merge a closed day's batch folders into few files; returns how many folders went.
 
-def _read(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+    The last batch of a query may still be retried and stays as it is, wherever its rows lie; the
+    others are committed and never come again. The merged rows are written beside them under a
+    folder that readers skip, and take their place by renaming. A run that broke off in between is
+    finished by the next one.
+    """
+    base, top = f"{path.rstrip('/')}/trade_date={day}", path.rstrip("/")
+    files = _FileSystem(spark, top)
+    staged = f"{base}/_merged"
+    if not files.exists(f"{staged}/_SUCCESS"):
+        files.delete(staged)
+        found = _read(spark, path, contract)
+        last = found.groupBy("run").agg(F.max("batch_id").alias("last"))
+        rows = found.where(F.col("trade_date") == day).join(F.broadcast(last), "run")
+        rows = rows.where((F.col("batch_id") < F.col("last")) & ~F.col("run").startswith("merged-"))
+        kept = rows.select("accepted", "run", "batch_id").distinct().collect()  # a day's folders
+        if not kept:
+            return 0
+        count = rows.count()
+        rows = rows.drop("last", "trade_date", "run", "batch_id").coalesce(math.ceil(count / rows_per_file))
+        rows.write.partitionBy("accepted").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(staged)
+        gone = spark.createDataFrame([(f"accepted={str(r['accepted']).lower()}/run={r['run']}/batch_id={r['batch_id']}",) for r in kept], "folder string")
+        gone.coalesce(1).write.mode("overwrite").text(f"{staged}/_gone")
+        files.touch(f"{staged}/_SUCCESS")
+    folders = [r[0] for r in spark.read.text(f"{staged}/_gone").collect()]
+    for folder in folders:
+        files.delete(f"{base}/{folder}")
+    for accepted in ("true", "false"):
+        if files.exists(f"{staged}/accepted={accepted}"):
+            target = f"{base}/accepted={accepted}/run=merged-{uuid.uuid4().hex}"
+            files.rename(f"{staged}/accepted={accepted}", f"{target}/batch_id=0")
+    files.delete(staged)
+    return len(folders)
+
+
+class _FileSystem:
+    """The few calls that Spark has no DataFrame form for."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        return self._fs.exists(self._path(path))
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
+
+    def touch(self, path: str) -> None:
+        self._fs.create(self._path(path)).close()
+
+    def rename(self, source: str, target: str) -> None:
+        self._fs.mkdirs(self._path(target).getParent())
+        if not self._fs.rename(self._path(source), self._path(target)):
+            raise OSError(f"{source} could not be moved to {target}")
+
+
+def _query_id(batch: DataFrame) -> str:
+    """The id in the checkpoint of the query that runs this batch."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise ValueError("outside a streaming query, batch_writer needs `run`")
+    return found
+
+
+def _replace(df: DataFrame, path: str, partitions: list[str]) -> None:
+    """Only the folders that the rows fall in are replaced."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).parquet(path)
+
+
+def _read(spark: SparkSession, path: str, contract: Contract, day: str | None = None) -> DataFrame:
     schema = T.StructType(
         contract.schema().fields
         + [
             T.StructField("reject_reason", T.StringType()),
             T.StructField("rejected_row", T.StringType()),
             T.StructField("accepted", T.BooleanType()),
+            T.StructField("run", T.StringType()),
+            T.StructField("batch_id", T.LongType()),
         ]
     )
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    folder = f"{path.rstrip('/')}/trade_date={day}" if day else path
+    return spark.read.schema(schema).option("basePath", path).parquet(folder)
