@@ -42,6 +42,7 @@ class Contract:
         )
 
 
+# Columns, types and lengths of the stored tables.
 RAW_TICKS = Contract(
     (
         Field("symbol", T.StringType(), max_length=10),
