@@ -15,7 +15,8 @@ lookup, counts combine before each shuffle, and no table is gathered anywhere. F
 over 1/HOT of all tokens are spread over all partitions, and their sums (at most HOT rows) are
 handed to every chunk.
 
-Words are known by 64-bit hashes, the second word of a pair by 48 bits within its first word.
+Words are known by 64-bit hashes, the second word of a pair by 40 bits within its first
+word, or 32 where that has under FEW tokens.
 A null text is empty: its only token is the end. A row without id is trained on. Repeated rows
 count as often as they come. Without training rows every token is unseen and scores 0.
 """
@@ -29,12 +30,13 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import text
 
-CHUNK_BYTES = 4 << 20
-BUCKET_BYTES = 6 << 20
+CHUNK_BYTES = 6 << 20
+BUCKET_BYTES = 4 << 20
 LARGE = 5
+FEW = 4096
 HOT = 2000
 BEGIN, END = np.uint64(1), np.uint64(2)
-_LOW = np.uint64((1 << 48) - 1)
+_LOW = np.uint64((1 << 40) - 1)
 
 _RETURNED = "chunk long, bucket int, kind string, a binary, b binary, key long, sums array<long>"
 _SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -44,24 +46,21 @@ _SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_to
 def scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
-    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    size = docs.agg(F.coalesce(F.sum(F.octet_length(body)), F.lit(0))).first()[0]
-    chunks, buckets = 1 + size // CHUNK_BYTES, int(1 + size // BUCKET_BYTES)
-    dealt = docs.select(
-        F.col("doc_id").cast("long"), held.alias("held_out"), body.alias("text"),
-        F.pmod(F.xxhash64("doc_id", body), F.lit(chunks)).alias("chunk"))
+    dealt, chunks, buckets = text.dealt(docs, CHUNK_BYTES, BUCKET_BYTES, held_out=held)
     by_chunk = dealt.groupBy("chunk")
 
     words = by_chunk.applyInArrow(lambda t: _send_words(t, buckets), "chunk long, bucket int, a binary, b binary")
     counted = words.groupBy("bucket").applyInArrow(_count_words, _RETURNED)
     totals = _sums(counted, "total")
-    counted = counted.filter("kind = 'chunk'").withColumn("totals", totals)
-    pairs = by_chunk.cogroup(counted.groupBy("chunk")).applyInArrow(
+    # One row for each chunk holds what all chunks share.
+    each = docs.sparkSession.range(chunks).select(F.col("id").alias("chunk"), F.lit("shared").alias("kind"), totals.alias("totals"))
+    counted = counted.filter("kind = 'chunk'").withColumn("kind", F.lit("words"))
+    told = counted.unionByName(each, allowMissingColumns=True)
+    pairs = by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(
         lambda t, r: _send_pairs(t, r, buckets), "chunk long, bucket int, a binary, b binary, c binary, d binary, e binary")
     paired = pairs.groupBy("bucket").applyInArrow(_count_pairs, _RETURNED)
-    shared = _sums(paired, "total")
-    returned = counted.withColumn("kind", F.lit("words")).unionByName(
-        paired.filter("kind = 'chunk'").withColumn("totals", totals)).withColumn("shared", shared)
+    each = each.withColumn("shared", _sums(paired, "total"))
+    returned = counted.unionByName(paired.filter("kind = 'chunk'")).unionByName(each, allowMissingColumns=True)
     return by_chunk.cogroup(returned.groupBy("chunk")).applyInArrow(lambda t, r: _score(t, r, buckets), _SCORED)
 
 
@@ -72,38 +71,20 @@ def _sums(rows: DataFrame, kind: str):
     return flat.agg(F.collect_list(F.struct("key", "i", "n")).alias("x")).scalar()
 
 
-def _pack(a: np.ndarray, width: int) -> bytes:
-    """Byte by byte, highest last, so that equal high bytes stand together for the shuffle's codec."""
-    return np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-
-
-def _unpack(data: bytes, width: int) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :width] = planes.T
-    return out.view("<u8").ravel()
-
-
-def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    """Rises with the hash, so sorted hashes are in the order of their buckets."""
-    return ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-
-
 class _Tokens:
     """The tokens of a chunk: word, the word before, document, and whether it is trained on."""
 
     def __init__(self, table: pa.Table):
-        order = np.argsort(np.fromiter(
-            (text.xxh3_64_intdigest(t) for t in text.as_bytes(table.column("text").combine_chunks())), np.uint64, table.num_rows),
-            kind="stable")
-        table = table.take(pa.array(order))
         self.table = table
-        found = [text.hashes(text.words(t)) for t in text.as_bytes(table.column("text").combine_chunks())]
+        found = [text.hashes(text.words(t)) for t in text.texts(table.column("text"))]
         self.length = np.array([len(f) + 1 for f in found], np.int64)
         self.word = np.concatenate([x for f in found for x in (f, [END])]).astype(np.uint64)
-        self.before = np.empty_like(self.word)
-        self.before[1:] = self.word[:-1]
-        self.before[np.cumsum(self.length) - self.length] = BEGIN
+        # Different words in order, BEGIN among them; the place there of each token and the one before.
+        self.words, at = np.unique(np.append(self.word, BEGIN), return_inverse=True)
+        self.at = at[:-1]
+        self.before = np.empty_like(self.at)
+        self.before[1:] = self.at[:-1]
+        self.before[np.cumsum(self.length) - self.length] = at[-1]
         self.doc = np.repeat(np.arange(len(found)), self.length)
         self.trained = ~table.column("held_out").to_numpy(zero_copy_only=False).astype(bool)[self.doc]
 
@@ -114,28 +95,20 @@ def _rows(schema: list[str], **columns) -> pa.Table:
 
 def _send_words(table: pa.Table, buckets: int) -> pa.Table:
     t = _Tokens(table)
-    words, at = np.unique(t.word, return_inverse=True)
-    counts = np.bincount(at, weights=t.trained, minlength=len(words)).astype(np.uint64)
+    words = t.words
+    counts = np.bincount(t.at, weights=t.trained, minlength=len(words)).astype(np.uint64)
     # BEGIN is counted as a first word: as often as there are trained texts.
-    docs = np.uint64((~table.column("held_out").to_numpy(zero_copy_only=False).astype(bool)).sum())
-    words, counts = np.append(words, BEGIN), np.append(counts, docs)
-    order = np.argsort(words, kind="stable")
-    words, counts = words[order], counts[order]
-    cuts, places = _cut(_bucket(words, buckets))
+    docs = (~table.column("held_out").to_numpy(zero_copy_only=False).astype(bool)).sum()
+    counts[np.searchsorted(words, BEGIN)] = docs
+    cuts, places = text.cut(text.bucket(words, buckets))
     return pa.table({
         "chunk": pa.array([table.column("chunk")[0].as_py()] * len(places), pa.int64()),
         "bucket": pa.array(places, pa.int32()),
-        "a": pa.array([_pack(words[i:j], 8) for i, j in cuts], pa.binary()),
-        "b": pa.array([_pack(counts[i:j], 5) for i, j in cuts], pa.binary()),
+        "a": pa.array([text.pack_sorted(words[i:j]) for i, j in cuts], pa.binary()),
+        "b": pa.array([text.pack(counts[i:j], 5) for i, j in cuts], pa.binary()),
     })
 
 
-def _cut(sorted_keys: np.ndarray) -> tuple[list[tuple[int, int]], list[int]]:
-    starts = np.flatnonzero(np.r_[True, sorted_keys[1:] != sorted_keys[:-1]])
-    ends = np.r_[starts[1:], len(sorted_keys)]
-    return list(zip(starts.tolist(), ends.tolist(), strict=True)), sorted_keys[starts].astype(int).tolist()
-
-
 def _classes(counts: np.ndarray) -> list[int]:
     return np.bincount(np.minimum(counts, LARGE + 2).astype(np.int64), minlength=LARGE + 3)[1:LARGE + 2].tolist()
 
@@ -154,15 +127,15 @@ def _returned(bucket: int, chunks: list[int], a: list[bytes], b: list[bytes | No
 
 
 def _count_words(table: pa.Table) -> pa.Table:
-    words = [_unpack(x, 8) for x in table.column("a").to_pylist()]
-    counts = np.concatenate([_unpack(x, 5) for x in table.column("b").to_pylist()])
+    words = [text.unpack_sorted(x) for x in table.column("a").to_pylist()]
+    counts = np.concatenate([text.unpack(x, 5) for x in table.column("b").to_pylist()])
     known, at = np.unique(np.concatenate(words), return_inverse=True)
     total = np.bincount(at, weights=counts.astype(float)).astype(np.uint64)
     back = np.split(total[at], np.cumsum([len(w) for w in words])[:-1])
     real = total[known != BEGIN]
     sums = [int(real.sum()), int((real > 0).sum()), *_classes(real)]
     return _returned(table.column("bucket")[0].as_py(), table.column("chunk").to_pylist(),
-                     [_pack(x, 5) for x in back], [None] * len(back), [0], [sums])
+                     [text.pack(x, 5) for x in back], [None] * len(back), [0], [sums])
 
 
 def _totals(cell) -> dict[int, np.ndarray]:
@@ -172,30 +145,47 @@ def _totals(cell) -> dict[int, np.ndarray]:
     return out
 
 
-def _word_counts(returned: pa.Table, kind: str) -> tuple[np.ndarray, np.ndarray]:
+def _word_counts(returned: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Counts in the order of the chunk's sorted words (BEGIN among them), and the totals."""
-    kinds = np.array(returned.column("kind").to_pylist())
-    buckets = returned.column("bucket").to_numpy()
-    cells = returned.column("a").to_pylist()
-    order = sorted(np.flatnonzero(kinds == kind), key=lambda i: buckets[i])
-    counts = np.concatenate([_unpack(cells[i], 5) for i in order])
-    return counts, _totals(returned.column("totals")[0].as_py())[0]
+    cells = dict(_in_order(returned, "words", "a"))
+    return np.concatenate([text.unpack(c, 5) for c in cells.values()]), _shared(returned, "totals")[0]
+
+
+def _in_order(returned: pa.Table, kind: str, column: str) -> list[tuple[int, bytes]]:
+    """bucket and payload of the rows of a kind, by bucket."""
+    rows = zip(returned.column("kind").to_pylist(), returned.column("bucket").to_pylist(),
+               returned.column(column).to_pylist(), strict=True)
+    return sorted((place, cell) for k, place, cell in rows if k == kind)
+
+
+def _shared(returned: pa.Table, column: str) -> dict[int, np.ndarray]:
+    at = returned.column("kind").to_pylist().index("shared")
+    return _totals(returned.column(column)[at].as_py())
 
 
 class _Pairs:
     """The different pairs of a chunk in the order in which they are sent, by bucket, first word and second."""
 
     def __init__(self, t: _Tokens, counts: np.ndarray, tokens: int, buckets: int):
-        words = np.unique(np.append(t.word, BEGIN))
-        self.c_word = counts[np.searchsorted(words, t.word)]
-        self.c_before = counts[np.searchsorted(words, t.before)]
-        low = text.mix(t.word) & _LOW
-        hot = self.c_before * np.uint64(HOT) >= np.uint64(max(tokens, 1))
-        key = np.where(hot, text.mix(t.before * np.uint64(0x9E3779B97F4A7C15) + low), t.before)
-        place = _bucket(text.mix(key), buckets)
-        order = np.lexsort((low, t.before, place))
-        p, f, s = place[order], t.before[order], low[order]
-        new_first = np.r_[True, (p[1:] != p[:-1]) | (f[1:] != f[:-1])]
+        self.c_word, self.c_before = counts[t.at], counts[t.before]
+        # By word: as a second word its low bits, as a first word a hash that names its bucket.
+        mixed = text.mix(t.words)
+        low, few = mixed & _LOW, mixed & np.uint64((1 << 32) - 1)
+        hot = counts * np.uint64(HOT) >= np.uint64(max(tokens, 1))
+        second = np.where(self.c_before < FEW, few[t.at], low[t.at])
+        place = text.bucket(mixed, buckets)[t.before]
+        spread = np.flatnonzero(hot[t.before])
+        key = text.mix(mixed[t.before[spread]] * np.uint64(0x9E3779B97F4A7C15) + second[spread])
+        place[spread] = text.bucket(key, buckets)
+        rank = np.empty(len(mixed), np.uint64)
+        rank[np.argsort(mixed, kind="stable")] = np.arange(len(mixed), dtype=np.uint64)
+        by_place = place * np.uint64(len(mixed)) + rank[t.before]
+        if buckets * len(mixed) < 1 << 23:  # one number holds all, else two sorts
+            order = np.argsort((by_place << np.uint64(40)) | second)
+        else:
+            order = np.lexsort((second, by_place))
+        p, f, s = place[order], by_place[order], second[order]
+        new_first = np.r_[True, f[1:] != f[:-1]]
         new_pair = new_first.copy()
         new_pair[1:] |= s[1:] != s[:-1]
         self.pair_of = np.empty(len(order), np.int64)
@@ -203,46 +193,74 @@ class _Pairs:
         self.first_of = np.empty(len(order), np.int64)
         self.first_of[order] = np.cumsum(new_first) - 1
         at = order[new_pair]
-        self.low, self.place, self.c_second = low[at], place[at], self.c_word[at]
+        self.low, self.place, self.c_second = second[at], place[at], self.c_word[at]
         self.first_of_pair = self.first_of[at]
         at = order[new_first]
-        self.first, self.first_place, self.c_first = t.before[at], place[at], self.c_before[at]
-        self.hot_first = hot[at]
+        self.first, self.first_place, self.c_first = mixed[t.before[at]], place[at], self.c_before[at]
+        self.hot_first = hot[t.before[at]]
         self.count = np.bincount(self.pair_of, weights=t.trained, minlength=len(self.low)).astype(np.uint64)
 
 
+_SENT = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in "abcde"]])
+_OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), *[(c, pa.int64()) for c in ("n_tokens", "n_known", "train_tokens")],
+                  ("base_score", pa.float64()), ("score", pa.float64())])
+
+
+def _steps(low: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sorted groups as differences, which have fewer high bytes."""
+    out = low.copy()
+    out[1:] -= low[:-1]
+    out[starts] = low[starts]
+    return out
+
+
+def _from_steps(steps: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    total = np.cumsum(steps, dtype=np.uint64)
+    return total - np.repeat(total[starts] - steps[starts], np.diff(np.append(starts, len(steps))))
+
+
 def _send_pairs(table: pa.Table, returned: pa.Table, buckets: int) -> pa.Table:
-    counts, totals = _word_counts(returned, "chunk")
+    if not table.num_rows:
+        return _SENT.empty_table()
+    counts, totals = _word_counts(returned)
     t = _Tokens(table)
     p = _Pairs(t, counts, int(totals[0]), buckets)
     size = np.bincount(p.first_of_pair, minlength=len(p.first))
-    firsts, places = _cut(p.first_place)
-    pairs, _ = _cut(p.place)
+    firsts, places = text.cut(p.first_place)
+    pairs, _ = text.cut(p.place)
+    steps = _steps(p.low, np.cumsum(size) - size)
     hot = p.hot_first.astype(np.uint64)
     return pa.table({
         "chunk": pa.array([table.column("chunk")[0].as_py()] * len(places), pa.int64()),
         "bucket": pa.array(places, pa.int32()),
-        "a": pa.array([_pack(p.first[i:j], 8) for i, j in firsts], pa.binary()),
-        "b": pa.array([_pack(size[i:j] * 2 + hot[i:j].astype(np.int64), 5) for i, j in firsts], pa.binary()),
-        "c": pa.array([_pack(p.low[i:j], 6) for i, j in pairs], pa.binary()),
-        "d": pa.array([_pack(p.count[i:j], 4) for i, j in pairs], pa.binary()),
-        "e": pa.array([_pack(np.where(p.count[i:j] > 0, p.c_second[i:j], 0), 5) for i, j in pairs], pa.binary()),
+        "a": pa.array([text.pack_sorted(p.first[i:j]) for i, j in firsts], pa.binary()),
+        "b": pa.array([text.pack(size[i:j] * 2 + hot[i:j].astype(np.int64), 5) for i, j in firsts], pa.binary()),
+        "c": pa.array([text.pack(steps[i:j], 5) for i, j in pairs], pa.binary()),
+        "d": pa.array([text.pack(p.count[i:j], 4) for i, j in pairs], pa.binary()),
+        "e": pa.array([text.pack(np.where(p.count[i:j] > 0, p.c_second[i:j], 0), 5) for i, j in pairs], pa.binary()),
     })
 
 
 def _count_pairs(table: pa.Table) -> pa.Table:
-    firsts = [_unpack(x, 8) for x in table.column("a").to_pylist()]
-    sizes = np.concatenate([_unpack(x, 5) for x in table.column("b").to_pylist()])
-    lows = [_unpack(x, 6) for x in table.column("c").to_pylist()]
-    counts = np.concatenate([_unpack(x, 4) for x in table.column("d").to_pylist()]).astype(float)
-    seconds = np.concatenate([_unpack(x, 5) for x in table.column("e").to_pylist()])
+    firsts = [text.unpack_sorted(x) for x in table.column("a").to_pylist()]
+    sizes = np.concatenate([text.unpack(x, 5) for x in table.column("b").to_pylist()])
+    lows = [text.unpack(x, 5) for x in table.column("c").to_pylist()]
+    counts = np.concatenate([text.unpack(x, 4) for x in table.column("d").to_pylist()]).astype(float)
+    seconds = np.concatenate([text.unpack(x, 5) for x in table.column("e").to_pylist()])
     known, at = np.unique(np.concatenate(firsts), return_inverse=True)
     hot = np.zeros(len(known), bool)
     hot[at] = (sizes & np.uint64(1)).astype(bool)
-    low = np.concatenate(lows)
-    first = np.repeat(at, (sizes >> np.uint64(1)).astype(np.int64))
-    order = np.lexsort((low, first))
-    new = np.r_[True, (first[order][1:] != first[order][:-1]) | (low[order][1:] != low[order][:-1])]
+    spread = (sizes >> np.uint64(1)).astype(np.int64)
+    low = _from_steps(np.concatenate(lows), np.cumsum(spread) - spread)
+    first = np.repeat(at, spread)
+    if len(known) < 1 << 23:  # one number holds both
+        both = (first.astype(np.uint64) << np.uint64(40)) | low
+        order = np.argsort(both)
+        both = both[order]
+        new = np.r_[True, both[1:] != both[:-1]]
+    else:
+        order = np.lexsort((low, first))
+        new = np.r_[True, (first[order][1:] != first[order][:-1]) | (low[order][1:] != low[order][:-1])]
     pair = np.empty(len(order), np.int64)
     pair[order] = np.cumsum(new) - 1
     total = np.bincount(pair, weights=counts).astype(np.int64)
@@ -263,7 +281,7 @@ def _count_pairs(table: pa.Table) -> pa.Table:
     shared = [[0, 0, *_classes(total[seen])], *sums[hot].tolist()]
     return _returned(
         table.column("bucket")[0].as_py(), table.column("chunk").to_pylist(),
-        [_pack(x, 5) for x in back], [_pack(np.ascontiguousarray(x.T).ravel(), 6) for x in about], keys, shared)
+        [text.pack(x, 5) for x in back], [text.pack(np.ascontiguousarray(x.T).ravel(), 6) for x in about], keys, shared)
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -281,18 +299,17 @@ def discounts(n: np.ndarray) -> np.ndarray:
 
 
 def _score(table: pa.Table, returned: pa.Table, buckets: int) -> pa.Table:
-    counts, totals = _word_counts(returned, "words")
-    shared = _totals(returned.column("shared")[0].as_py())
+    if not table.num_rows:
+        return _OUT.empty_table()
+    counts, totals = _word_counts(returned)
+    shared = _shared(returned, "shared")
     tokens, types = int(totals[0]), int(totals[1])
     t = _Tokens(table)
     p = _Pairs(t, counts, tokens, buckets)
-    kinds = np.array(returned.column("kind").to_pylist())
-    place = returned.column("bucket").to_numpy()
-    order = sorted(np.flatnonzero(kinds == "chunk"), key=lambda i: place[i])
-    a, b = returned.column("a").to_pylist(), returned.column("b").to_pylist()
-    c_pair = np.concatenate([_unpack(a[i], 5) for i in order]).astype(float)[p.pair_of]
+    c_pair = np.concatenate([text.unpack(c, 5) for _, c in _in_order(returned, "chunk", "a")]).astype(float)[p.pair_of]
     width = 2 * LARGE + 1
-    sums = np.concatenate([_unpack(b[i], 6).reshape(width, -1).T for i in order]).astype(float)
+    sums = np.concatenate([
+        text.unpack(c, 6).reshape(width, -1).T for _, c in _in_order(returned, "chunk", "b")]).astype(float)
     for i in np.flatnonzero(p.hot_first):
         sums[i] = shared[int(p.first[i:i + 1].view(np.int64)[0])][:width]
 
