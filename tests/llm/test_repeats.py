@@ -45,6 +45,7 @@ EDGES = [(800, None), (801, ""), (802, "x" * 49), (803, "x" * 50), (804, "x" * 5
 def test_equals_brute_force(make, monkeypatch):
     monkeypatch.setattr(repeats, "CHUNK_BYTES", 3000)
     monkeypatch.setattr(repeats, "BUCKET_BYTES", 4000)
+    monkeypatch.setattr(repeats, "BATCH", 300)
     rows = corpus(1, 150)
     assert run(make, rows) == brute(rows)
 

@@ -24,16 +24,17 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_digest
+from xxhash import xxh3_64_intdigest
 
 from tickloom.llm import text
-from tickloom.llm.katz import _bucket, _cut, _pack, _unpack
 
 SPAN, GRAM = 50, 16
-CHUNK_BYTES = 2 << 20
-BUCKET_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
+BUCKET_BYTES = 2 << 20
+BATCH = 500_000
 NO_ID = (1 << 63) - 1
 
 _REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -42,12 +43,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row; `with_text` adds kept (binary)."""
-    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    size = docs.agg(F.coalesce(F.sum(F.octet_length(body)), F.lit(0))).first()[0]
-    chunks, buckets = 1 + size // CHUNK_BYTES, int(1 + size // BUCKET_BYTES)
-    dealt = docs.select(
-        F.col("doc_id").cast("long"), body.alias("text"),
-        F.pmod(F.xxhash64("doc_id", body), F.lit(chunks)).alias("chunk"))
+    dealt, _, buckets = text.dealt(docs, CHUNK_BYTES, BUCKET_BYTES)
     by_chunk = dealt.groupBy("chunk")
     back = "chunk long, bucket int, kind string, a binary"
     anchors = by_chunk.applyInArrow(lambda t: _send_anchors(t, buckets), "chunk long, bucket int, a binary, b binary")
@@ -65,7 +61,7 @@ class _Shard:
 
     def __init__(self, table: pa.Table):
         ids = table.column("doc_id").to_pylist()
-        self.raw = text.as_bytes(table.column("text").combine_chunks())
+        self.raw = text.texts(table.column("text"))
         self.table = table
         length = np.array([len(r) for r in self.raw], np.int64)
         self.end = np.cumsum(length)
@@ -107,11 +103,11 @@ def _send_anchors(table: pa.Table, buckets: int) -> pa.Table:
     several = np.zeros(len(known), np.uint8)
     if len(known):
         several = (ids[np.r_[first[1:], len(ids)] - 1] != ids[first]).astype(np.uint8)
-    cuts, places = _cut(_bucket(known, buckets)) if len(known) else ([], [])
+    cuts, places = text.cut(text.bucket(known, buckets))
     return pa.table({
         "chunk": pa.array([table.column("chunk")[0].as_py()] * len(places), pa.int64()),
         "bucket": pa.array(places, pa.int32()),
-        "a": pa.array([_pack(known[i:j], 8) for i, j in cuts], pa.binary()),
+        "a": pa.array([text.pack_sorted(known[i:j]) for i, j in cuts], pa.binary()),
         "b": pa.array([np.packbits(several[i:j]).tobytes() for i, j in cuts], pa.binary()),
     })
 
@@ -124,7 +120,7 @@ def _back(table: pa.Table, kind: str, cells: list[bytes]) -> pa.Table:
 
 def _merge_anchors(table: pa.Table) -> pa.Table:
     """Which anchors are held by several documents: of one shard, or of several shards."""
-    lists = [_unpack(x, 8) for x in table.column("a").to_pylist()]
+    lists = [text.unpack_sorted(x) for x in table.column("a").to_pylist()]
     several = np.concatenate([
         np.unpackbits(np.frombuffer(b, np.uint8))[:len(x)] for x, b in zip(lists, table.column("b").to_pylist(), strict=True)])
     _, at, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
@@ -148,17 +144,17 @@ class _Stretches:
         flags = np.zeros(len(known), bool)
         cells = _cells(returned, "anchors")
         if len(known):
-            for (i, j), place in zip(*_cut(_bucket(known, buckets)), strict=True):
+            for (i, j), place in zip(*text.cut(text.bucket(known, buckets)), strict=True):
                 flags[i:j] = np.unpackbits(np.frombuffer(cells[place], np.uint8))[:j - i]
         runs = np.flatnonzero(flags[at])
         runs = runs[np.argsort(s.anchor[runs], kind="stable")]
         whole = s.data.tobytes()
-        seen: dict[tuple[int, bytes], int] = {}
+        seen: dict[bytes, int] = {}
         self.of_run = np.empty(len(runs), np.int64)
         self.runs, picked = runs, []
         for k, run in enumerate(runs.tolist()):
             piece = whole[s.start[run]:s.stop[run] + SPAN - 1]
-            number = seen.setdefault((int(s.anchor[run]), piece), len(picked))
+            number = seen.setdefault(piece, len(picked))
             if number == len(picked):
                 picked.append((run, piece))
             self.of_run[k] = number
@@ -176,78 +172,100 @@ class _Stretches:
 
 def _send_stretches(table: pa.Table, returned: pa.Table, buckets: int) -> pa.Table:
     x = _Stretches(_Shard(table), returned, buckets)
-    cuts, places = _cut(_bucket(x.anchor, buckets)) if len(x.anchor) else ([], [])
+    cuts, places = text.cut(text.bucket(x.anchor, buckets))
     size = np.array([len(p) for p in x.piece], np.int64)
     return pa.table({
         "chunk": pa.array([table.column("chunk")[0].as_py()] * len(places), pa.int64()),
         "bucket": pa.array(places, pa.int32()),
-        "a": pa.array([_pack(x.anchor[i:j], 8) for i, j in cuts], pa.binary()),
-        "b": pa.array([_pack(size[i:j], 5) for i, j in cuts], pa.binary()),
-        "c": pa.array([_pack(x.id[i:j], 8) for i, j in cuts], pa.binary()),
-        "d": pa.array([b"".join(x.piece[i:j]) for i, j in cuts], pa.binary()),
+        "a": pa.array([text.pack(x.anchor[i:j], 8) for i, j in cuts], pa.binary()),
+        "b": pa.array([text.pack(size[i:j], 5) for i, j in cuts], pa.binary()),
+        "c": pa.array([text.pack(x.id[i:j], 8) for i, j in cuts], pa.binary()),
+        "d": pa.array([zstandard.compress(b"".join(x.piece[i:j]), 3) for i, j in cuts], pa.binary()),
     })
 
 
 def _merge_stretches(table: pa.Table) -> pa.Table:
     """For each shard, a bit for each suffix of its stretches: whether a smaller document has it."""
-    sizes = [_unpack(b, 5).astype(np.int64) for b in table.column("b").to_pylist()]
-    anchor = np.concatenate([_unpack(a, 8) for a in table.column("a").to_pylist()])
-    owner = np.concatenate([_unpack(c, 8) for c in table.column("c").to_pylist()]).astype(np.int64)
+    sizes = [text.unpack(b, 5).astype(np.int64) for b in table.column("b").to_pylist()]
+    anchor = np.concatenate([text.unpack(a, 8) for a in table.column("a").to_pylist()])
+    owner = np.concatenate([text.unpack(c, 8) for c in table.column("c").to_pylist()]).astype(np.int64)
     size = np.concatenate(sizes)
-    data = b"".join(table.column("d").to_pylist())
+    data = b"".join(map(zstandard.decompress, table.column("d").to_pylist()))
     start = np.cumsum(size) - size
-    # Equal stretches are one, of the smallest document.
-    digest: dict[tuple[int, bytes], int] = {}
-    same = np.empty(len(size), np.int64)
-    for i, (a, b, n) in enumerate(zip(anchor.tolist(), start.tolist(), size.tolist(), strict=True)):
-        same[i] = digest.setdefault((a, xxh3_128_digest(data[b:b + n])), len(digest))
-    least = np.full(len(digest), NO_ID, np.int64)
+    # Equal stretches are one, of the smallest document; their bytes name their anchor too.
+    pieces = zip(start.tolist(), (start + size).tolist(), strict=True)
+    digest = np.fromiter((xxh3_64_intdigest(data[i:j]) for i, j in pieces), np.uint64, len(size))
+    _, one, same = np.unique(digest, return_index=True, return_inverse=True)
+    least = np.full(len(one), NO_ID, np.int64)
     np.minimum.at(least, same, owner)
-    _, one = np.unique(same, return_index=True)
-    # The suffixes of the different stretches; the interval of a suffix is its anchor's.
     count = size[one] - SPAN + 1
     offset = np.cumsum(count) - count
-    piece = np.repeat(np.arange(len(one)), count)
-    where = np.arange(len(piece)) - offset[piece] + start[one][piece]
-    interval = np.unique(anchor[one], return_inverse=True)[1][piece]
-    repeated = _refined(np.frombuffer(data, np.uint8), where, interval, least[piece])
+    repeated = np.zeros(int(count.sum()), bool)
+    # Stretches that are alone under their anchor repeat nothing; the others go anchor by anchor.
+    order = np.argsort(anchor[one], kind="stable")
+    name = anchor[one][order]
+    group = np.cumsum(np.r_[False, name[1:] != name[:-1]])
+    shared = np.bincount(group)[group] > 1
+    order, group = order[shared], group[shared]
+    if len(order):
+        # A batch takes the anchors whose first suffix falls in the same BATCH of suffixes.
+        before = np.cumsum(count[order]) - count[order]
+        begins = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        turn = np.repeat(before[begins] // BATCH, np.diff(np.append(begins, len(order))))
+        for i, j in text.cut(turn)[0]:
+            _refine_batch(data, anchor[one], start[one], count, offset, least, order[i:j], repeated)
     cells, first = [], 0
     for block in sizes:
-        marks = []
-        for i in range(first, first + len(block)):
-            k = same[i]
-            marks.append(np.ones(count[k], bool) if owner[i] > least[k] else repeated[offset[k]:offset[k] + count[k]])
+        k = same[first:first + len(block)]
+        length = count[k]
+        run = np.repeat(np.arange(len(k)), length)
+        at = offset[k][run] + np.arange(len(run)) - (np.cumsum(length) - length)[run]
+        later = owner[first:first + len(block)] > least[k]
+        cells.append(np.packbits(repeated[at] | later[run]).tobytes())
         first += len(block)
-        cells.append(np.packbits(np.concatenate(marks)).tobytes())
     return _back(table, "marks", cells)
 
 
-def _refined(data: np.ndarray, where: np.ndarray, interval: np.ndarray, owner: np.ndarray) -> np.ndarray:
+def _refine_batch(data: bytes, anchor, start, count, offset, least, chosen: np.ndarray, out: np.ndarray) -> None:
+    """Refine the suffixes of the chosen stretches, in parts by their first bytes where they are many."""
+    length = count[chosen]
+    piece = np.repeat(np.arange(len(chosen), dtype=np.int32), length)
+    within = np.arange(len(piece)) - (np.cumsum(length) - length)[piece]
+    where, at = start[chosen][piece] + within, offset[chosen][piece] + within
+    interval = np.unique(anchor[chosen], return_inverse=True)[1]
+    parts = 1 + len(where) // BATCH
+    part = (text.mix(_eight(data)[where]) % np.uint64(parts)).astype(np.int32)
+    for k in range(parts):
+        i = np.flatnonzero(part == k)
+        out[at[i]] = _refined(data, where[i], interval[piece[i]], least[chosen][piece[i]])
+
+
+def _eight(data: bytes) -> np.ndarray:
+    """The eight bytes at each place."""
+    return np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+
+
+def _refined(data: bytes, where: np.ndarray, interval: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Whether the SPAN bytes at `where` are also those of a member of a smaller owner."""
     out = np.zeros(len(where), bool)
-    if not len(where):
-        return out
-    eight = np.ndarray((len(data) - 7,), "<u8", data.tobytes(), strides=(1,))
-    left = np.arange(len(where))
-    group = interval
-    for offset in (*range(0, SPAN - 8, 8), SPAN - 8, None):
-        order = np.argsort(group, kind="stable") if offset is None else np.lexsort((eight[where[left] + offset], group))
-        left, group = left[order], group[order]
-        new = np.r_[True, group[1:] != group[:-1]]
-        if offset is not None:
-            symbol = eight[where[left] + offset]
-            new[1:] |= symbol[1:] != symbol[:-1]
+    eight = _eight(data) if len(where) else None
+    left, group = np.arange(len(where)), interval
+    for offset in (*range(0, SPAN - 8, 8), SPAN - 8):
+        if not len(left):
+            return out
+        symbol = eight[where[left] + offset]
+        order = np.lexsort((symbol, group))
+        left, group, symbol = left[order], group[order], symbol[order]
+        new = np.r_[True, (group[1:] != group[:-1]) | (symbol[1:] != symbol[:-1])]
         first = np.flatnonzero(new)
-        least = np.minimum.reduceat(owner[left], first)
-        most = np.maximum.reduceat(owner[left], first)
+        least, most = np.minimum.reduceat(owner[left], first), np.maximum.reduceat(owner[left], first)
         group = np.cumsum(new) - 1
-        if offset is None:
-            out[left] = owner[left] > least[group]
-            break
         open_ = (least < most)[group]
         left, group = left[open_], group[open_]
-        if not len(left):
-            break
+    if len(left):
+        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        least = np.minimum.reduceat(owner[left], first)
+        out[left] = owner[left] > np.repeat(least, np.diff(np.append(first, len(left))))
     return out
 
 
@@ -260,7 +278,7 @@ def _remove(table: pa.Table, returned: pa.Table, buckets: int, with_text: bool)
         count = np.array([len(p) for p in x.piece], np.int64) - SPAN + 1
         offset = np.cumsum(count) - count
         marks = np.zeros(int(count.sum()), bool)
-        for (i, j), place in zip(*_cut(_bucket(x.anchor, buckets)), strict=True):
+        for (i, j), place in zip(*text.cut(text.bucket(x.anchor, buckets)), strict=True):
             a, b = offset[i], offset[j - 1] + count[j - 1]
             marks[a:b] = np.unpackbits(np.frombuffer(cells[place], np.uint8))[:b - a]
         # A shard sends a stretch for its smallest document; what others hold is repeated.
