@@ -75,3 +75,11 @@ def test_audit_sees_missing_links(spark):
         "node", "vector", F.lit(1).cast("long").alias("weight"))
     none = nodes.select("node", F.lit(0).cast("long").alias("n_links"))
     assert neighbours._audit(nodes, none, 0.95) == pytest.approx(0)
+
+
+def test_finds_pairs_that_share_no_table(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "TABLES", 1)
+    monkeypatch.setattr(neighbours, "BUCKET", 1)
+    monkeypatch.setattr(neighbours, "SEARCH_BLOCK", 50, raising=False)
+    rows = clusters(4, [2] * 150 + [3] * 10) + EDGES
+    assert run(spark, rows) == brute(rows)

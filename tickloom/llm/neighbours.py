@@ -1,14 +1,22 @@
-"""Near-duplicate vectors by NN-descent over a neighbour graph.
-
-Every different vector keeps a list of its LIST nearest known vectors with cosine of at least FLOOR:
-two vectors that are both linked to a third lie above it, so lower ones lead nowhere. Lists begin
-with vectors on the same side of random planes, TABLES times. Then neighbours of neighbours are
-compared: each vector's list, and the vectors that list it, meet as one group, and every member takes
-the nearest it finds there, until few lists change. A list that is full of links is saturated and is
-doubled, up to MOST; beyond that a vector's list is the whole component that its links lead to, which
-is compared in blocks and counted, not listed. So links inside a component are exact. Recall is
-audited: at most AUDIT vectors are compared with all others, and while less than RECALL of their
-links was found, more tables and rounds are added, ROUNDS times at most.
+"""Near-duplicate vectors by an exact blocked search, or by NN-descent over a neighbour graph.
+
+The search is exact: the different vectors are dealt into blocks of SEARCH_BLOCK by a hash, every two
+blocks of vectors of one length meet once, and each vector's links are counted there. Nothing is
+listed: two blocks give a row for each vector that has a link, with its count and the vector that
+stands for what it hangs together with in these two, so components follow from those rows. Blocks are
+compared in single precision first, and what comes within SLACK of the link is compared again in
+double. No row is shuffled for a comparison, which grow with the square of the different vectors.
+
+With `sure=False` NN-descent goes first. Every different vector keeps a list of its LIST nearest known
+vectors with cosine of at least FLOOR: two vectors that are both linked to a third lie above it, so
+lower ones lead nowhere. Lists begin with vectors on the same side of random planes, TABLES times. Then
+neighbours of neighbours are compared: each vector's list, and the vectors that list it, meet as one
+group, and every member takes the nearest it finds there, until few lists change. A list that is full
+of links is saturated and is doubled, up to MOST. Components of these links are compared in blocks and
+counted. This can miss links: of small groups, which are found only in a shared table, and between
+dense groups, whose vectors list only their own. At most AUDIT vectors are compared with all others,
+and while less than RECALL of their links was found, more tables and rounds are added, ROUNDS times at
+most.
 
 Equal vectors are one node with a weight, so copies cost a row. Groups over BLOCK members are dealt
 into blocks by a hash. Cosines are taken in double precision. Null, empty and zero vectors and those
@@ -32,23 +40,20 @@ TABLES, LIST, MOST = 8, 16, 64
 BLOCK, COUNT_BLOCK = 256, 512
 AUDIT, RECALL, ROUNDS = 512, 0.999, 4
 BUCKET = 32
+SEARCH_BLOCK, SLACK = 1024, 1e-3
 
 
-def near_duplicates(vectors: DataFrame, link: float = LINK) -> DataFrame:
-    """vec_id, n_links, component_id, kept for `vectors(vec_id, embedding)`, and `audited_recall`."""
+def near_duplicates(vectors: DataFrame, link: float = LINK, sure: bool = True) -> DataFrame:
+    """vec_id, n_links, component_id, kept for `vectors(vec_id, embedding)`, and `audited_recall`.
+
+    All links are found; `sure=False` is content with NN-descent where its audit holds.
+    """
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
     rows = stored(rows.mapInArrow(text.by_batch(_keyed), "vec_id long, node binary, vector binary"), "nn-rows")
     nodes = rows.filter("node IS NOT NULL").groupBy("node").agg(
         F.first("vector").alias("vector"), F.count("*").alias("weight"))
     nodes = stored(nodes, "nn-nodes")
-    lists, recall, counted = None, 0.0, None
-    for attempt in range(ROUNDS):
-        found = _start(nodes, attempt)
-        lists = _descend(nodes, found if lists is None else _best(lists.unionByName(found)), link)
-        counted = stored(_count(nodes, lists.filter(F.col("cosine") >= link), link), "nn-counted")
-        recall = _audit(nodes, counted, link)
-        if recall >= RECALL:
-            break
+    counted, recall = (_searched(nodes, link), 1.0) if sure else _descended(nodes, link)
     named = rows.select("vec_id", "node").join(counted, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     least = stored(named.filter("component IS NOT NULL").groupBy("component").agg(F.min("vec_id").alias("component_id")), "nn-named")
@@ -59,6 +64,90 @@ def near_duplicates(vectors: DataFrame, link: float = LINK) -> DataFrame:
         F.col("vec_id").eqNullSafe(own).alias("kept"), F.lit(recall).alias("audited_recall"))
 
 
+def _searched(nodes: DataFrame, link: float) -> DataFrame:
+    """node, component, n_links by comparing every two blocks of vectors."""
+    rows = nodes.withColumn("length", F.octet_length("vector"))
+    sizes = rows.groupBy("length").agg(F.ceil(F.count("*") / SEARCH_BLOCK).alias("blocks"))
+    rows = rows.join(F.broadcast(sizes), "length")  # a row for each length of vectors
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", "length"), "blocks"))
+    count = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = rows.repartition(count, "length", "block").groupBy("length", "block").agg(
+        F.collect_list(F.struct("node", "vector", "weight")).alias("held"))
+    packed = stored(packed, "nn-packed")
+    lo, hi = (packed.select(*[F.col(c).alias(f"{c}_{side}") for c in packed.columns]) for side in ("lo", "hi"))
+    same = (F.col("length_lo") - F.col("length_hi") == 0) & (F.col("block_lo") <= F.col("block_hi"))
+    met = lo.join(hi.hint("shuffle_replicate_nl"), same).select(
+        (F.col("block_lo") == F.col("block_hi")).alias("own"), "held_lo", "held_hi")
+    found = met.mapInArrow(
+        lambda batches: (_met(*pair, link) for batch in batches for pair in zip(*batch.columns, strict=True)),
+        "node binary, root binary, n long")
+    found = stored(found, "nn-found")
+    return stored(_named(nodes, found.groupBy("node").agg(F.sum("n").alias("n")),
+                         graph.components(found.select("node", "root").distinct(), "node", "root")), "nn-counted")
+
+
+def _met(own: pa.Scalar, lo: pa.Scalar, hi: pa.Scalar, link: float) -> pa.RecordBatch:
+    """The linked vectors of two blocks, or of one with itself, with their links and a root of what hangs together."""
+    (u, x, wu), (v, y, wv) = (_opened(held.values) for held in (lo, hi))
+    near = x.astype(np.float32) @ y.astype(np.float32).T >= link - SLACK
+    i, j = near.any(axis=1).nonzero()[0], near.any(axis=0).nonzero()[0]
+    if own.as_py():
+        i = j = np.union1d(i, j)
+    close = x[i] @ y[j].T >= link
+    if own.as_py():
+        np.fill_diagonal(close, False)
+        some = close.any(axis=1).nonzero()[0]
+        close = close[np.ix_(some, some)]
+        nodes, n, around = u[i[some]], close @ wu[i[some]], close
+    else:
+        some, more = close.any(axis=1).nonzero()[0], close.any(axis=0).nonzero()[0]
+        close = close[np.ix_(some, more)]
+        nodes = np.r_[u[i[some]], v[j[more]]]
+        n = np.r_[close @ wv[j[more]], wu[i[some]] @ close]
+        around = np.block([[np.zeros((len(some),) * 2, bool), close], [close.T, np.zeros((len(more),) * 2, bool)]])
+    roots = nodes[_roots(around)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(nodes, pa.binary()), pa.array(roots, pa.binary()), pa.array(n.astype(np.int64))], names=["node", "root", "n"])
+
+
+def _opened(held: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    nodes = np.empty(len(held), object)
+    nodes[:] = held.field("node").to_pylist()
+    return nodes, np.array([np.frombuffer(x, float) for x in held.field("vector").to_pylist()]), held.field("weight").to_numpy()
+
+
+def _roots(around: np.ndarray) -> np.ndarray:
+    """The least place that each place reaches."""
+    root = np.arange(len(around))
+    while len(root):
+        after = np.minimum(root, np.where(around, root, len(root)).min(axis=1))
+        after = after[after]
+        if (after == root).all():
+            break
+        root = after
+    return root
+
+
+def _named(nodes: DataFrame, sums: DataFrame, parts: DataFrame) -> DataFrame:
+    out = nodes.select("node", "weight").join(parts, "node", "left").join(sums, "node", "left")
+    return out.select(
+        "node", F.coalesce("component", "node").alias("component"),
+        (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+
+
+def _descended(nodes: DataFrame, link: float) -> tuple[DataFrame, float]:
+    """What `_searched` gives as far as NN-descent finds it, and the audited recall."""
+    lists, recall, counted = None, 0.0, None
+    for attempt in range(ROUNDS):
+        found = _start(nodes, attempt)
+        lists = _descend(nodes, found if lists is None else _best(lists.unionByName(found)), link)
+        counted = stored(_count(nodes, lists.filter(F.col("cosine") >= link), link), "nn-counted")
+        recall = _audit(nodes, counted, link)
+        if recall >= RECALL:
+            break
+    return counted, recall
+
+
 def _keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
     nodes, kept = [], []
     for values in batch.column("embedding").to_pylist():
@@ -204,10 +293,7 @@ def _count(nodes: DataFrame, links: DataFrame, link: float) -> DataFrame:
     members = parts.select(
         F.xxhash64("component").alias("place"), F.xxhash64("component", F.lit(1)).alias("slot"), "node")
     sums = _grouped(members, nodes, COUNT_BLOCK, link).groupBy("node").agg(F.sum("n").alias("n"))
-    out = nodes.select("node", "weight").join(parts, "node", "left").join(sums, "node", "left")
-    return out.select(
-        "node", F.coalesce("component", "node").alias("component"),
-        (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    return _named(nodes, sums, parts)
 
 
 def _audit(nodes: DataFrame, counted: DataFrame, link: float) -> float:
