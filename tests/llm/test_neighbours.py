@@ -83,3 +83,28 @@ def test_finds_pairs_that_share_no_table(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "SEARCH_BLOCK", 50, raising=False)
     rows = clusters(4, [2] * 150 + [3] * 10) + EDGES
     assert run(spark, rows) == brute(rows)
+
+
+def test_audit_weighs_pairs_like_large_groups(spark):
+    from pyspark.sql import functions as F
+    rows = clusters(5, [60] + [2] * 20)
+    group = {r[0] for r in brute(rows) if r[1] > 1}
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], DDL).selectExpr(
+        "vec_id", "cast(embedding as array<double>) embedding")
+    from tickloom.llm import text
+    nodes = frame.mapInArrow(text.by_batch(neighbours._keyed), "vec_id long, node binary, vector binary").withColumn(
+        "weight", F.lit(1).cast("long"))
+    truth = spark.createDataFrame([(r[0], r[1] if r[0] in group else 0) for r in brute(rows)], "vec_id long, n_links long")
+    found = nodes.join(truth, "vec_id").select("node", "n_links")
+    linked = sum(r[1] > 0 for r in brute(rows))
+    assert neighbours._audit(nodes.drop("vec_id"), found, 0.95) == pytest.approx(len(group) / linked)
+
+
+def test_descent_that_fails_its_audit_is_finished(spark, monkeypatch):
+    for name, value in {"TABLES": 1, "BUCKET": 1, "ROUNDS": 1}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    rows = clusters(4, [2] * 100 + [40])
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], DDL)
+    out = neighbours.near_duplicates(frame, sure=False).collect()
+    assert sorted([(r.vec_id, r.n_links, r.component_id, r.kept) for r in out], key=str) == brute(rows)
+    assert {r.audited_recall for r in out} == {1.0}

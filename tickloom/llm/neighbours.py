@@ -14,9 +14,11 @@ neighbours of neighbours are compared: each vector's list, and the vectors that
 group, and every member takes the nearest it finds there, until few lists change. A list that is full
 of links is saturated and is doubled, up to MOST. Components of these links are compared in blocks and
 counted. This can miss links: of small groups, which are found only in a shared table, and between
-dense groups, whose vectors list only their own. At most AUDIT vectors are compared with all others,
-and while less than RECALL of their links was found, more tables and rounds are added, ROUNDS times at
-most.
+dense groups, whose vectors list only their own. So it is audited: one vector in ASKED, or AUDIT if that
+is more, is compared with all others, and recall is the share of its different neighbours that were
+found, averaged over the asked vectors that have any; copies and large groups weigh no more than
+pairs. While it is under RECALL, more tables and rounds are added, ROUNDS times at most. Where it does
+not hold then, or no asked vector has a neighbour, the search does the whole job.
 
 Equal vectors are one node with a weight, so copies cost a row. Groups over BLOCK members are dealt
 into blocks by a hash. Cosines are taken in double precision. Null, empty and zero vectors and those
@@ -28,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
@@ -38,7 +40,7 @@ from tickloom.session import stored
 LINK, FLOOR = 0.95, 0.8
 TABLES, LIST, MOST = 8, 16, 64
 BLOCK, COUNT_BLOCK = 256, 512
-AUDIT, RECALL, ROUNDS = 512, 0.999, 4
+AUDIT, ASKED, RECALL, ROUNDS = 512, 50, 0.999, 4
 BUCKET = 32
 SEARCH_BLOCK, SLACK = 1024, 1e-3
 
@@ -66,6 +68,17 @@ def near_duplicates(vectors: DataFrame, link: float = LINK, sure: bool = True) -
 
 def _searched(nodes: DataFrame, link: float) -> DataFrame:
     """node, component, n_links by comparing every two blocks of vectors."""
+    packed = _packed(nodes)
+    found = _crossed(packed, packed, F.col("block_lo") <= F.col("block_hi")).mapInArrow(
+        lambda batches: (_met(*pair, link) for batch in batches for pair in zip(*batch.columns, strict=True)),
+        "node binary, root binary, n long")
+    found = stored(found, "nn-found")
+    return stored(_named(nodes, found.groupBy("node").agg(F.sum("n").alias("n")),
+                         graph.components(found.select("node", "root").distinct(), "node", "root")), "nn-counted")
+
+
+def _packed(nodes: DataFrame) -> DataFrame:
+    """length, block, held: about SEARCH_BLOCK vectors of one length a row."""
     rows = nodes.withColumn("length", F.octet_length("vector"))
     sizes = rows.groupBy("length").agg(F.ceil(F.count("*") / SEARCH_BLOCK).alias("blocks"))
     rows = rows.join(F.broadcast(sizes), "length")  # a row for each length of vectors
@@ -73,17 +86,14 @@ def _searched(nodes: DataFrame, link: float) -> DataFrame:
     count = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = rows.repartition(count, "length", "block").groupBy("length", "block").agg(
         F.collect_list(F.struct("node", "vector", "weight")).alias("held"))
-    packed = stored(packed, "nn-packed")
-    lo, hi = (packed.select(*[F.col(c).alias(f"{c}_{side}") for c in packed.columns]) for side in ("lo", "hi"))
-    same = (F.col("length_lo") - F.col("length_hi") == 0) & (F.col("block_lo") <= F.col("block_hi"))
-    met = lo.join(hi.hint("shuffle_replicate_nl"), same).select(
+    return stored(packed, "nn-packed")
+
+
+def _crossed(lo: DataFrame, hi: DataFrame, where: Column) -> DataFrame:
+    """own, held_lo, held_hi for every two blocks of one length."""
+    lo, hi = (d.select(*[F.col(c).alias(f"{c}_{side}") for c in d.columns]) for d, side in ((lo, "lo"), (hi, "hi")))
+    return lo.join(hi.hint("shuffle_replicate_nl"), (F.col("length_lo") - F.col("length_hi") == 0) & where).select(
         (F.col("block_lo") == F.col("block_hi")).alias("own"), "held_lo", "held_hi")
-    found = met.mapInArrow(
-        lambda batches: (_met(*pair, link) for batch in batches for pair in zip(*batch.columns, strict=True)),
-        "node binary, root binary, n long")
-    found = stored(found, "nn-found")
-    return stored(_named(nodes, found.groupBy("node").agg(F.sum("n").alias("n")),
-                         graph.components(found.select("node", "root").distinct(), "node", "root")), "nn-counted")
 
 
 def _met(own: pa.Scalar, lo: pa.Scalar, hi: pa.Scalar, link: float) -> pa.RecordBatch:
@@ -132,7 +142,8 @@ def _named(nodes: DataFrame, sums: DataFrame, parts: DataFrame) -> DataFrame:
     out = nodes.select("node", "weight").join(parts, "node", "left").join(sums, "node", "left")
     return out.select(
         "node", F.coalesce("component", "node").alias("component"),
-        (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+        (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in sums.columns if c not in ("node", "n")])
 
 
 def _descended(nodes: DataFrame, link: float) -> tuple[DataFrame, float]:
@@ -142,10 +153,10 @@ def _descended(nodes: DataFrame, link: float) -> tuple[DataFrame, float]:
         found = _start(nodes, attempt)
         lists = _descend(nodes, found if lists is None else _best(lists.unionByName(found)), link)
         counted = stored(_count(nodes, lists.filter(F.col("cosine") >= link), link), "nn-counted")
-        recall = _audit(nodes, counted, link)
-        if recall >= RECALL:
+        recall = _audit(nodes, counted.select("node", F.col("partners").alias("n_links")), link)
+        if not recall < RECALL:
             break
-    return counted, recall
+    return (counted, recall) if recall >= RECALL else (_searched(nodes, link), 1.0)
 
 
 def _keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -213,7 +224,7 @@ def _grouped(members: DataFrame, nodes: DataFrame, block: int, link: float | Non
     rows = rows.repartition(count, *keys).sortWithinPartitions(*keys)
     if link is None:
         return rows.mapInArrow(lambda b: map(_nearest, text.by_group(b, keys)), "u binary, v binary, cosine double")
-    return rows.mapInArrow(lambda b: (_linked(g, link) for g in text.by_group(b, keys)), "node binary, n long")
+    return rows.mapInArrow(lambda b: (_linked(g, link) for g in text.by_group(b, keys)), "node binary, n long, partners long")
 
 
 def _nearest(group: pa.Table) -> pa.RecordBatch:
@@ -236,7 +247,8 @@ def _linked(group: pa.Table, link: float) -> pa.RecordBatch:
         close &= own[:, None] != own[None, :]
     np.fill_diagonal(close, False)
     return pa.RecordBatch.from_arrays(
-        [group.column("node").combine_chunks(), pa.array((close @ weight).astype(np.int64))], names=["node", "n"])
+        [group.column("node").combine_chunks(), pa.array((close @ weight).astype(np.int64)), pa.array(close.sum(axis=1))],
+        names=["node", "n", "partners"])
 
 
 def _start(nodes: DataFrame, attempt: int) -> DataFrame:
@@ -292,25 +304,28 @@ def _count(nodes: DataFrame, links: DataFrame, link: float) -> DataFrame:
     parts = stored(graph.components(links, "u", "v"), "nn-parts")
     members = parts.select(
         F.xxhash64("component").alias("place"), F.xxhash64("component", F.lit(1)).alias("slot"), "node")
-    sums = _grouped(members, nodes, COUNT_BLOCK, link).groupBy("node").agg(F.sum("n").alias("n"))
+    sums = _grouped(members, nodes, COUNT_BLOCK, link).groupBy("node").agg(
+        F.sum("n").alias("n"), F.sum("partners").alias("partners"))
     return _named(nodes, sums, parts)
 
 
 def _audit(nodes: DataFrame, counted: DataFrame, link: float) -> float:
-    """Found links as a part of all links, of at most AUDIT nodes."""
-    asked = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).join(counted, "node").select(
-        "vector", "weight", "n_links").toArrow()
-    if not asked.num_rows:
-        return 1.0
-    vectors = asked.column("vector")
-
-    def compared(batch: pa.RecordBatch) -> pa.RecordBatch:
-        close = _cosines(vectors, batch.column("vector")) >= link
-        n = close @ batch.column("weight").to_numpy()
-        return pa.RecordBatch.from_arrays([pa.array(np.arange(len(n))), pa.array(n.astype(np.int64))], names=["i", "n"])
-
-    true = nodes.mapInArrow(text.by_batch(compared), "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
-    want = {r["i"]: r["n"] - 1 for r in true.collect()}  # at most AUDIT rows
-    got = asked.column("n_links").to_pylist()
-    total = sum(want.values())
-    return 1.0 if total == 0 else sum(min(g, want[i]) for i, g in enumerate(got)) / total
+    """The found share of a node's different neighbours, averaged over the asked nodes that have any; NaN if none has.
+
+    `counted` has the number of different neighbours found as n_links.
+    """
+    every = max(1, min(ASKED, nodes.count() // AUDIT))
+    asked = nodes.filter(F.pmod(F.xxhash64("node", F.lit("audit")), F.lit(every)) == 0)
+
+    def compared(batches):
+        for batch in batches:
+            for _, lo, hi in zip(*batch.columns, strict=True):
+                (u, x, _), (_, y, _) = _opened(lo.values), _opened(hi.values)
+                n = (x @ y.T >= link).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(n)], names=["node", "n"])
+
+    true = _crossed(_packed(asked), _packed(nodes), F.lit(True)).mapInArrow(compared, "node binary, n long")
+    true = true.groupBy("node").agg((F.sum("n") - 1).alias("n")).filter("n > 0")
+    share = F.least(F.coalesce("n_links", F.lit(0)) / F.col("n"), F.lit(1.0))
+    recall = true.join(counted, "node", "left").agg(F.avg(share)).first()[0]
+    return float("nan") if recall is None else recall
