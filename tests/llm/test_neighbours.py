@@ -108,3 +108,19 @@ def test_descent_that_fails_its_audit_is_finished(spark, monkeypatch):
     out = neighbours.near_duplicates(frame, sure=False).collect()
     assert sorted([(r.vec_id, r.n_links, r.component_id, r.kept) for r in out], key=str) == brute(rows)
     assert {r.audited_recall for r in out} == {1.0}
+
+
+def test_dense_groups_that_touch_by_one_link(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LIST", 2)
+    monkeypatch.setattr(neighbours, "MOST", 3)
+    rng = np.random.default_rng(6)
+    at = [*[0.0] * 30, 4.0, 20.0, *[24.0] * 30]  # degrees along an arc: only 4 and 20 link across
+    rows = []
+    for i, degrees in enumerate(at):
+        v = 0.002 * rng.standard_normal(24)
+        v[0] += np.cos(np.radians(degrees))
+        v[1] += np.sin(np.radians(degrees))
+        rows.append((i + 1, v.astype(np.float32).tolist()))
+    want = brute(rows)
+    assert {r[2] for r in want} == {1}
+    assert run(spark, rows) == want
