@@ -113,3 +113,29 @@ def test_quality_edges(spark, make):
     labels = spark.createDataFrame(quality_corpus()[1], "doc_id long, quality int, toxic int")
     assert len(cotraining.quality(nulls.unionByName(make(quality_corpus()[0])), labels).collect()) == 901
     assert pytest.approx(cotraining.content(None)) == cotraining.content("")
+
+
+def test_all_unlabelled_rows_teach(spark, make, monkeypatch):
+    """A source without labels is known to the page view only from what the text view teaches it."""
+    monkeypatch.setattr(cotraining, "POOL_ROWS", 5, raising=False)
+    rows, labels = quality_corpus(1600)
+    rows = [(i, t + " !!!!" * 9, "rare") if i % 160 == 4 else (i, t, s) for i, t, s in rows]  # never labelled
+    out = cotraining.quality(make(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    rare = [r.page_score for r in out if r.doc_id % 160 == 4]
+    other = [r.page_score for r in out if r.doc_id % 160 == 84]  # as bad, in sources that are good as well
+    assert np.mean(rare) < np.mean(other) - 0.2
+
+
+def test_corpus_sums_equal_local_ones(spark, make):
+    docs = make(quality_corpus()[0])
+    pool = docs.select(cotraining._features("text", "lang", "source", "n_chars").alias("f"), cotraining.F.lit(0.5).alias("chance"))
+    stat = lambda xs, chance: np.array([len(chance), xs[0].sum(), xs[1].sum()])
+    local = cotraining._views(cotraining._matrix([r.f for r in pool.collect()]))
+    assert cotraining._corpus(pool.repartition(40))(stat) == pytest.approx(stat(local, np.zeros(900)))
+    assert cotraining._corpus(pool.filter("false"))(stat) == pytest.approx([0, 0, 0])
+
+
+def test_bounds_take_the_quota_among_ties():
+    counts = np.array([0, 3, 10, 2])
+    assert cotraining._bound(counts, 3) == 2.0
+    assert cotraining._bound(counts, 8) == 2.5

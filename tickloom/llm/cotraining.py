@@ -2,14 +2,17 @@
 
 One view sees the content of a text (shares of kinds of characters, words and lines), the other
 what is known about the page (language, source, size). Both are logistic models. Each starts from
-the labelled rows; in every round each names the rows of an unlabelled pool that it is surest of,
-in the proportion of the labels, and these join the other's training rows. In the end each view is
+the labelled rows; in every round each names the rows without label that it is surest of, in the
+proportion of the labels, and these join the other's training rows. In the end each view is
 calibrated on labelled rows that it never saw, and the calibrated views are combined there too.
 
-Learned from are at most FIT_ROWS labelled rows, of which a quarter calibrates, and POOL_ROWS rows
-without label, both the first by a hash of their id; only their features reach the driver. Rows
-whose crc32(doc_id as text) mod 4 is 2 are held out of both. Every whole text is then scored, in one
-pass without a shuffle.
+Learned from are at most FIT_ROWS labelled rows, of which a quarter calibrates, the first by a hash
+of their id, and all rows without label. Features are taken once, in one pass without a shuffle, and
+stored; every round counts the scores of the whole corpus in BINS steps, which gives the scores that
+bound the surest, and fits each view by Newton's method from sums of its statistics taken in tasks.
+Of rows with a score in the step that bounds, a part by a hash of the id is named. Which rows are
+taught follows from the models and bounds of the rounds before, so nothing is marked or collected.
+Rows whose crc32(doc_id as text) mod 4 is 2 are held out of both. Every row is then scored.
 
 Nulls in any column are a value of their own; an empty or null text has content features of zero.
 Repeated labels of an id count once, as good only if all are. Rows without id are scored and not
@@ -22,15 +25,21 @@ import math
 import re
 import zlib
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FIT_ROWS, POOL_ROWS = 8_000, 8_000
+from tickloom.session import stored
+
+FIT_ROWS = 8_000
 ROUNDS, SURE = 5, 0.05
+BINS, PER_LOGIT, STEP = 6_000, 100, 1e-3
+FAN_IN = 16
 SLOTS = 64
 KEEP = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
@@ -59,13 +68,14 @@ def content(text: str | None) -> list[float]:
     ]
 
 
-def page(lang: str | None, source: str | None, size: int | None) -> list[float]:
-    out = [0.0] * (2 * SLOTS + 2)
-    out[zlib.crc32(repr(lang).encode()) % SLOTS] = 1.0
-    out[SLOTS + zlib.crc32(repr(source).encode()) % SLOTS] = 1.0
-    out[-2] = math.log1p(max(size, 0)) / 10 if size is not None else 0.0
-    out[-1] = float(size is None)
-    return out
+#: Features of the content.
+WIDTH = len(content(None))
+
+
+def _short(lang: str | None, source: str | None, size: int | None) -> list[float]:
+    """What is known about the page: slots of language and source, size, whether it has none."""
+    return [zlib.crc32(repr(lang).encode()) % SLOTS, SLOTS + zlib.crc32(repr(source).encode()) % SLOTS,
+            math.log1p(max(size, 0)) / 10 if size is not None else 0.0, float(size is None)]
 
 
 class View:
@@ -107,22 +117,128 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 def co_train(views: list[np.ndarray], y: np.ndarray, pools: list[np.ndarray]) -> list[View]:
     """The two views after ROUNDS exchanges; `views` and `pools` hold a matrix for each."""
-    taught = [(x, y) for x in views]
-    free = np.ones(len(pools[0]), bool)
+    chance = np.arange(len(pools[0])) * 0.6180339887 % 1
+    return _exchange(views, y, lambda stat: stat(pools, chance))
+
+
+def _exchange(views: list[np.ndarray], y: np.ndarray, summed: Callable) -> list[View]:
+    """The two views after ROUNDS exchanges; `summed(stat)` adds up stat(xs, chance) of the unlabelled rows."""
+    models, steps = [View().fit(x, y) for x in views], []
     for _ in range(ROUNDS):
-        models = [View().fit(*t) for t in taught]
-        quota = [max(1, int(SURE * free.sum() * share)) for share in (1 - y.mean(), y.mean())]
-        for model, pool, other in zip(models, pools, (1, 0), strict=True):
-            left = np.flatnonzero(free)
-            if len(left) < sum(quota):
+        quota = None
+        for side, model in enumerate(models):
+            def counted(xs, chance, side=side, model=model):
+                free = _taught(steps, xs, chance)[1]
+                return np.bincount(_place(model.logit(xs[side][free])), minlength=BINS)
+
+            counts = summed(counted)
+            free = int(counts.sum())
+            quota = quota or [max(1, int(SURE * free * share)) for share in (1 - y.mean(), y.mean())]
+            if free < sum(quota):
                 break
-            sure = left[np.argsort(model.logit(pool[left]), kind="stable")]
-            chosen = np.r_[sure[:quota[0]], sure[-quota[1]:]]
-            label = np.r_[np.zeros(quota[0]), np.ones(quota[1])]
-            x, known = taught[other]
-            taught[other] = np.vstack([x, pools[other][chosen]]), np.r_[known, label]
-            free[chosen] = False
-    return [View().fit(*t) for t in taught]
+            steps.append((side, model, _bound(counts, quota[0]), BINS - _bound(counts[::-1], quota[1])))
+        models = _refit(views, y, steps, summed)
+    return models
+
+
+def _place(logit: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(logit * PER_LOGIT) + BINS // 2, 0, BINS - 1).astype(np.int64)
+
+
+def _bound(counts: np.ndarray, quota: int) -> float:
+    """The place under which `quota` rows lie; its fraction is the part of the last step that is taken."""
+    below = np.cumsum(counts)
+    at = int(np.searchsorted(below, quota))
+    return at + (quota - (below[at] - counts[at])) / counts[at]
+
+
+def _taught(steps: list, xs: list[np.ndarray], chance: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each view the labels that the other one gave, NaN without, and which rows have none yet."""
+    free = np.ones(len(chance), bool)
+    labels = [np.full(len(chance), np.nan) for _ in xs]
+    for side, model, low, high in steps:
+        place = _place(model.logit(xs[side])) + chance
+        bad, good = free & (place < low), free & (place >= high)
+        labels[1 - side][bad], labels[1 - side][good] = 0.0, 1.0
+        free &= ~(bad | good)
+    return labels, free
+
+
+def _refit(views: list[np.ndarray], y: np.ndarray, steps: list, summed: Callable) -> list[View]:
+    """The views on the labelled rows and all taught ones."""
+    around = [x.mean(axis=0) for x in views]
+
+    def moments(xs, chance):
+        out = []
+        for x, label, middle in zip(xs, _taught(steps, xs, chance)[0], around, strict=True):
+            d = x[~np.isnan(label)] - middle
+            out += [[len(d)], d.sum(axis=0), (d * d).sum(axis=0)]
+        return np.concatenate(out)
+
+    total, out = summed(moments), []
+    for x, middle in zip(views, around, strict=True):
+        width = x.shape[1]
+        (n,), first, second, total = np.split(total, [1, 1 + width, 1 + 2 * width])
+        n += len(x)
+        new = View()
+        new.middle = middle + first / n
+        spread = (((x - middle) ** 2).sum(axis=0) + second) / n - (first / n) ** 2
+        new.scale, new.slope, new.shift = np.sqrt(np.maximum(spread, 0)) + 1e-6, 1.0, 0.0
+        new.w = np.zeros(width + 1)
+        out.append(new)
+    live = [True] * len(out)
+    for _ in range(25):
+        def slopes(xs, chance):
+            labels = _taught(steps, xs, chance)[0]
+            parts = [_slope(m, x[~np.isnan(t)], t[~np.isnan(t)]) for m, x, t, on in zip(out, xs, labels, live, strict=True) if on]
+            return np.concatenate(parts)
+
+        total = summed(slopes)
+        for i in [i for i, on in enumerate(live) if on]:
+            m, size = out[i], len(out[i].w)
+            part, total = np.split(total, [size * (size + 1)])
+            part = (part + _slope(m, views[i], y)).reshape(size + 1, size)
+            move = np.linalg.solve(part[1:] + 1e-2 * np.eye(size), part[0] + 1e-2 * m.w)
+            m.w = m.w - move
+            live[i] = bool(np.abs(move).max() >= STEP)
+        if not any(live):
+            break
+    return out
+
+
+def _slope(model: View, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Slope and curve of the logistic loss, one after the other."""
+    z = model._scaled(x)
+    p = 1 / (1 + np.exp(-np.clip(z @ model.w, -30, 30)))
+    return np.concatenate([z.T @ (p - y), ((z * (p * (1 - p))[:, None]).T @ z).ravel()])
+
+
+def _corpus(pool: DataFrame) -> Callable:
+    """`summed` of `_exchange` over `pool(f, chance)`, a Spark pass each."""
+    tasks = pool.rdd.getNumPartitions()
+
+    def summed(stat: Callable) -> np.ndarray:
+        none = stat(_views(np.zeros((0, WIDTH + 4))), np.zeros(0)).astype(float)
+
+        def taken(batches):
+            total = none
+            for batch in batches:
+                total = total + stat(_views(_matrix(batch.column("f").to_pylist())), batch.column("chance").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
+
+        def added(batches):
+            total = none
+            for batch in batches:
+                total = sum((np.frombuffer(s) for s in batch.column("s").to_pylist()), total)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
+
+        out, parts = pool.mapInArrow(taken, "s binary"), tasks
+        while parts > FAN_IN:
+            parts = math.ceil(parts / FAN_IN)
+            out = out.repartition(parts).mapInArrow(added, "s binary")
+        return sum((np.frombuffer(r["s"]) for r in out.collect()), none)  # at most FAN_IN rows
+
+    return summed
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -131,57 +247,61 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id"), held.alias("held_out"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
         F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
+    rows = stored(rows.select("doc_id", "held_out", _features("text", "lang", "source", "n_chars").alias("f")), "quality-features")
     score = _scorer(*_learned(rows, labels))
-    out = rows.withColumn("s", score("text", "lang", "source", "n_chars"))
+    out = rows.withColumn("s", score("f"))
     return out.select("doc_id", "held_out", "s.*", (F.col("s.score") >= KEEP).alias("kept"))
 
 
 def _learned(rows: DataFrame, labels: DataFrame) -> tuple[list[View] | None, np.ndarray]:
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(
         F.min(F.col("quality").cast("int")).alias("quality"))
-    order = [F.xxhash64("id"), F.col("id")]
-    fit = known.filter(F.crc32(F.col("id").cast("string")) % 4 != 2).orderBy(*order).limit(FIT_ROWS)
-    open_ = rows.filter("doc_id IS NOT NULL AND NOT held_out").select(F.col("doc_id").alias("id"))
-    pool = open_.join(known, "id", "left_anti").distinct().orderBy(*order).limit(POOL_ROWS)
-    asked = fit.unionByName(pool.withColumn("quality", F.lit(None).cast("int")))
-    table = rows.join(F.broadcast(asked), rows["doc_id"] == asked["id"]).select(  # at most FIT_ROWS + POOL_ROWS ids
-        "id", "quality", _features("text", "lang", "source", "n_chars").alias("f")).toPandas()
+    fit = known.filter(F.crc32(F.col("id").cast("string")) % 4 != 2).orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS)
+    table = rows.join(F.broadcast(fit), rows["doc_id"] == fit["id"]).select("id", "quality", "f").toPandas()  # at most FIT_ROWS ids
     table = table.drop_duplicates("id").sort_values("id")
-    x = np.array(table["f"].tolist()) if len(table) else np.zeros((0, 1))
-    labelled = table["quality"].notna().to_numpy()
-    y = table["quality"].to_numpy(float)[labelled]
-    width = len(content(None))
-    views, pools = ([x[m][:, :width], x[m][:, width:]] for m in (labelled, ~labelled))
-    check = np.array([zlib.crc32(f"calibrate {i}".encode()) % 4 == 0 for i in table["id"][labelled]], bool)
+    y = table["quality"].to_numpy(float)
+    views = _views(_matrix(table["f"].tolist()))
+    check = np.array([zlib.crc32(f"calibrate {i}".encode()) % 4 == 0 for i in table["id"]], bool)
     if not len(y) or min(len(set(y[check].tolist())), len(set(y[~check].tolist()))) < 2:
         good = (y.sum() + 1) / (len(y) + 2)
         return None, np.array([math.log(good / (1 - good))])
-    models = co_train([v[~check] for v in views], y[~check], pools)
+    pool = rows.filter("doc_id IS NOT NULL AND NOT held_out").withColumnRenamed("doc_id", "id").join(known, "id", "left_anti")
+    pool = pool.select("f", (F.pmod(F.xxhash64("id", F.lit("chance")), F.lit(1 << 30)) / (1 << 30)).alias("chance"))
+    models = _exchange([v[~check] for v in views], y[~check], _corpus(stored(pool, "quality-pool")))
     for model, view in zip(models, views, strict=True):
         model.calibrate(view[check], y[check])
     sides = np.stack([*(m.calibrated(v[check]) for m, v in zip(models, views, strict=True)), np.ones(check.sum())], 1)
     return models, _logistic(sides, y[check])
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
+@F.pandas_udf(T.BinaryType())
 def _features(text: pd.Series, lang: pd.Series, source: pd.Series, size: pd.Series) -> pd.Series:
-    return pd.Series([content(t) + page(*p) for t, p in zip(text, _pages(lang, source, size), strict=True)])
+    sizes = [None if pd.isna(n) else int(n) for n in size]
+    return pd.Series([np.array(content(t) + _short(*p)).tobytes() for t, *p in zip(text, lang, source, sizes, strict=True)])
+
+
+def _matrix(rows: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(rows)).reshape(-1, WIDTH + 4)
 
 
-def _pages(lang, source, size):
-    return [(a, b, None if pd.isna(n) else int(n)) for a, b, n in zip(lang, source, size, strict=True)]
+def _views(short: np.ndarray) -> list[np.ndarray]:
+    """Content and page features of `_features` rows."""
+    pages = np.zeros((len(short), 2 * SLOTS + 2))
+    at = short[:, WIDTH:WIDTH + 2].astype(int)
+    np.put_along_axis(pages, at, 1.0, axis=1)
+    pages[:, -2:] = short[:, WIDTH + 2:]
+    return [short[:, :WIDTH], pages]
 
 
 def _scorer(models: list[View] | None, mixed: np.ndarray):
     kind = T.StructType([T.StructField(c, T.DoubleType()) for c in ("text_score", "page_score", "score")])
 
     @F.pandas_udf(kind)
-    def scored(text: pd.Series, lang: pd.Series, source: pd.Series, size: pd.Series) -> pd.DataFrame:
-        if models is None or not len(text):
-            logits = np.full((3, len(text)), mixed[0])
+    def scored(f: pd.Series) -> pd.DataFrame:
+        if models is None or not len(f):
+            logits = np.full((3, len(f)), mixed[0])
         else:
-            a = models[0].calibrated(np.array([content(t) for t in text]))
-            b = models[1].calibrated(np.array([page(*p) for p in _pages(lang, source, size)]))
+            a, b = (m.calibrated(x) for m, x in zip(models, _views(_matrix(f.tolist())), strict=True))
             logits = np.stack([a, b, mixed[0] * a + mixed[1] * b + mixed[2]])
         p = 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
         return pd.DataFrame({"text_score": p[0], "page_score": p[1], "score": p[2]})
