@@ -52,3 +52,32 @@ def test_longer_runs_and_no_broadcast(make, monkeypatch):
 
 def test_empty_table(make):
     assert lines.deduplicate_lines(make([])).collect() == []
+
+
+def test_long_runs_of_one_or_two_lines(make):
+    long_, half, other = ("word " * 60).strip(), " ".join(f"h{i}" for i in range(30)), " ".join(f"o{i}" for i in range(30))
+    rows = [(1, long_), (2, f"a\n{long_}\nb"), (3, f"{half}\n{other}"), (4, f"{half}\n \n{other}\nz"), (5, f"{half}\ny\n{other}"),
+            (6, "short\nshort"), (7, None), (8, f"{long_}\n{long_}"), (9, "x y"), (10, "x y")]
+    got = {r.doc_id: (r.text, r.lines_removed) for r in lines.deduplicate_lines(make(rows)).collect()}
+    assert got == {1: (long_, 0), 2: ("a\nb", 1), 3: (rows[2][1], 0), 4: (" \nz", 2), 5: (rows[4][1], 0), 6: ("short\nshort", 0),
+                   7: (None, 0), 8: ("", 2), 9: ("x y", 0), 10: ("x y", 0)}
+    narrow = {r.doc_id: r.lines_removed for r in lines.deduplicate_lines(make(rows), words=None).collect()}
+    assert not any(narrow.values())
+
+
+@pytest.mark.parametrize("words", [1, 3, 5])
+def test_wider_runs_equal_brute_force(make, words):
+    rng = random.Random(words)
+    rows = [(i, "\n".join(rng.choice(["a", "b c", "d e f", "g h i j", " ", "\tk\tl  m "]) for _ in range(rng.randint(0, 6)))) for i in range(50)]
+    first, out = {}, {}
+    texts = [(i, [(k, x) for k, x in enumerate(t.split("\n")) if x.strip(" ")]) for i, t in rows]
+    runs = [(i, j, f[j:j + n]) for i, f in texts for n in range(1, lines.RUN + 1) for j in range(len(f) - n + 1)
+            if n == lines.RUN or sum(len(x.split()) for _, x in f[j:j + n]) >= words]
+    for i, j, run in runs:
+        key = tuple(x for _, x in run)
+        first[key] = min(first.get(key, (1 << 70, 0)), (i, j))
+    for i, j, run in runs:
+        if first[tuple(x for _, x in run)] < (i, j):
+            out.setdefault(i, set()).update(k for k, _ in run)
+    want = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in out.get(i, ())) for i, t in rows}
+    assert {r.doc_id: r.text for r in lines.deduplicate_lines(make(rows), words=words).collect()} == want

@@ -16,7 +16,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _line_digest(docs: DataFrame) -> DataFrame:
-    kept = lines.deduplicate_lines(docs.select("doc_id", "text"))
+    kept = lines.deduplicate_lines(docs.select("doc_id", "text"), words=None)  # its SQL knows runs of lines only
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     return kept.select("doc_id", "line_count", "lines_removed", digest.alias("kept_sha256"))
 
