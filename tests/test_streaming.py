@@ -241,3 +241,22 @@ def test_sql_over_the_stream_view(spark, feed):
     query.awaitTermination()
     assert marked.isStreaming
     assert [r["n"] for r in spark.table("slots").collect()] == [1]
+
+
+@pytest.mark.parametrize("one_day", [False, True])
+def test_late_ticks_are_written_by_many_tasks(spark, tmp_path, monkeypatch, one_day):
+    from tickloom.catalog import registry
+
+    folder, made, scratch = str(tmp_path / "in"), {}, registry.scratch_dir
+    monkeypatch.setattr(registry, "scratch_dir", lambda s, name: made.setdefault(name, scratch(s, name)))
+    events = ev.events(spark, SMALL)
+    if one_day:
+        day = ev.wire_ticks(events).select(F.to_date("timestamp").alias("d")).agg(F.min("d")).first()[0]
+        events = events.filter(F.to_date("ts") == day)
+    events.repartition(8).write.parquet(f"{folder}/events.parquet")
+    late = registry.queries()["stream_late_ticks"](spark, folder)
+    plain = registry.queries()["stream_moving_averages"](spark, folder)
+    assert as_dicts(late, *late.columns) == as_dicts(plain, *plain.columns)
+    assert one_day or late.count()
+    files = spark.read.text(made["late-messages"]).select(F.input_file_name()).distinct().count()
+    assert files > 3

@@ -302,7 +302,7 @@ def _stream_sector_performance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stream_late_ticks(spark: SparkSession, folder: str) -> DataFrame:
-    """The averages over many micro-batches, the last of which holds all ticks of the first day again.
+    """The averages over micro-batches, the last of which holds all ticks of the first day again.
 
     By then the windows of that day are closed, so its ticks are late and change nothing.
     """
@@ -311,12 +311,12 @@ def _stream_late_ticks(spark: SparkSession, folder: str) -> DataFrame:
     sent = encode_ticks(ticks).select("value")
     days = [r[0] for r in ticks.select(trade_date("timestamp").alias("d")).distinct().orderBy("d").collect()]
     progress = scratch_dir(spark, "late-progress")
-    parts = [(days[0], days[len(days) // 2]), (days[len(days) // 2], None), (days[0], days[1])]
+    parts = [(days[0], days[len(days) // 2]), (days[len(days) // 2], None), (days[0], [*days, None][1])]
     for first, end in parts:
         day = F.to_date(F.get_json_object("value", "$.timestamp"))
         rows = sent.where((day >= first) & (day < end) if end else day >= first)
-        rows.coalesce(1).write.mode("append").text(messages)
-        stream = decode_ticks(file_messages(spark, messages, "*.txt", 1))
+        rows.write.mode("append").text(messages)  # however many files, a run takes them as one micro-batch
+        stream = decode_ticks(file_messages(spark, messages, "*.txt"))
         runner.start_moving_averages(stream, path, progress, available_now=True).awaitTermination()
     return present(sinks.stored_rows(spark, path, MOVING_AVERAGES).select(*MOVING_AVERAGES.columns))
 
