@@ -139,3 +139,15 @@ def test_bounds_take_the_quota_among_ties():
     counts = np.array([0, 3, 10, 2])
     assert cotraining._bound(counts, 3) == 2.0
     assert cotraining._bound(counts, 8) == 2.5
+
+
+def test_swaps_follow_the_sentences(spark):
+    """A swap changes nothing that the sentence holds already, and terms that nobody mentions are not swapped."""
+    place = {f: i for i, f in enumerate(sorted(set().union(*(toxicity.features(t) for g in toxicity.IDENTITY_TERMS for t in g))))}
+    texts = ["women and men are here", "nothing named", "the blind"]
+    rows = spark.createDataFrame([(sorted(toxicity.features(t)),) for t in texts], "found array<string>")
+    got = [r[0] for r in rows.select(toxicity._swapped(place)("found")).collect()]
+    assert list(map(len, got)) == [8, 0, 4]  # two terms with four others each; none; one with four
+    assert sorted(-1 - place[f] for f in ("women", "wome~")) in [list(c) for c in got[0]]  # men is there already
+    moved = np.diag(toxicity._swaps(got, len(texts), len(place)))
+    assert moved[place["femmes"]] == 0 and moved[place["deaf"]] == pytest.approx(1 / 3)

@@ -1,12 +1,13 @@
 """A toxicity classifier that swapping identity terms does not move.
 
 A logistic model over the words of a text and their first 4 to 6 letters, as present or absent.
-Features are chosen by chi-square. For every pair of identity terms that labelled sentences could
-swap, the change that the swap makes to the score is penalised, weighted by the labelled texts that
-mention either term; so a neutral mention of a group scores as if it named any other group.
+Features are chosen by chi-square. Every labelled text that mentions an identity term is copied with
+that term swapped for each other one of its group, and the change that the swap makes to the score is
+penalised; so a neutral mention of a group scores as if it named any other group.
 
 Labels of at most FIT_ROWS rows (the first in the order of a hash of their id) are learned from;
-their features are counted and cut to FEATURES in tasks, and only that matrix reaches the driver.
+their features are counted and cut to FEATURES in tasks, and only that matrix and what the swaps change
+in it reach the driver.
 Every text is scored whole, in one pass without a shuffle. Nothing but the text enters a score.
 
 A null or empty text scores as one without any feature. A row whose id is null has no label and is
@@ -57,7 +58,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def features(text: str | None) -> set[str]:
-    found = set(_WORD.findall(text.lower())) if text else set()
+    return _of_words(set(_WORD.findall(text.lower())) if text else set())
+
+
+def _of_words(found: set[str]) -> set[str]:
     return found | {f"{w[:k]}~" for w in found for k in PREFIXES if len(w) > k}
 
 
@@ -102,14 +106,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             return Model({}, math.log((toxic + 1) / (total - toxic + 1)))
         chosen = _chosen(listed, total, toxic)
         place = {f: i for i, f in enumerate(chosen)}
-        kept = listed.select("toxic", _cut(place)("found").alias("at")).toPandas()
+        kept = listed.select("toxic", _cut(place)("found").alias("at"), _swapped(place)("found").alias("swaps")).toPandas()
     finally:
         listed.unpersist()
     x = np.zeros((len(kept), len(chosen)), np.float32)
     for row, at in enumerate(kept["at"]):
         x[row, at] = 1
     y = kept["toxic"].to_numpy(np.float32)
-    weights, bias = _descend(x, y, _swaps(x, place))
+    weights, bias = _descend(x, y, _swaps(kept["swaps"], len(kept), len(place)))
     return Model({f: float(w) for f, w in zip(chosen, weights, strict=True)}, float(bias))
 
 
@@ -135,19 +139,33 @@ def _chosen(listed: DataFrame, total: int, toxic: int) -> list[str]:
     return sorted({*best, *(f for group in IDENTITY_TERMS for term in group for f in features(term))})
 
 
-def _swaps(x: np.ndarray, place: dict[str, int]) -> np.ndarray:
-    """A row for each pair of terms: what swapping them does to the features, times its weight."""
-    rows = []
-    for group in IDENTITY_TERMS:
-        for a, b in zip(group, (*group[1:], group[0]), strict=True):
-            change = np.zeros(len(place), np.float32)
-            for f in features(a):
-                change[place[f]] -= 1
-            for f in features(b):
-                change[place[f]] += 1
-            mentions = 1 + x[:, place[a]].sum() + x[:, place[b]].sum()
-            rows.append(change * np.sqrt(mentions / len(x)))
-    return np.array(rows)
+def _swapped(place: dict[str, int]):
+    """For each swapped copy of a text the features that it lacks, as -1 - place, and those that it has in addition."""
+    @F.pandas_udf("array<array<int>>")
+    def swapped(found: pd.Series) -> pd.Series:
+        def copies(fs: list[str]) -> list[list[int]]:
+            words, out = {f for f in fs if f[-1] != "~"}, []
+            for group in IDENTITY_TERMS:
+                for a in words & set(group):
+                    for b in group:
+                        if b != a:
+                            new = _of_words(words - {a} | {b})
+                            out.append(sorted([-1 - place[f] for f in set(fs) - new if f in place]
+                                              + [place[f] for f in new - set(fs) if f in place]))
+            return sorted(out)
+        return found.map(copies)
+    return swapped
+
+
+def _swaps(swaps: pd.Series, texts: int, size: int) -> np.ndarray:
+    """The products of what the swaps change in every two features, summed over the copies, for each text."""
+    out = np.zeros((size, size))
+    for copy in (c for copies in swaps for c in copies):
+        at = np.array(copy, int)
+        sign = np.where(at < 0, -1.0, 1.0)
+        at = np.where(at < 0, -1 - at, at)
+        out[np.ix_(at, at)] += np.outer(sign, sign)
+    return (out / texts).astype(np.float32)
 
 
 def _descend(x: np.ndarray, y: np.ndarray, swaps: np.ndarray) -> tuple[np.ndarray, float]:
@@ -157,7 +175,7 @@ def _descend(x: np.ndarray, y: np.ndarray, swaps: np.ndarray) -> tuple[np.ndarra
     first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, STEPS + 1):
         error = 1 / (1 + np.exp(-(x @ w + bias))) - y
-        slope = x.T @ error / len(y) + RIDGE * w + 2 * SWAP_PENALTY * (swaps.T @ (swaps @ w))
+        slope = x.T @ error / len(y) + RIDGE * w + 2 * SWAP_PENALTY * (swaps @ w)
         slope = np.append(slope, error.mean())
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope ** 2
         move = 0.1 * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
