@@ -102,3 +102,80 @@ SELECT s.doc_id, CAST(len(f.f) AS BIGINT) AS line_count, CAST(coalesce(len(p.gon
     list_filter(s.a, lambda x, i: NOT list_contains(p.gone, i)), chr(10)), '') END) AS kept_sha256
 FROM split s JOIN filled f USING (doc_id) LEFT JOIN placed p USING (doc_id)
 """
+
+URLS = """
+WITH split AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM split
+), rules(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), judged AS (
+  SELECT page_id, host, path, (SELECT max({'n': len(h || p), 'r': h || p, 'v': v}) FROM rules
+    WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS rule FROM parts
+)
+SELECT page_id, host, path, rule.r AS rule, coalesce(rule.v, 'allow') AS verdict FROM judged
+"""
+
+PHRASES = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM docs)
+), places AS (
+  SELECT lang, unnest(list_transform(ws, lambda w, i: {'x': w, 'y': ws[i + 1], 'z': ws[i + 2]}), recursive := true) FROM pieces
+), ones AS (SELECT lang, x, count(*) AS f FROM places GROUP BY ALL
+), twos AS (SELECT lang, x, y, count(*) AS f FROM places WHERE y IS NOT NULL GROUP BY ALL
+), threes AS (SELECT lang, x, y, z, count(*) AS f FROM places WHERE z IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), most AS (
+  SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM threes UNION ALL SELECT lang, y, z, f FROM threes) GROUP BY lang, x, y
+), cuts AS (
+  SELECT t.lang, t.x || ' ' || t.y AS phrase, 1 AS k, t.f AS a, l.f AS l, r.f AS r FROM twos t
+  JOIN ones l ON l.lang = t.lang AND l.x = t.x JOIN ones r ON r.lang = t.lang AND r.x = t.y
+  LEFT JOIN most m ON m.lang = t.lang AND m.x = t.x AND m.y = t.y WHERE t.f >= 10 AND NOT coalesce(100 * m.f >= 50 * t.f, false)
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, 1, t.f, l.f, r.f FROM threes t
+  JOIN ones l ON l.lang = t.lang AND l.x = t.x JOIN twos r ON r.lang = t.lang AND r.x = t.y AND r.y = t.z
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, 2, t.f, l.f, r.f FROM threes t
+  JOIN twos l ON l.lang = t.lang AND l.x = t.x AND l.y = t.y JOIN ones r ON r.lang = t.lang AND r.x = t.z
+), scored AS (
+  SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts
+), lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+), totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM ones GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+# The crc32 of a text, four bits at a time; fixed values: the remainders of the 16 nibbles under the polynomial 0xEDB88320.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(len(hex)),
+    lambda i: strpos('0123456789ABCDEF', substr(hex, xor(i, 1) + 1, 1)) - 1)), lambda c, b: xor((c >> 4), ([0, 498536548, 997073096,
+    651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920,
+    2262029012, 2685067896, 3183342108])[1 + (xor(c, b) & 15)])))"""
+
+SPELLING = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents) GROUP BY ALL
+), hashed AS (
+  SELECT run, c, CRC AS h FROM (SELECT run, c, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hex FROM runs)
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word, CAST(sum(c) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING len(word) >= 5 AND sum(c) >= 3
+), cuts AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, len(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS near FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cuts c JOIN words w ON w.word = c.rest
+  UNION SELECT w.word, c.word FROM cuts c JOIN words w ON w.word = c.rest
+), best AS (
+  SELECT x.word, count(*) AS n_near, min({'n': -y.n, 'word': y.word}) AS b FROM near x JOIN words y ON y.word = x.near GROUP BY x.word
+), formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN -b.b.n >= 2 * w.n THEN b.b.word END AS form,
+    CASE WHEN -b.b.n >= 2 * w.n THEN -b.b.n END AS form_n FROM words w LEFT JOIN best b USING (word)
+), ways(word, last, step) AS (
+  SELECT word, word, 0 FROM formed
+  UNION ALL SELECT w.word, f.form, w.step + 1 FROM ways w JOIN formed f ON f.word = w.last WHERE f.form IS NOT NULL
+), roots AS (SELECT word, arg_max(last, step) AS root FROM ways GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+""".replace("CRC", _CRC)

@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickloom.llm import cotraining, decontaminate, katz, lines, minhash, mixing, neighbours, oracles, repeats, sharding, toxicity
+from tickloom.llm import (
+    cotraining, decontaminate, katz, lines, minhash, mixing, neighbours, oracles, phrases, repeats, sharding, spelling, toxicity, urls,
+)
+
+#: The rules of op11: host, path, verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +42,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_repeated_substrings": lambda s, d: repeats.remove_repeats(_table(s, d, "documents")),
         "op10_benchmark_decontamination": lambda s, d: decontaminate.contamination(
             _table(s, d, "documents"), _table(s, d, "benchmark")).drop("hit_words"),
+        "op11_url_filters": lambda s, d: urls.judge(
+            _table(s, d, "pages"), s.createDataFrame(URL_RULES, "host string, path string, verdict string")),
+        "op12_phrase_collocations": lambda s, d: phrases.collocations(_table(s, d, "documents")),
+        "op13_spelling_variants": lambda s, d: spelling.variants(_table(s, d, "documents")),
         "pipeline": corpus_pipeline.run,
     }
 
@@ -48,4 +57,7 @@ def oracle_sql() -> dict[str, str]:
         "op9_repeated_substrings": oracles.REPEATS,
         "op6_minhash_near_dedup": oracles.MINHASH,
         "op10_benchmark_decontamination": oracles.DECONTAMINATE,
+        "op11_url_filters": oracles.URLS,
+        "op12_phrase_collocations": oracles.PHRASES,
+        "op13_spelling_variants": oracles.SPELLING,
     }
