@@ -1,0 +1,99 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from tickloom.llm import phrases
+
+DDL = "doc_id long, text string, lang string, phrase int, n int, a int, p int"
+
+
+def low(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def brute(rows, least, percent, top):
+    f, n = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0a-\x0d]", low(text)):
+            ws = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(ws)
+            for k in (1, 2, 3):
+                f[lang].update(tuple(ws[i:i + k]) for i in range(len(ws) - k + 1))
+    out = []
+    for lang, c in f.items():
+        inside = defaultdict(int)
+        for g, a in c.items():
+            if len(g) == 3 and a >= least:
+                for part in (g[:2], g[1:]):
+                    inside[part] = max(inside[part], a)
+        found = []
+        for g, a in c.items():
+            if len(g) > 1 and a >= least and 100 * inside[g] < percent * a or len(g) == 3 and a >= least:
+                score, k = min((1_000_000 * a * a // (c[g[:k]] * c[g[k:]]), k) for k in range(1, len(g)))
+                found.append((-score, -a, " ".join(g).encode(), c[g[:k]], c[g[k:]]))
+        for rank, (s, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -s))
+    return sorted(out)
+
+
+def check(spark, rows, least=2, percent=50, top=2000):
+    docs = spark.createDataFrame([(i, t, g, 1, 2, 3, 4) for i, (t, g) in enumerate(rows)], DDL)
+    got = phrases.collocations(docs, least, percent, top)
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert sorted(map(tuple, got.collect())) == brute(rows, least, percent, top)
+    return got
+
+
+def test_edge_cases_and_repeated_rows(spark):
+    check(spark, [
+        (None, "en"), ("", "en"), (None, None), (" \t ", "en"), (".,;:!?", "en"), ("a", "en"), ("a b. a b", "en"), ("A B\na\tb  c", "en"),
+        ("a b", None), ("a b", "und"), ("a b", ""), ("a b", ""), ("É é É é", "fr"), ("é É é É", "fr"), ("x\u00a0y x\u00a0y x\u00a0y", "fr"),
+        ("x\u0000 y x\u0000 y", "fr"), ("a b\x0bc d\x0ca b\rc d", "en"), ("a a a a a", "aa"), ("日 本 日 本", "日"),
+    ])
+
+
+def test_an_empty_table_and_no_candidates(spark):
+    check(spark, [])
+    check(spark, [("a b", "en")])
+    check(spark, [(None, None)])
+
+
+def test_ranks_are_cut_by_ties_in_byte_order(spark):
+    rows = [(f"w{c} v{c}", "en") for c in "zaéäb~" for _ in range(3)]
+    got = check(spark, rows, least=3, top=4).collect()
+    assert [r.phrase for r in sorted(got, key=lambda r: r.rank)] == ["wa va", "wb vb", "wz vz", "w~ v~"]
+
+
+@pytest.mark.parametrize("seed, held, hot", [(1, 1 << 22, 4096), (2, 300, 4096), (3, 500, 16), (4, 200, 64)])
+def test_random_texts_equal_brute_force(spark, monkeypatch, seed, held, hot):
+    """Small tasks and low bounds for hot prefixes, so that stripes are sent in many parts."""
+    monkeypatch.setattr(phrases, "HELD", held)
+    monkeypatch.setattr(phrases, "HOT", hot)
+    rng = random.Random(seed)
+    words = ["the"] * 30 + [f"w{i}" for i in range(25)] + ["Of", "OF", "é"]
+    text = lambda: "".join(rng.choice(words) + rng.choice([" ", " ", " ", "  ", "\t", ", ", ".\n"]) for _ in range(rng.randint(0, 60)))
+    check(spark, [(text(), rng.choice(["en", "en", "de", None])) for _ in range(200)], least=rng.choice([2, 3, 5]))
+
+
+def test_a_full_filter_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "FILTER_BITS", 70)
+    rng = random.Random(5)
+    check(spark, [(" ".join(rng.choice("abcdefgh") for _ in range(30)), "en") for _ in range(60)], least=3)
+
+
+def test_a_very_long_text_and_exact_products(spark):
+    check(spark, [("a b c " * 200_000, "en"), ("a " * 100_000, "en")], least=10)
+    most = 10**15 - 1
+    score = spark.createDataFrame([(most, most, most)], "a long, l long, r long").select(phrases._score("l", "r").alias("s"))
+    assert score.first().s == 1_000_000
+    score = spark.createDataFrame([(999_999_999_999, 10**12, 10**12 + 1)], "a long, l long, r long").select(phrases._score("l", "r").alias("s"))
+    assert score.first().s == 1_000_000 * 999_999_999_999**2 // (10**12 * (10**12 + 1))
+
+
+def test_two_words_with_one_hash_raise(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "xxh3_64_intdigest", lambda *_: 7)
+    with pytest.raises(ValueError, match="one hash"):
+        phrases.collocations(spark.createDataFrame([("a b", "en")], "text string, lang string")).collect()

@@ -1,0 +1,111 @@
+import itertools
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from tickloom.llm import spelling
+
+
+def brute_words(rows, every=97):
+    found = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % every == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            found[run] += 1
+    return {w: n for w, n in found.items() if len(w) >= 5 and n >= 3}
+
+
+def one_apart(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return any(long[:i] + long[i + 1:] == short for i in range(len(long)))
+
+
+def brute_forms(words):
+    form, out = {}, []
+    for w, n in words.items():
+        near = sorted((-words[v], v) for v in words if one_apart(w, v))
+        good = near and -near[0][0] >= 2 * n
+        form[w] = near[0][1] if good else None
+        out.append((w, n, len(near), -near[0][0] if good else None))
+    rows = []
+    for w, n, n_near, form_n in out:
+        root = w
+        while form[root]:
+            root = form[root]
+        rows.append((w, form[w], root, n, n_near, form_n))
+    return sorted(rows)
+
+
+def check_forms(spark, words):
+    got = spelling.forms(spark.createDataFrame(list(words.items()), "word string, n long"))
+    assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert sorted(map(tuple, got.collect())) == brute_forms(words)
+
+
+def test_edge_cases(make, spark):
+    rows = [(1, None), (2, ""), (3, "12 .. 日本"), (None, "Hello hello HELLO helo"), (None, "Hello"), (4, "Ärger ärger Ärger"), (4, "Ärger ärger Ärger"),
+            (5, "aaaaa aaaaaa aaaa"), (5, "aaaaa aaaaaa aaaa"), (6, "aaaaa aaaaaa aaaaa aaaaa aaaaa"), (7, "x×y÷zzz x×y÷zzz x×y÷zzz"), (8, "hello-hello_hallo hallo hallo")]
+    for clash in (False, True):
+        got = spelling.variants(make(rows, clash))
+        assert sorted(map(tuple, got.collect())) == brute_forms(brute_words(rows))
+    assert spelling.variants(make([])).collect() == []
+    assert spelling.variants(make([(1, None), (2, "")])).collect() == []
+
+
+def test_typos_and_counts_equal_brute_force(make, spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(rng.randint(0, 30), " ".join("".join(rng.choice("abÀé") for _ in range(rng.randint(3, 7))) for _ in range(80))) for _ in range(150)]
+    for held in (1 << 19, 100):
+        monkeypatch.setattr(spelling, "HELD", held)
+        assert {r.word: r.n for r in spelling.words(make(rows), every=7).collect()} == brute_words(rows, 7)
+    assert sorted(map(tuple, spelling.variants(make(rows)).collect())) == brute_forms(brute_words(rows))
+
+
+@pytest.mark.parametrize("letters, sizes, seed", [("ab", (5, 9), 1), ("abcdefgh", (5, 7), 2), ("aé×z", (4, 8), 3), ("a", (5, 12), 4)])
+def test_all_pairs_are_found(spark, letters, sizes, seed):
+    """Words over few letters, so that bigrams repeat, tie and overlap, and words edited once in every place."""
+    rng = random.Random(seed)
+    words = {"".join(rng.choice(letters) for _ in range(rng.randint(*sizes))) for _ in range(60)}
+    for w in sorted(words)[:20]:
+        i = rng.randrange(len(w) + 1)
+        words |= {w[:i] + rng.choice(letters) + w[i:], w[:i] + w[i + 1:], w[:i] + rng.choice(letters) + w[i + 1:]}
+    check_forms(spark, {w: rng.choice([3, 3, 6, 12, 50]) for w in sorted(words) if len(w) >= 4})
+
+
+def test_every_single_edit_of_a_word(spark):
+    word = "pivotal"
+    edits = {word[:i] + "x" + word[i:] for i in range(8)} | {word[:i] + word[i + 1:] for i in range(7)} | {word[:i] + "x" + word[i + 1:] for i in range(7)}
+    check_forms(spark, {word: 100} | {e: 3 + i for i, e in enumerate(sorted(edits))})
+
+
+def test_roots_of_long_chains_and_ties(spark):
+    chain = {"b" * i + "a" * (12 - i): 3 * 2**i for i in range(13)}
+    check_forms(spark, chain)
+    check_forms(spark, {"abcde": 3, "abcdf": 6, "abcdg": 6, "abcd": 6, "abcdé": 6})
+    check_forms(spark, {"abcde": 3})
+
+
+def test_pivots_are_the_cheapest_disjoint_pair():
+    rng = random.Random(1)
+    for _ in range(300):
+        prefix = sorted((at, rng.randint(1, 9)) for at in rng.sample(range(12), rng.randint(3, 6)))
+        cost = dict(prefix)
+        best = min((cost[a] + cost[b], [a, b]) for a, b in itertools.combinations(sorted(cost), 2) if b - a >= 2)
+        assert spelling.pivots(prefix) == best[1]
+
+
+def test_a_very_long_text_and_a_very_long_word(make, spark):
+    rows = [(1, "lorem ipsum dolor " * 200_000), (2, "z" * 5000 + " "), (2, "z" * 5000), (2, "z" * 5000), (3, "z" * 4999), (3, "z" * 4999), (3, "z" * 4999)]
+    got = {r.word: r for r in spelling.variants(make(rows)).collect()}
+    assert got["lorem"].n + got.get("lorm", got["lorem"]).n >= 200_000
+    assert {w: r.n for w, r in got.items()} == brute_words(rows)

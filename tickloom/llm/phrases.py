@@ -100,7 +100,7 @@ def _scored(pairs: DataFrame, triples: DataFrame, words: DataFrame, percent: int
 
 
 def _score(left: str, right: str):
-    """floor(SCALE * a * a / (left * right)) in whole numbers of up to 38 digits: counts up to 10^15 are exact."""
+    """floor(SCALE * a * a / (left * right)) in whole numbers of up to 38 digits: counts below 10^15 are exact."""
     return F.expr(f"(cast({SCALE} AS decimal(7,0)) * cast(a AS decimal(15,0)) * cast(a AS decimal(15,0))) "
                   f"div (cast({left} AS decimal(15,0)) * cast({right} AS decimal(15,0)))")
 

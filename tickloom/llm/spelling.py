@@ -4,9 +4,9 @@ Candidates come from pivotal grams. A word's bigrams are ordered by how few word
 rarest (and all that are as rare as the last), and its two *pivots* are the cheapest pair of bigrams of the prefix that do not
 overlap, by dynamic programming over positions with the number of words that hold a bigram as its cost. One edit touches
 at most one pivot, so of two words at distance one, that whose prefix ends first in the order has a pivot which the other's
-prefix holds. Position limits: the edit lies on one side of the pivot that stays, so either the texts up to and with the
-pivot are equal (and their lengths differ by at most one), or those from the pivot on. Words therefore meet under
-(side, length, text on that side), never under a bare bigram; pairs that meet are verified by their edit distance.
+prefix holds. Position limits: lengths differ by at most one, the pivot moves by that or not at all, and the edit lies in one
+half of the shorter word, so that the other halves are equal. Words therefore meet under (bigram, position, length, equal
+half), never under a bare bigram; pairs that meet are verified by their edit distance.
 
 The words come from runs of the letters A-Z, a-z and U+00C0 to U+00FF, lower-cased in A-Z only. `typo`, as the contract
 has it, deletes one code point of every run whose hash it picks.
@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest
 
 from tickloom.llm import text
 from tickloom.session import stored
@@ -46,9 +47,8 @@ HELD = 1 << 19
 _RUN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\xbf])+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _SIGNS = T.StructType([
-    T.StructField("word", T.StringType()), T.StructField("n", T.LongType()), T.StructField("pivot", T.BooleanType()),
-    T.StructField("last", T.IntegerType()), T.StructField("head", T.BooleanType()), T.StructField("chars", T.IntegerType()),
-    T.StructField("side", T.StringType()),
+    T.StructField("word", T.StringType()), T.StructField("n", T.LongType()), T.StructField("last", T.IntegerType()),
+    T.StructField("looks", T.ArrayType(T.LongType())), T.StructField("found", T.ArrayType(T.LongType())),
 ])
 
 
@@ -112,40 +112,51 @@ def near(words: DataFrame) -> DataFrame:
     ranks = {g: i for i, g in enumerate(sorted(costs, key=lambda g: (costs[g], g)))}
 
     def signed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            rows += ((word, n, *sign) for sign in _signs(word, ranks, costs))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)] if rows else [pa.array([], t) for t in _TYPES],
-            [f.name for f in _SIGNS])
+        signs = [_signs(word, ranks, costs) for word in batch.column(0).to_pylist()]
+        lists = [pa.array([s[i] for s in signs], pa.list_(pa.int64())) for i in (1, 2)]
+        last = pa.array([s[0] for s in signs], pa.int32())
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), last, *lists], [f.name for f in _SIGNS])
 
     signs = stored(words.select("word", "n").mapInArrow(text.by_batch(signed), _SIGNS), "spelling-signs")
-    key = ["head", "chars", "side"]
-    pivots = signs.filter("pivot").select(*key, F.col("word").alias("u"), F.col("n").alias("u_n"), F.col("last").alias("u_last"))
-    prefixes = signs.filter("NOT pivot").select(*key, F.col("word").alias("v"), F.col("n").alias("v_n"), F.col("last").alias("v_last"))
-    met = pivots.join(prefixes, key).filter("u_last <= v_last AND u <> v AND levenshtein(u, v, 1) = 1")
-    turned = F.col("u") < F.col("v")
+    look, found = [signs.select(F.explode(keys).alias("key"), *[F.col(c).alias(f"{w}_{c}") for c in ("word", "n", "last")])
+                   for keys, w in (("looks", "u"), ("found", "v"))]
+    met = look.join(found, "key").filter("u_last <= v_last AND u_word <> v_word AND levenshtein(u_word, v_word, 1) = 1")
+    turned = F.col("u_word") < F.col("v_word")
     pair = [F.when(turned, F.col(a)).otherwise(F.col(b)).alias(c) for a, b, c in (
-        ("u", "v", "word"), ("u_n", "v_n", "n"), ("v", "u", "near"), ("v_n", "u_n", "near_n"))]
+        ("u_word", "v_word", "word"), ("u_n", "v_n", "n"), ("v_word", "u_word", "near"), ("v_n", "u_n", "near_n"))]
     pairs = met.select(*pair).distinct()
     both = F.explode(F.array(F.struct("word", "n", "near", "near_n"), F.struct(
         F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))))
     return pairs.select(both.alias("p")).select("p.*")
 
 
-_TYPES = [pa.string(), pa.int64(), pa.bool_(), pa.int32(), pa.bool_(), pa.int32(), pa.string()]
+def _signs(word: str, ranks: dict[str, int], costs: dict[str, int]) -> tuple[int, list[int], list[int]]:
+    """Where the prefix ends, the keys under which the word looks for others by its pivots, and those under which it is found.
 
-
-def _signs(word: str, ranks: dict[str, int], costs: dict[str, int]) -> list[tuple[bool, int, bool, int, str]]:
-    """(pivot, last, head, chars, side) rows under which the word looks for others (pivot) and is found."""
-    grams = [word[i:i + 2] for i in range(len(word) - 1)]
+    A key names a bigram, its place and the length in the word that is found, and the half of the shorter word that is equal.
+    With `shared` the shorter length, an edit from place `half` on leaves the `half` first characters, another the rest.
+    """
+    size, grams = len(word), [word[i:i + 2] for i in range(len(word) - 1)]
     last = sorted(ranks[g] for g in grams)[min(GRAMS, len(grams)) - 1]
     prefix = [i for i, g in enumerate(grams) if ranks[g] <= last]
-    rows = [(False, last, True, len(word), word[:i + 2]) for i in prefix] + [(False, last, False, len(word), word[i:]) for i in prefix]
-    for i in pivots([(i, costs[grams[i]]) for i in prefix]):
-        for chars in (len(word) - 1, len(word), len(word) + 1):
-            rows += [(True, last, True, chars, word[:i + 2]), (True, last, False, chars, word[i:])]
-    return rows
+
+    def key(at: int, moved: int, chars: int, early: bool, shared: int | None = None) -> int:
+        shared = shared or min(size, chars)
+        part = word[:shared // 2] if early else word[size - shared + shared // 2:]
+        return xxh3_64_intdigest(f"{grams[at]}{at + moved} {chars} {shared} {early} {part}") - (1 << 63)
+
+    found = [key(i, 0, size, early, shared) for i in prefix for early in (True, False) for shared in (size, size - 1)]
+    looks = []
+    for at in pivots([(i, costs[grams[i]]) for i in prefix]):
+        half, less = size // 2, (size - 1) // 2
+        looks += [key(at, 0, size, True), key(at, 0, size, False)]
+        # Another word with one character more, put in after the pivot or before it, and in the late or the early half.
+        looks += [key(at, 0, size + 1, True), key(at, 1, size + 1, False)]
+        looks += [key(at, 0, size + 1, False)] * (at + 2 < half) + [key(at, 1, size + 1, True)] * (at >= half)
+        # One with a character less, taken from there.
+        looks += [key(at, 0, size - 1, True)] * (at + 2 < size) + [key(at, -1, size - 1, False)] * (at > 0)
+        looks += [key(at, 0, size - 1, False)] * (at + 2 < less) + [key(at, -1, size - 1, True)] * (at > less)
+    return last, looks, found
 
 
 def pivots(prefix: list[tuple[int, int]], count: int = 2, width: int = 2) -> list[int]:
