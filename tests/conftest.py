@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
         "spark.driver.memory": "6g",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
+        "spark.sql.maxMetadataStringLength": "1000",
         "spark.sql.warehouse.dir": str(warehouse),
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.sql.streaming.stateStore.providerClass":

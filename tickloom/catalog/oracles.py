@@ -6,6 +6,9 @@ joins and frames over repeated rows, which the library replaces by counts.
 
 from __future__ import annotations
 
+from tickloom.operators.quality import rules
+from tickloom.schemas import RAW_TICKS
+
 BASE = """
 WITH ticks AS (
     SELECT event_id AS id,
@@ -104,6 +107,9 @@ dirty AS (
            CASE WHEN kind <> 'click' THEN sector END AS sector
     FROM ticks
 ),
+highest AS (
+    SELECT symbol, max(price) AS high FROM ticks GROUP BY symbol
+),
 judged AS (
     SELECT *, concat_ws('; ',
         CASE WHEN length(symbol) > 10 THEN 'symbol longer than 10' END,
@@ -244,6 +250,23 @@ TICK_VALUES = (
 )
 
 
+_ALERTS = f"""
+SELECT symbol, alert_type, {_six('value', 'threshold')}, {_iso('tick_time', 'triggered_at')}
+FROM (
+    SELECT symbol, alert_type, tick_time, value, threshold, lag(value) OVER (
+        PARTITION BY symbol, alert_type ORDER BY tick_time, price, volume, change_percent) AS before, above
+    FROM (
+        SELECT t.*, 'price_above' AS alert_type, true AS above, price AS value, floor(high / 2) AS threshold FROM ticks t JOIN highest USING (symbol)
+        UNION ALL
+        SELECT t.*, 'price_below', false, price, floor(high / 4) FROM ticks t JOIN highest USING (symbol)
+        UNION ALL
+        SELECT t.*, 'change_above', true, change_percent, 4.5 FROM ticks t
+    )
+)
+WHERE CASE WHEN above THEN value > threshold ELSE value < threshold END
+    AND NOT coalesce(CASE WHEN above THEN before > threshold ELSE before < threshold END, false)"""
+
+
 def oracle_sql() -> dict[str, str]:
     bodies = {
         "staging": f"SELECT id, {TICK_VALUES}, "
@@ -323,8 +346,18 @@ SELECT * FROM (
         "raw_ingest_resumed": f"SELECT {TICK_VALUES} FROM ticks WHERE kind <> 'error'",
         "raw_ingest_day": f"SELECT CAST(trade_date AS VARCHAR) AS trade_date, {TICK_VALUES} FROM ticks "
                           "WHERE kind <> 'error' AND trade_date = (SELECT min(trade_date) FROM ticks)",
-        "raw_ingest_keys": "SELECT symbol, true AS has_id, true AS has_load_time, CAST(count(*) AS BIGINT) AS n_rows "
-                           "FROM ticks WHERE kind <> 'error' GROUP BY symbol",
+        "raw_ingest_keys": "SELECT symbol, true AS has_id, true AS has_load_time, CAST(2 * count(*) AS BIGINT) AS n_rows, "
+                           "CAST(2 * count(*) AS BIGINT) AS n_ids FROM ticks WHERE kind <> 'error' GROUP BY symbol",
+        "raw_ingest_compacted": f"SELECT {TICK_VALUES} FROM ticks WHERE kind <> 'error'",
+        "raw_ingest_checks": f"""
+SELECT rule, count(reason) AS n_rows FROM (SELECT unnest([{", ".join(f"'{rule}'" for rule in rules(RAW_TICKS))}]) AS rule)
+LEFT JOIN (SELECT unnest(string_split(reject_reason, '; ')) AS reason FROM judged) ON reason = rule GROUP BY rule""",
+        "data_volume_monthly": """
+SELECT CAST(CAST(date_trunc('month', trade_date) AS DATE) AS VARCHAR) AS span_start, count(*) AS total_records,
+       CAST(sum(daily_volume) AS BIGINT) AS total_trade_volume, count(DISTINCT symbol) AS total_symbols, true AS within_bound
+FROM metrics GROUP BY date_trunc('month', trade_date)""",
+        "threshold_alerts": _ALERTS,
+        "stream_alerts": _ALERTS,
         "table_by_name": f"SELECT id, {TICK_VALUES} FROM ticks",
         "stream_sql_view": f"""
 SELECT symbol, {_iso('time_bucket(INTERVAL 5 MINUTE, tick_time)', 'window_start')}, count(*) AS n_ticks

@@ -15,10 +15,10 @@ from pyspark.sql import types as T
 
 from tickloom.operators import quality, windows
 from tickloom.operators.rollup import daily_rollup
-from tickloom.plans import daily, layers, monitor, price, sector
+from tickloom.plans import alerts, daily, layers, monitor, price, sector
 from tickloom.functions import trade_date
 from tickloom.plans.staging import literal_rows, rows_with_id, staging, union_all
-from tickloom.schemas import MOVING_AVERAGES, RAW_TICKS, SECTOR_PERFORMANCE, TICK_MESSAGE
+from tickloom.schemas import MARKET_ALERTS, MOVING_AVERAGES, RAW_TICKS, SECTOR_PERFORMANCE, TICK_MESSAGE
 from tickloom.session import scratch_dir, stored
 from tickloom.sources import events as ev
 from tickloom.sources import tables
@@ -75,6 +75,9 @@ def queries() -> dict[str, Query]:
         "data_volume_per_tick": lambda s, d: present(
             monitor.data_volume(daily.counted_metrics(_ticks(s, d)), per_tick=True)
         ),
+        "data_volume_monthly": _data_volume_monthly,
+        "threshold_alerts": lambda s, d: present(alerts.threshold_alerts(_ticks(s, d), _alert_rules(s, d))),
+        "stream_alerts": _stream_alerts,
         "quote_normalise": lambda s, d: present(_volume_as_double(
             normalise_quotes(ev.quote_responses(ev.events(s, d))).drop("sector")
         )),
@@ -104,6 +107,8 @@ def queries() -> dict[str, Query]:
         "raw_ingest_resumed": _raw_ingest_resumed,
         "raw_ingest_day": _raw_ingest_day,
         "raw_ingest_keys": _raw_ingest_keys,
+        "raw_ingest_compacted": _raw_ingest_compacted,
+        "raw_ingest_checks": _raw_ingest_checks,
         "stream_sql_view": _stream_sql_view,
         "stream_both_aggregates": _stream_both_aggregates,
         "stream_moving_averages": _stream_moving_averages,
@@ -227,12 +232,71 @@ def _raw_ingest_day(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _raw_ingest_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """Ids and load times, which differ between runs, by whether they are there."""
-    rows = sinks.stored_rows(spark, _ingest(spark, folder), RAW_TICKS)
+    """Ids and load times of a table to which every message came twice: equal rows have ids of their own."""
+    path = scratch_dir(spark, "raw-twice")
+    messages = ev.tick_messages(ev.event_stream(spark, folder))
+    runner.start_raw_ingest(
+        decode_ticks(messages.union(messages)), path, scratch_dir(spark, "raw-twice-progress"), available_now=True).awaitTermination()
+    rows = sinks.stored_rows(spark, path, RAW_TICKS)
     return rows.groupBy("symbol").agg(
         F.bool_and(F.col("id").isNotNull()).alias("has_id"),
         F.bool_and(F.col("processed_timestamp").isNotNull()).alias("has_load_time"),
-        F.count("*").alias("n_rows"))
+        F.count("*").alias("n_rows"),
+        F.count_distinct("id").alias("n_ids"))
+
+
+def _raw_ingest_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw table after four batches that all hold every day, with the closed ones merged and what they were deleted."""
+    messages, path, progress = (scratch_dir(spark, f"compacted-{name}") for name in ("messages", "raw", "progress"))
+    sent = ev.tick_messages(ev.events(spark, folder))
+    for part in range(4):
+        sent.where(F.pmod(F.xxhash64("value"), F.lit(4)) == part).write.mode("append").text(messages)
+        ticks = decode_ticks(file_messages(spark, messages, "*.txt"))
+        runner.start_raw_ingest(ticks, path, progress, available_now=True).awaitTermination()
+    sinks.compact_days(spark, path, RAW_TICKS)
+    sinks.vacuum(spark, path, older_than=0)
+    return present(sinks.stored_rows(spark, path, RAW_TICKS).select(*RAW_TICKS.columns))
+
+
+def _raw_ingest_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """How many rows broke each rule, as the ingest itself counted."""
+    path = scratch_dir(spark, "checked")
+    ticks = ev.dirty_ticks(ev.event_stream(spark, folder))
+    runner.start_raw_ingest(ticks, path, scratch_dir(spark, "checked-progress"), available_now=True).awaitTermination()
+    return sinks.broken_rows(spark, path).groupBy("rule").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def _data_volume_monthly(spark: SparkSession, folder: str) -> DataFrame:
+    """Months from the sketches of their days, and whether the estimate is within its bound of the exact number."""
+    metrics = _metrics(spark, folder)
+    months = monitor.volume_over(monitor.volume_sketches(metrics), "month")
+    exact = metrics.groupBy(F.to_date(F.date_trunc("month", "trade_date")).alias("span_start")).agg(
+        F.count_distinct("symbol").alias("total_symbols"))
+    off = F.abs(F.col("symbol_estimate") - F.col("total_symbols"))
+    return present(months.join(exact, "span_start").select(
+        "span_start", "total_records", "total_trade_volume", "total_symbols",
+        (off <= F.greatest(F.lit(1), F.col("total_symbols") * monitor.SKETCH_ERROR)).alias("within_bound")))
+
+
+def _alert_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """For every symbol its price beyond half and below a quarter of its highest one, and one rule for all symbols."""
+    highest = _ticks(spark, folder).groupBy("symbol").agg(F.max("price").alias("high"))
+    own = F.inline(F.array(*[
+        F.struct(F.lit(name).alias("alert_type"), F.lit("price").alias("watched"), F.lit(above).alias("above"),
+                 F.floor(F.col("high") / parts).cast("double").alias("threshold"))
+        for name, above, parts in (("price_above", True, 2), ("price_below", False, 4))]))
+    common = spark.createDataFrame([(alerts.EVERY, "change_above", "change_percent", True, 4.5)], alerts.RULES)
+    return highest.select("symbol", own).unionByName(common)
+
+
+def _stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by a stream, from the stored alerts table."""
+    path = scratch_dir(spark, "alerts")
+    ticks = ev.wire_ticks(ev.event_stream(spark, folder))
+    runner.start_alerts(
+        ticks, stored(_alert_rules(spark, folder), "alert-rules"), path, scratch_dir(spark, "alerts-progress"), available_now=True,
+    ).awaitTermination()
+    return present(sinks.stored_rows(spark, path, MARKET_ALERTS).select(*MARKET_ALERTS.columns))
 
 
 def _table_by_name(spark: SparkSession, folder: str) -> DataFrame:
@@ -263,9 +327,8 @@ def _stream_both_aggregates(spark: SparkSession, folder: str) -> DataFrame:
     """Both aggregates at once over one source."""
     averages, sectors = scratch_dir(spark, "both-averages"), scratch_dir(spark, "both-sectors")
     ticks = staging(ev.wire_ticks(ev.event_stream(spark, folder)))
-    started = runner.start_aggregates(
-        ticks, averages, sectors, scratch_dir(spark, "both-progress"), available_now=True)
-    for query in started:
+    for query in runner.start_aggregates(
+            ticks, averages, sectors, scratch_dir(spark, "both-progress"), available_now=True):
         query.awaitTermination()
     one = sinks.stored_rows(spark, averages, MOVING_AVERAGES).select(
         F.lit("symbol").alias("kind"), F.col("symbol").alias("name"), "window_size", "avg_price", "window_end_time")

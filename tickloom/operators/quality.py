@@ -41,6 +41,22 @@ def apply_contract(df: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
+def rules(contract: Contract) -> list[str]:
+    """The reasons for which a row can be rejected."""
+    names = []
+    for field in contract.fields:
+        names += [f"{field.name} is null"] if field.required else []
+        names += [f"{field.name} longer than {field.max_length}"] if field.max_length is not None else []
+        names += [f"{field.name} out of range"] if not isinstance(field.type, T.StringType) else []
+    return names
+
+
+def broken_rules(contract: Contract) -> dict[str, Column]:
+    """Each rule of a contract, and whether a row of `apply_contract` breaks it."""
+    broken = F.split(F.coalesce("reject_reason", F.lit("")), "; ")
+    return {rule: F.array_contains(broken, rule) for rule in rules(contract)}
+
+
 def accepted(judged: DataFrame, contract: Contract) -> DataFrame:
     return judged.where(F.col("reject_reason").isNull()).select(*contract.columns)
 

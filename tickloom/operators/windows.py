@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +10,7 @@ from tickloom.functions import micros
 # Window label and length in minutes.
 AVERAGE_WINDOWS = {"5min": 5, "15min": 15, "30min": 30}
 SECTOR_WINDOW_MINUTES = 15
+SECTOR_COLUMNS = ["sector", "avg_price", "total_volume", "avg_change_percent", "window_end_time"]
 
 
 def window_averages(ticks: DataFrame, label: str, with_close: bool = False) -> DataFrame:
@@ -28,29 +27,51 @@ def window_averages(ticks: DataFrame, label: str, with_close: bool = False) -> D
 
 
 def moving_averages(ticks: DataFrame, with_close: bool = False) -> DataFrame:
-    """The window averages of all lengths in one result.
-
-    A stream needs one aggregate per length, each with its own state and its own view of which
-    ticks are late. A batch has neither, so it is scanned and shuffled once for all lengths.
-    """
-    if ticks.isStreaming:
-        return reduce(
-            DataFrame.unionByName,
-            [window_averages(ticks, label, with_close) for label in AVERAGE_WINDOWS],
-        )
-    slots = F.array(*[
-        F.struct(F.lit(label).alias("window_size"), _slot_end(minutes).alias("window_close"))
-        for label, minutes in AVERAGE_WINDOWS.items()
-    ])
+    """The window averages of all lengths in one result, from one scan, one shuffle and, in a stream, one state."""
+    rows = _expanded(ticks, [("symbol", label, minutes) for label, minutes in AVERAGE_WINDOWS.items()])
     return (
-        ticks.where(F.col("timestamp").isNotNull())
-        .select("symbol", "price", "timestamp", F.inline(slots))
-        .groupBy("symbol", "window_size", "window_close")
+        rows.groupBy(F.col("name").alias("symbol"), "window_size", "window_close")
         .agg(_average("price").alias("avg_price"), F.max("timestamp").alias("window_end_time"))
         .select(*_average_columns(with_close))
     )
 
 
+def symbol_and_sector_windows(ticks: DataFrame) -> DataFrame:
+    """What `moving_averages` and `sector_windows` give, as one result whose `kind` is symbol or sector: a stream is
+    read and decoded once for both, and keeps one state. `split_windows` parts the rows again."""
+    kinds = [("symbol", label, minutes) for label, minutes in AVERAGE_WINDOWS.items()]
+    rows = _expanded(ticks, [*kinds, ("sector", f"{SECTOR_WINDOW_MINUTES}min", SECTOR_WINDOW_MINUTES)])
+    return rows.groupBy("kind", "name", "window_size", "window_close").agg(
+        _average("price").alias("avg_price"),
+        F.sum("volume").alias("total_volume"),
+        _average("change_percent").alias("avg_change_percent"),
+        F.max("timestamp").alias("window_end_time"),
+    )
+
+
+def split_windows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The moving averages and the sector windows among the rows of `symbol_and_sector_windows`."""
+    symbols, sectors = [rows.where(F.col("kind") == kind).withColumnRenamed("name", kind) for kind in ("symbol", "sector")]
+    return symbols.select(*_average_columns(False)), sectors.select(*SECTOR_COLUMNS)
+
+
+def _expanded(ticks: DataFrame, windows: list[tuple[str, str, int]]) -> DataFrame:
+    """Each tick once for every window (kind of key, label, minutes) that it falls in.
+
+    `window_close` is an event time as the tick's own time is: it takes over the watermark, as `F.window` does for its
+    windows. So one aggregate holds windows of all lengths, and each decides by its own end whether a tick
+    is late and when it is closed.
+    """
+    slots = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("name"), F.lit(label).alias("window_size"), _slot_end(minutes).alias("window_close"))
+        for kind, label, minutes in windows
+    ])
+    marked = F.col("window_close").alias("window_close", metadata=ticks.schema["timestamp"].metadata)
+    columns = [c for c in ("price", "volume", "change_percent", "timestamp") if c in ticks.columns]
+    rows = ticks.where(F.col("timestamp").isNotNull()).select(*columns, F.inline(slots))
+    return rows.select(*columns, "kind", "name", "window_size", marked)
+
+
 def sector_windows(ticks: DataFrame, with_close: bool = False) -> DataFrame:
     """Average price, volume, average change and last tick time per sector and window."""
     slot = F.window("timestamp", f"{SECTOR_WINDOW_MINUTES} minutes")
@@ -64,8 +85,7 @@ def sector_windows(ticks: DataFrame, with_close: bool = False) -> DataFrame:
         )
         .withColumn("window_close", F.col("window.end"))
     )
-    columns = ["sector", "avg_price", "total_volume", "avg_change_percent", "window_end_time"]
-    return rows.select(*columns, *(["window_close"] if with_close else []))
+    return rows.select(*SECTOR_COLUMNS, *(["window_close"] if with_close else []))
 
 
 def _average(column: str) -> Column:

@@ -24,10 +24,12 @@ class Field:
 
 @dataclass(frozen=True)
 class Contract:
-    """`natural_key` names the columns whose hash is the row id."""
+    """`natural_key` names the columns whose hash is the row id. Where equal rows are rows of their own, a table is
+    `numbered` as it is written instead."""
 
     fields: tuple[Field, ...]
     natural_key: tuple[str, ...]
+    numbered: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -53,6 +55,7 @@ RAW_TICKS = Contract(
         Field("sector", T.StringType(), required=False, max_length=50),
     ),
     natural_key=("symbol", "timestamp", "price", "volume", "change_percent", "sector"),
+    numbered=True,
 )
 
 MOVING_AVERAGES = Contract(
@@ -76,7 +79,6 @@ SECTOR_PERFORMANCE = Contract(
     natural_key=("sector", "window_end_time"),
 )
 
-# Declared for readers of the table; nothing fills it.
 MARKET_ALERTS = Contract(
     (
         Field("symbol", T.StringType(), max_length=10),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tickloom.operators.windows import moving_averages, sector_windows
-from tickloom.schemas import MOVING_AVERAGES, RAW_TICKS, SECTOR_PERFORMANCE
+from tickloom.operators.windows import moving_averages, sector_windows, split_windows, symbol_and_sector_windows
+from tickloom.plans.alerts import threshold_alerts
+from tickloom.schemas import MARKET_ALERTS, MOVING_AVERAGES, RAW_TICKS, SECTOR_PERFORMANCE
 from tickloom.sources.messages import TICK_COLUMNS
 from tickloom.streaming.sinks import BatchWriter, batch_writer
 
@@ -57,12 +58,29 @@ def start_aggregates(ticks: DataFrame, averages_path: str, sectors_path: str, ch
                      available_now: bool = False,
                      every: str | None = None,
                      state_partitions: int | None = None) -> list[StreamingQuery]:
-    """Both aggregate queries side by side over one source."""
-    options = {"available_now": available_now, "every": every, "state_partitions": state_partitions}
-    return [
-        start_moving_averages(ticks, averages_path, f"{checkpoint}/averages", **options),
-        start_sector_performance(ticks, sectors_path, f"{checkpoint}/sectors", **options),
-    ]
+    """Both aggregates, as one query: their source is read and decoded once."""
+    averages = batch_writer(averages_path, MOVING_AVERAGES, small=True)
+    sectors = batch_writer(sectors_path, SECTOR_PERFORMANCE, small=True)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # the windows are taken from the state once
+        try:
+            for writer, rows in zip((averages, sectors), split_windows(batch), strict=True):
+                writer(rows, batch_id)
+        finally:
+            batch.unpersist()
+
+    rows = symbol_and_sector_windows(with_watermark(ticks))
+    return [_start(_appended(rows, write), checkpoint, available_now, every, state_partitions)]
+
+
+def start_alerts(ticks: DataFrame, rules: DataFrame, path: str, checkpoint: str,
+                 available_now: bool = False, every: str | None = None,
+                 state_partitions: int | None = None) -> StreamingQuery:
+    """Threshold crossings to the alerts table; a restart goes on from each symbol's last tick. The table of
+    rules is read again for each micro-batch, so a rule that is added applies from the next one on."""
+    writer = batch_writer(path, MARKET_ALERTS, small=True)
+    return _start(_appended(threshold_alerts(ticks, rules), writer), checkpoint, available_now, every, state_partitions)
 
 
 def wait_for_any(spark: SparkSession) -> None:
