@@ -1,0 +1,220 @@
+"""Every row counts once at every moment: while batches are written, retried, compacted and vacuumed."""
+
+from __future__ import annotations
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.catalog.registry import queries
+from tickloom.schemas import MOVING_AVERAGES, RAW_TICKS
+from tickloom.sources import events as ev
+from tickloom.streaming import sinks
+from tickloom.streaming.manifest import KEY_BITS, Manifest
+from tests.conftest import SMALL
+
+COLUMNS = "symbol string, price double, volume long, change_percent double, timestamp timestamp, sector string"
+DAY1, DAY2 = "2024-01-01", "2024-01-02"
+
+
+def batch(spark, *symbols, day=DAY1, parts=2):
+    at = datetime.datetime.fromisoformat(f"{day}T09:00:00")
+    return spark.createDataFrame([(s, 1.5, 1, 1.0, at, "S") for s in symbols], COLUMNS).repartition(parts)
+
+
+def fill(spark, path, count=4, run="r"):
+    """`count` batches of one accepted row on each day and a rejected one on the first."""
+    write = sinks.batch_writer(path, RAW_TICKS, date_from="timestamp", run=run)
+    for n in range(count):
+        write(batch(spark, f"A{n}", "LONGER-THAN-TEN").union(batch(spark, f"B{n}", day=DAY2)), n)
+    return write
+
+
+def symbols(spark, path, **more):
+    return sorted(r["symbol"] for r in sinks.stored_rows(spark, path, RAW_TICKS, **more).collect())
+
+
+@pytest.fixture
+def watched(spark, monkeypatch):
+    """Read the table before and after every change to its files."""
+    def watch(path, want):
+        seen = []
+        for name in ("_create", "_delete"):
+            plain = getattr(Manifest, name)
+
+            def step(self, *args, plain=plain, **more):
+                seen.append(symbols(spark, path))
+                done = plain(self, *args, **more)
+                seen.append(symbols(spark, path))
+                return done
+            monkeypatch.setattr(Manifest, name, step)
+        return lambda: (monkeypatch.undo(), seen, all(s in want for s in seen))
+    return watch
+
+
+def test_a_reader_sees_every_row_once_while_days_are_compacted(spark, tmp_path, watched):
+    path = str(tmp_path / "t")
+    fill(spark, path)
+    whole = symbols(spark, path)
+    assert whole == ["A0", "A1", "A2", "A3", "B0", "B1", "B2", "B3"]
+    done = watched(path, [whole])
+    assert sinks.compact_days(spark, path, RAW_TICKS, [DAY1, DAY2]) == 9
+    assert sinks.vacuum(spark, path, older_than=0) == 6
+    _, seen, right = done()
+    assert right and len(seen) > 10
+    assert symbols(spark, path) == whole and symbols(spark, path, day=DAY2) == whole[4:]
+    assert sinks.rejected_rows(spark, path, RAW_TICKS).count() == 4
+    files = [f for f in sinks.stored_rows(spark, path, RAW_TICKS).inputFiles() if "run=merged" in f]
+    assert 2 <= len(files) <= 4
+
+
+def test_a_retried_batch_counts_once_at_each_step_and_keeps_its_keys(spark, tmp_path, watched):
+    path = str(tmp_path / "t")
+    write = fill(spark, path, 2)
+    keys = {r["symbol"]: r["id"] for r in sinks.stored_rows(spark, path, RAW_TICKS).collect()}
+    whole = symbols(spark, path)
+    done = watched(path, [whole])
+    write(batch(spark, "A1", "LONGER-THAN-TEN").union(batch(spark, "B1", day=DAY2)), 1)
+    assert done()[2]
+    assert {r["symbol"]: r["id"] for r in sinks.stored_rows(spark, path, RAW_TICKS).collect()} == keys
+    assert sinks.rejected_rows(spark, path, RAW_TICKS).count() == 2
+    write(batch(spark, "A2"), 2)
+    assert symbols(spark, path) == ["A0", "A1", "A2", "B0", "B1"]
+    assert sinks.vacuum(spark, path, older_than=0) == 2  # the second attempt's two days, once a later batch is done
+    assert symbols(spark, path) == ["A0", "A1", "A2", "B0", "B1"]
+
+
+def test_an_attempt_that_broke_off_never_counts_and_is_vacuumed(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    write = fill(spark, path, 1)
+    monkeypatch.setattr(Manifest, "commit", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        write(batch(spark, "A1"), 1)
+    monkeypatch.undo()
+    assert symbols(spark, path) == ["A0", "B0"]
+    write(batch(spark, "A1"), 1)
+    write(batch(spark, "A2"), 2)
+    assert symbols(spark, path) == ["A0", "A1", "A2", "B0"]
+    assert sinks.vacuum(spark, path, older_than=3600) == 0
+    assert sinks.vacuum(spark, path, older_than=0) == 1
+    assert symbols(spark, path) == ["A0", "A1", "A2", "B0"]
+
+
+def test_a_compaction_reads_its_own_day_only(spark, tmp_path, monkeypatch):
+    path, read = str(tmp_path / "t"), []
+    fill(spark, path)
+    plain = sinks._read_entries
+    monkeypatch.setattr(sinks, "_read_entries", lambda *a: read.append(plain(*a)) or read[-1])
+    assert sinks.compact_day(spark, path, RAW_TICKS, DAY2) == 3
+    assert len(read) == 1 and all(f"trade_date={DAY2}" in f for f in read[0].inputFiles())
+    assert symbols(spark, path) == ["A0", "A1", "A2", "A3", "B0", "B1", "B2", "B3"]
+
+
+def test_of_two_compactions_one_counts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    fill(spark, path)
+    log = Manifest(spark, path)
+    one, two = log.mergeable(DAY1), Manifest(spark, path).mergeable(DAY1)
+    assert one == two and [e.batch for e in sorted(one.entries)] == [0, 1, 2]
+    assert log.merged(one, "x") and not log.merged(two, "y")
+    assert log.merged(two._replace(number=2), "z")  # begun while the first was being created
+    assert [e.attempt for e in log.live(DAY1) if e.run == "merged"] == ["x"]
+
+
+def test_a_compaction_that_broke_off_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    fill(spark, path)
+    log, whole = Manifest(spark, path), symbols(spark, path)
+    (tmp_path / "t" / "log" / DAY1 / "merged~1").write_text("some-attempt\nr~0\nr~1\n")
+    assert symbols(spark, path) == whole
+    assert log.mergeable(DAY1).number == 2
+    assert sinks.compact_days(spark, path, RAW_TICKS) > 0
+    assert symbols(spark, path) == whole
+
+
+def test_new_batches_are_merged_later(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write = fill(spark, path)
+    sinks.compact_days(spark, path, RAW_TICKS)
+    assert sinks.compact_days(spark, path, RAW_TICKS) == 0
+    write(batch(spark, "A4"), 4)
+    write(batch(spark, "A5"), 5)
+    assert sinks.compact_days(spark, path, RAW_TICKS) == 4  # batch 3 of both days, with its rejects, and batch 4
+    sinks.vacuum(spark, path, older_than=0)
+    assert symbols(spark, path) == ["A0", "A1", "A2", "A3", "A4", "A5", "B0", "B1", "B2", "B3"]
+
+
+def test_vacuum_leaves_what_went_lately(spark, tmp_path):
+    path = str(tmp_path / "t")
+    fill(spark, path)
+    before = set(sinks.stored_rows(spark, path, RAW_TICKS).inputFiles())
+    reader = sinks.stored_rows(spark, path, RAW_TICKS)
+    sinks.compact_days(spark, path, RAW_TICKS)
+    assert sinks.vacuum(spark, path) == 0
+    assert reader.count() == 8 and set(reader.inputFiles()) == before  # planned before, read after
+
+
+def test_tables_without_dates_and_empty_tables(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert sinks.stored_rows(spark, path, MOVING_AVERAGES).count() == 0
+    assert sinks.compact_days(spark, path, MOVING_AVERAGES) == 0 and sinks.vacuum(spark, path) == 0
+    write = sinks.batch_writer(path, MOVING_AVERAGES, small=True, run="r")
+    for n in range(3):
+        rows = batch(spark, f"A{n}").select("symbol", F.lit("5min").alias("window_size"), F.col("price").alias("avg_price"), F.col("timestamp").alias("window_end_time"))
+        write(rows.limit(0) if n == 1 else rows, n)
+    assert sinks.compact_days(spark, path, MOVING_AVERAGES) == 1
+    sinks.vacuum(spark, path, older_than=0)
+    got = sinks.stored_rows(spark, path, MOVING_AVERAGES)
+    assert sorted(r["symbol"] for r in got.collect()) == ["A0", "A2"] and "trade_date" not in got.columns
+
+
+def test_equal_rows_have_keys_of_their_own(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for run in ("one", "two"):
+        write = sinks.batch_writer(path, RAW_TICKS, date_from="timestamp", run=run)
+        for n in range(3):
+            write(batch(spark, *["A"] * 50, parts=5), n)
+    rows = sinks.stored_rows(spark, path, RAW_TICKS)
+    assert rows.count() == rows.select("id").distinct().count() == 300
+    assert {r["high"] for r in rows.select((F.col("id") / (1 << KEY_BITS)).cast("int").alias("high")).distinct().collect()} == {0, 1}
+    sinks.compact_days(spark, path, RAW_TICKS)
+    assert sinks.stored_rows(spark, path, RAW_TICKS).select("id").distinct().count() == 300
+
+
+def test_keys_go_on_after_empty_and_fewer_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write = sinks.batch_writer(path, RAW_TICKS, date_from="timestamp", run="r")
+    for n, parts in enumerate((7, 1, 3)):
+        rows = batch(spark, "A", "A", "A", parts=parts)
+        write(rows.limit(0) if n == 1 else rows, n)
+    write(batch(spark, "A", "A", "A", parts=2), 2)  # a retry that is dealt out otherwise
+    assert sinks.stored_rows(spark, path, RAW_TICKS).select("id").distinct().count() == 6
+    write(batch(spark, "A"), 3)
+    assert sinks.stored_rows(spark, path, RAW_TICKS).select("id").distinct().count() == 7
+
+
+def test_rule_counts_equal_the_rejected_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write = sinks.batch_writer(path, RAW_TICKS, date_from="timestamp", run="r")
+    dirty = ev.dirty_ticks(ev.events(spark, SMALL))
+    for n in range(2):
+        write(dirty, n)
+    write(dirty, 1)
+    rejected = sinks.rejected_rows(spark, path, RAW_TICKS)
+    want = rejected.select(F.explode(F.split("reject_reason", "; ")).alias("rule")).groupBy("rule").count()
+    got = sinks.broken_rows(spark, path).where("n_rows > 0").groupBy("rule").agg(F.sum("n_rows").alias("count"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+
+
+@pytest.mark.parametrize("run", ["", "a~b", "a/b", "a*"])
+def test_runs_have_plain_names(spark, tmp_path, run):
+    with pytest.raises(ValueError, match="name a run|needs `run`"):
+        sinks.batch_writer(str(tmp_path / "t"), RAW_TICKS, run=run)(batch(spark, "A"), 0)
+
+
+def test_compacted_query_leaves_few_files(spark):
+    rows = queries()["raw_ingest_compacted"](spark, SMALL)
+    files = [f for f in rows.inputFiles() if "run=merged" in f]
+    days = {f.split("trade_date=")[1].split("/")[0] for f in files}
+    assert len(files) <= 2 * len(days)

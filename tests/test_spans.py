@@ -1,0 +1,83 @@
+"""Sketches of days merge into longer spans; late ticks are counted from the raw table."""
+
+from __future__ import annotations
+
+import datetime
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.operators.windows import AVERAGE_WINDOWS
+from tickloom.plans import monitor
+from tickloom.schemas import MOVING_AVERAGES, RAW_TICKS
+from tickloom.sources.messages import decode_ticks, file_messages
+from tickloom.streaming import runner, sinks
+
+START = datetime.datetime(2024, 1, 1, 9)
+
+
+@pytest.mark.parametrize("symbols", [3, 20_000])
+def test_sketches_of_days_merge_within_their_bound(spark, symbols):
+    daily = spark.range(symbols * 2).select(
+        F.concat(F.lit("S"), F.col("id") % symbols).alias("symbol"),
+        F.date_add(F.lit("2024-01-20").cast("date"), (F.col("id") % 40).cast("int")).alias("trade_date"),
+        F.col("id").alias("daily_volume"))
+    got = monitor.volume_over(monitor.volume_sketches(daily), "month").collect()
+    exact = {r[0]: r[1:] for r in daily.groupBy(F.date_trunc("month", "trade_date").cast("date")).agg(
+        F.count("*"), F.count_distinct("symbol"), F.sum("daily_volume")).collect()}
+    assert {r.span_start for r in got} == set(exact)
+    for r in got:
+        rows, different, volume = exact[r.span_start]
+        assert (r.total_records, r.total_trade_volume) == (rows, volume)
+        assert abs(r.symbol_estimate - different) <= max(1, different * monitor.SKETCH_ERROR)
+
+
+def test_days_and_whole_span_give_one_estimate(spark):
+    daily = spark.range(5000).select(
+        F.concat(F.lit("S"), "id").alias("symbol"), F.date_add(F.lit("2024-03-01").cast("date"), (F.col("id") % 31).cast("int")).alias("trade_date"),
+        F.lit(1).alias("daily_volume"))
+    days = monitor.volume_over(monitor.volume_sketches(daily), "year").first().symbol_estimate
+    at_once = daily.agg(F.hll_sketch_estimate(F.hll_sketch_agg("symbol", monitor.SKETCH_BITS)).alias("e")).first().e
+    assert abs(days - at_once) <= 0.01 * at_once
+
+
+def late(loads):
+    count, newest = {label: [0, 0] for label in AVERAGE_WINDOWS}, None
+    for load in loads:
+        for label, minutes in AVERAGE_WINDOWS.items():
+            for t in load:
+                close = datetime.datetime.min + ((t - datetime.datetime.min) // datetime.timedelta(minutes=minutes) + 1) * datetime.timedelta(minutes=minutes)
+                count[label][0] += 1
+                count[label][1] += newest is not None and close <= newest - datetime.timedelta(minutes=1)
+        newest = max([*load, *([newest] if newest else [])], default=None)
+    return {label: tuple(v) for label, v in count.items() if v[0]}
+
+
+def test_late_ticks_equal_brute_force(spark):
+    rng = random.Random(7)
+    loads = [[START + datetime.timedelta(seconds=rng.randint(0, 7200)) for _ in range(rng.randint(1, 30))] for _ in range(12)]
+    rows = [(t, datetime.datetime(2024, 2, 1, 0, n)) for n, load in enumerate(loads) for t in load]
+    got = monitor.late_ticks(spark.createDataFrame([*rows, (None, rows[0][1])], "timestamp timestamp, processed_timestamp timestamp"))
+    assert {r.window_size: (r.n_ticks, r.n_late) for r in got.collect()} == late(loads)
+    assert monitor.late_ticks(spark.createDataFrame([], "timestamp timestamp, processed_timestamp timestamp")).collect() == []
+
+
+def test_late_ticks_are_those_that_the_stream_leaves_out(spark, tmp_path):
+    """The averages and the raw table run over the same micro-batches; the averages hold all ticks but the late ones."""
+    (tmp_path / "in").mkdir()
+    loads = [[0, 4, 21], [2, 7, 16, 22], [1, 23, 300], [3, 290]]
+    raw, averages = str(tmp_path / "raw"), str(tmp_path / "averages")
+    for n, load in enumerate(loads):
+        (tmp_path / "in" / f"{n}.json").write_text("".join(json.dumps({
+            "symbol": f"S{n}-{m}", "price": 1.0, "volume": 1, "timestamp": (START + datetime.timedelta(minutes=m)).isoformat()}) + "\n" for m in load))
+        ticks = decode_ticks(file_messages(spark, str(tmp_path / "in"), "*.json"))
+        runner.start_raw_ingest(ticks, raw, str(tmp_path / "p1"), available_now=True).awaitTermination()
+        runner.start_moving_averages(ticks, averages, str(tmp_path / "p2"), available_now=True, state_partitions=2).awaitTermination()
+    found = {r.window_size: (r.n_ticks, r.n_late) for r in monitor.late_ticks(sinks.stored_rows(spark, raw, RAW_TICKS)).collect()}
+    assert found == late([[START + datetime.timedelta(minutes=m) for m in load] for load in loads])
+    # Every symbol has one tick, so windows count ticks. The ticks at 300 are in open ones, and that at 290 in those that end at 300.
+    closed = {r.window_size: r["count"] for r in sinks.stored_rows(spark, averages, MOVING_AVERAGES).groupBy("window_size").count().collect()}
+    still_open = {"5min": 1, "15min": 2, "30min": 2}
+    assert {k: n - gone - still_open[k] for k, (n, gone) in found.items()} == closed

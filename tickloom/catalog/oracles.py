@@ -387,6 +387,12 @@ SELECT sector, CAST(CAST(CAST(avg_price AS VARCHAR) AS DECIMAL(10, 2)) AS DOUBLE
            AS avg_change_percent,
        {_iso('window_end_time', 'window_end_time')}
 FROM sector_windows, released WHERE window_close <= until""",
+        "late_ticks": """
+SELECT window_size, count(*) AS n_ticks, count(*) FILTER (again AND time_bucket(minutes, tick_time) + minutes <= until) AS n_late
+FROM (SELECT tick_time, false AS again FROM ticks UNION ALL
+      SELECT tick_time, true FROM ticks WHERE trade_date = (SELECT min(trade_date) FROM ticks)), released,
+    (VALUES ('5min', INTERVAL 5 MINUTE), ('15min', INTERVAL 15 MINUTE), ('30min', INTERVAL 30 MINUTE)) w(window_size, minutes)
+GROUP BY window_size""",
         "stored_layers": f"""
 SELECT a.symbol, a.sector, CAST(a.trade_date AS VARCHAR) AS trade_date, {_six('close_price')},
        trend_signal, performance_rank

@@ -7,7 +7,7 @@ six places, decimals as doubles, dates and times as ISO text.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,6 +114,7 @@ def queries() -> dict[str, Query]:
         "stream_moving_averages": _stream_moving_averages,
         "stream_sector_performance": _stream_sector_performance,
         "stream_late_ticks": _stream_late_ticks,
+        "late_ticks": _late_ticks,
         "stored_layers": _stored_layers,
     }
 
@@ -369,19 +370,32 @@ def _stream_late_ticks(spark: SparkSession, folder: str) -> DataFrame:
 
     By then the windows of that day are closed, so its ticks are late and change nothing.
     """
-    messages, path = scratch_dir(spark, "late-messages"), scratch_dir(spark, "late-averages")
+    path, progress = scratch_dir(spark, "late-averages"), scratch_dir(spark, "late-progress")
+    for stream in _late_streams(spark, folder):
+        runner.start_moving_averages(stream, path, progress, available_now=True).awaitTermination()
+    return present(sinks.stored_rows(spark, path, MOVING_AVERAGES).select(*MOVING_AVERAGES.columns))
+
+
+def _late_ticks(spark: SparkSession, folder: str) -> DataFrame:
+    """How many ticks of those micro-batches came too late, from the raw table."""
+    path, progress = scratch_dir(spark, "late-raw"), scratch_dir(spark, "late-raw-progress")
+    for stream in _late_streams(spark, folder):
+        runner.start_raw_ingest(stream, path, progress, available_now=True).awaitTermination()
+    return monitor.late_ticks(sinks.stored_rows(spark, path, RAW_TICKS))
+
+
+def _late_streams(spark: SparkSession, folder: str) -> Iterator[DataFrame]:
+    """The same stream three times, each time with more messages: the first days, the others, the first day again."""
+    messages = scratch_dir(spark, "late-messages")
     ticks = ev.wire_ticks(ev.events(spark, folder))
     sent = encode_ticks(ticks).select("value")
     days = [r[0] for r in ticks.select(trade_date("timestamp").alias("d")).distinct().orderBy("d").collect()]
-    progress = scratch_dir(spark, "late-progress")
     parts = [(days[0], days[len(days) // 2]), (days[len(days) // 2], None), (days[0], [*days, None][1])]
     for first, end in parts:
         day = F.to_date(F.get_json_object("value", "$.timestamp"))
         rows = sent.where((day >= first) & (day < end) if end else day >= first)
         rows.write.mode("append").text(messages)  # however many files, a run takes them as one micro-batch
-        stream = decode_ticks(file_messages(spark, messages, "*.txt"))
-        runner.start_moving_averages(stream, path, progress, available_now=True).awaitTermination()
-    return present(sinks.stored_rows(spark, path, MOVING_AVERAGES).select(*MOVING_AVERAGES.columns))
+        yield decode_ticks(file_messages(spark, messages, "*.txt"))
 
 
 def _stored_layers(spark: SparkSession, folder: str) -> DataFrame:

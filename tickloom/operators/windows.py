@@ -55,6 +55,12 @@ def split_windows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return symbols.select(*_average_columns(False)), sectors.select(*SECTOR_COLUMNS)
 
 
+def every_window(ticks: DataFrame, *kept: str) -> DataFrame:
+    """Each tick once for every length of the moving averages: window_size, the window's end, and the columns `kept`."""
+    slots = [F.struct(F.lit(label).alias("window_size"), _slot_end(minutes).alias("window_close")) for label, minutes in AVERAGE_WINDOWS.items()]
+    return ticks.where(F.col("timestamp").isNotNull()).select(*kept, F.inline(F.array(*slots)))
+
+
 def _expanded(ticks: DataFrame, windows: list[tuple[str, str, int]]) -> DataFrame:
     """Each tick once for every window (kind of key, label, minutes) that it falls in.
 

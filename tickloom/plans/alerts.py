@@ -24,8 +24,8 @@ def threshold_alerts(ticks: DataFrame, rules: DataFrame) -> DataFrame:
     fires twice.
     """
     rules = rules.select(F.col("symbol").alias("rule"), "alert_type", "watched", "above", F.col("threshold").cast("double").alias("threshold"))
-    ruled = with_previous(ticks).withColumn("rule", F.explode(F.array("symbol", F.lit(EVERY)))).where(
-        (F.col("rule") == EVERY) | (F.col("symbol") != EVERY)).join(rules, "rule")
+    keys = F.explode(F.array_distinct(F.array("symbol", F.lit(EVERY))))
+    ruled = with_previous(ticks).withColumn("rule", keys).join(rules, "rule")
     value, before = _watched(""), _watched("previous_")
     fires = _beyond(value) & ~F.coalesce(_beyond(before), F.lit(False))
     return ruled.where(fires).select("symbol", "alert_type", value.alias("value"), "threshold", F.col("timestamp").alias("triggered_at"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import epoch_seconds_between
+from tickloom.operators.windows import every_window
 
 #: Two standard errors of a sketch with 2^SKETCH_BITS registers: 2 x 1.04 / sqrt(2^SKETCH_BITS).
 SKETCH_BITS, SKETCH_ERROR = 12, 0.0325
@@ -91,6 +92,21 @@ def data_volume(metrics: DataFrame, per_tick: bool = False) -> DataFrame:
     )
 
 
+def late_ticks(raw: DataFrame, delay: str = "1 minute") -> DataFrame:
+    """For each window length, how many ticks of the raw table came too late for their window.
+
+    A load is known by its time, which all rows of a micro-batch share and a compaction keeps. As in a stream, what a
+    load is measured by is the newest tick of all loads before it, less the watermark's delay, and a tick is late where its
+    window had ended by then. A stream over the same loads leaves out these ticks, of which it tells no number by length.
+    """
+    loads = raw.groupBy("processed_timestamp").agg(F.max("timestamp").alias("newest"))
+    earlier = Window.orderBy("processed_timestamp").rowsBetween(Window.unboundedPreceding, -1)  # a row for each load
+    marks = loads.select("processed_timestamp", (F.max("newest").over(earlier) - F.expr(f"INTERVAL {delay}")).alias("watermark"))
+    rows = every_window(raw.select("processed_timestamp", "timestamp"), "processed_timestamp").join(marks, "processed_timestamp")
+    return rows.groupBy("window_size").agg(
+        F.count("*").alias("n_ticks"), F.count_if(F.col("window_close") <= F.col("watermark")).alias("n_late"))
+
+
 def volume_sketches(metrics: DataFrame) -> DataFrame:
     """Rows and volume per day of the daily table, and a sketch of the day's symbols.
 

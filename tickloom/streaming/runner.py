@@ -59,8 +59,8 @@ def start_aggregates(ticks: DataFrame, averages_path: str, sectors_path: str, ch
                      every: str | None = None,
                      state_partitions: int | None = None) -> list[StreamingQuery]:
     """Both aggregates, as one query: their source is read and decoded once."""
-    averages = batch_writer(averages_path, MOVING_AVERAGES, small=True)
-    sectors = batch_writer(sectors_path, SECTOR_PERFORMANCE, small=True)
+    averages = batch_writer(averages_path, MOVING_AVERAGES, small=True, keep=False)
+    sectors = batch_writer(sectors_path, SECTOR_PERFORMANCE, small=True, keep=False)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # the windows are taken from the state once

@@ -30,7 +30,7 @@ CHECKS = T.StructType([
 
 
 def batch_writer(path: str, contract: Contract, date_from: str | None = None, small: bool = False,
-                 rows_per_file: int = ROWS_PER_FILE, run: str | None = None) -> BatchWriter:
+                 rows_per_file: int = ROWS_PER_FILE, run: str | None = None, keep: bool = True) -> BatchWriter:
     """A `foreachBatch` function that writes accepted and rejected rows in one pass.
 
     Of a retried batch one attempt counts. Errors are raised, so a failed batch is never taken as done. `date_from` adds
@@ -40,7 +40,8 @@ def batch_writer(path: str, contract: Contract, date_from: str | None = None, sm
 
     `small` is for aggregates, whose batches are small but spread over every state partition. The
     batch is kept while it is counted and written, as each use would compute it again; an empty one
-    is left out and others go to one file per `rows_per_file` rows instead of one per task.
+    is left out and others go to one file per `rows_per_file` rows instead of one per task. With `keep` off the
+    caller keeps it.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         name, attempt, log = run or _query_id(batch), uuid.uuid4().hex, Manifest(batch.sparkSession, path)
@@ -60,15 +61,17 @@ def batch_writer(path: str, contract: Contract, date_from: str | None = None, sm
             judged.write.partitionBy(*partitions).parquet(folder)
             found = counts.get
         else:
-            judged.persist()
+            if keep:
+                judged.persist()
             try:
                 # One parallel job; probing an empty batch for a first row takes several small ones.
-                rows = judged.count()
+                rows = (judged if keep else batch).count()
                 if rows > 0:
                     judged.coalesce(math.ceil(rows / rows_per_file)).write.partitionBy(*partitions).parquet(folder)
                     found = counts.get
             finally:
-                judged.unpersist()
+                if keep:
+                    judged.unpersist()
         used = contract.numbered and found["last"] is not None
         log.commit(name, batch_id, attempt, found["last"] + 1 if used else first, {rule: found[rule] or 0 for rule in rules})
 
@@ -112,14 +115,14 @@ def compact_day(spark: SparkSession, path: str, contract: Contract, day: str) ->
 
 
 def compact_days(spark: SparkSession, path: str, contract: Contract, days: list[str] | None = None) -> int:
-    """Merge the closed batches of days (or of a table without dates) into few files; returns how many folders went.
+    """Merge the closed batches of days, by default of all, into few files; returns how many folders went.
 
     Only those days' folders are listed and read. The last batch of a query may still be retried and stays as it is. All days
     are written by one job, whose tasks Spark sizes by bytes, beside what counts; then one file a day lets the
     merged rows count instead. A reader sees one or the other. `vacuum` deletes what went.
     """
     log, attempt = Manifest(spark, path), uuid.uuid4().hex
-    merges = [m for m in map(log.mergeable, days or [ALL]) if m]
+    merges = [m for m in map(log.mergeable, days or log.days()) if m]
     if not merges:
         return 0
     entries = [e for m in merges for e in m.entries]
