@@ -13,6 +13,37 @@ def held(doc_id):
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
 
 
+def good_turing(n):
+    """Discounts from a {count: number of items} written out count by count."""
+    n = {r: n.get(r, 0) for r in range(1, 7)}
+    seen = [r for r in n if n[r]]
+    half = [1.0] + [(r - 0.5) / r for r in range(1, 6)] + [1.0]
+    if len(seen) < 2:
+        return half
+    points = []
+    for i, r in enumerate(seen):
+        below = seen[i - 1] if i else 0
+        above = seen[i + 1] if i + 1 < len(seen) else 2 * r - seen[i - 1]
+        points.append((math.log(r), math.log(n[r] / (0.5 * (above - below)))))
+    mx, my = (sum(p[i] for p in points) / len(points) for i in (0, 1))
+    slope = sum((x - mx) * (y - my) for x, y in points) / sum((x - mx) ** 2 for x, _ in points)
+    if slope >= -1:
+        return half
+    common, out, raw = 6 ** (slope + 1), [1.0], True
+    for r in range(1, 6):
+        line = r * ((r + 1) / r) ** (slope + 1)
+        star = line
+        if raw and n[r] and n[r + 1]:
+            turing = (r + 1) * n[r + 1] / n[r]
+            error = math.sqrt((r + 1) ** 2 * n[r + 1] / n[r] ** 2 * (1 + n[r + 1] / n[r]))
+            raw = abs(turing - line) > 1.65 * error and 0 < (turing / r - common) / (1 - common) < 1
+            star = turing if raw else line
+        else:
+            raw = False
+        out.append((star / r - common) / (1 - common))
+    return [*out, 1.0]
+
+
 class Brute:
     def __init__(self, docs):
         self.single, self.pairs, self.firsts = Counter(), Counter(), Counter()
@@ -25,8 +56,7 @@ class Brute:
         self.n, self.v = sum(self.single.values()), len(self.single)
 
         def d(counter):
-            seen = Counter(counter.values())
-            return katz.discounts(np.array([seen[r] for r in range(1, katz.LARGE + 2)]))
+            return good_turing(Counter(counter.values()))
 
         self.d1, self.d2 = d(self.single), d(self.pairs)
         kept = sum(self.d1[min(c, katz.LARGE + 1)] * c for c in self.single.values())
@@ -102,3 +132,18 @@ def test_tiny(spark):
     compare_none = katz.scores(spark.createDataFrame([(only_held, "a b")], "doc_id long, text string")).first()
     assert (compare_none.score, compare_none.base_score, compare_none.train_tokens) == (0, 0, 0)
     assert katz.scores(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("n", [
+    [207_344, 59_772, 25_017, 14_274, 13_493, 7_080], [1_579_638, 246_704, 51_653, 21_705, 18_939, 7_580], [5, 0, 1, 0, 0, 0],
+    [100, 40, 20, 12, 8, 6], [10, 3, 0, 1, 0, 0], [3, 1, 0, 0, 0, 0]])
+def test_discounts_are_good_turing(n):
+    """The first two are the words and pairs of the test data, whose fourth class is larger than its share."""
+    d = katz.discounts(np.array(n))
+    assert d.tolist() == pytest.approx(good_turing({r + 1: m for r, m in enumerate(n)}))
+    assert ((d[1:-1] > 0) & (d[1:-1] < 1)).all() and d[1:-1].tolist() != [(r - 0.5) / r for r in range(1, 6)]
+
+
+@pytest.mark.parametrize("n", [[0] * 6, [7, 0, 0, 0, 0, 0], [0, 0, 3, 0, 0, 0], [1, 1, 1, 1, 1, 1], [1, 5, 9, 20, 30, 50]])
+def test_half_a_count_where_nothing_falls(n):
+    assert katz.discounts(np.array(n)).tolist() == [1.0] + [(r - 0.5) / r for r in range(1, 6)] + [1.0]

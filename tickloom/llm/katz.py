@@ -3,9 +3,9 @@
 P(w) is the Good-Turing discounted share of w among the training tokens; what the discounts leave
 is the probability of a word never seen. P(w | h) is the discounted share of the pair hw among the
 pairs that begin with h, or backoff(h) * P(w) where the pair was never seen; backoff(h) makes the
-probabilities after h sum to one. Counts above LARGE are not discounted; Good-Turing needs
-n(1) .. n(LARGE + 1), and where these give no discount between 0 and 1, half a count is taken
-instead. Where no count is discounted, one more count stands in for what is left.
+probabilities after h sum to one. Counts above LARGE are not discounted; Good-Turing takes
+n(1) .. n(LARGE + 1), smoothed where they are uneven (see `discounts`). Where no count is
+discounted, one more count stands in for what is left.
 
 Texts are dealt into chunks. A chunk sends its different words, sorted and packed, to tables
 partitioned by word hash, which return counts; then its different pairs to tables partitioned by
@@ -23,6 +23,8 @@ count as often as they come. Without training rows every token is unseen and sco
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -285,16 +287,36 @@ def _count_pairs(table: pa.Table) -> pa.Table:
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
-    """d(0) .. d(LARGE + 1) from the numbers of items seen once, twice, ..., LARGE + 1 times."""
-    d = np.ones(LARGE + 2)
-    with np.errstate(all="ignore"):
-        n = n.astype(float)
-        cut = (LARGE + 1) * n[LARGE] / n[0]
-        for r in range(1, LARGE + 1):
-            d[r] = ((r + 1) * n[r] / (r * n[r - 1]) - cut) / (1 - cut)
-    if not (np.isfinite(d).all() and (d[1:LARGE + 1] > 0).all() and (d[1:LARGE + 1] < 1).all()):
-        r = np.arange(1, LARGE + 1)
-        d[1:LARGE + 1] = (r - 0.5) / r
+    """d(0) .. d(LARGE + 1) from the numbers of items seen once, twice, ..., LARGE + 1 times.
+
+    Good-Turing with smoothed numbers: a line through the logarithms of counts and of their numbers, each number spread
+    over the gap between the counts next to it. Counts are discounted by the raw numbers from 1 on as long as these differ
+    from the line by more than chance does (1.65 standard errors) and give a discount between 0 and 1, and by the line
+    from there on, whose discounts always do if it falls faster than 1/r. Only where it can't be drawn
+    so (fewer than two different counts, or as good as none seen once) half a count is taken from each.
+    """
+    d, r = np.ones(LARGE + 2), np.arange(1, LARGE + 1, dtype=float)
+    n = np.asarray(n, float)
+    seen = np.flatnonzero(n) + 1.0
+    if len(seen) > 1:
+        before, after = np.append(0, seen[:-1]), np.append(seen[1:], 2 * seen[-1] - seen[-2])
+        x, y = np.log(seen), np.log(2 * n[n > 0] / (after - before))
+        slope = ((x - x.mean()) * (y - y.mean())).sum() / ((x - x.mean()) ** 2).sum()
+    if len(seen) < 2 or not slope < -1:
+        d[1:-1] = (r - 0.5) / r
+        return d
+    cut = (LARGE + 1) ** (slope + 1)
+    d[1:-1] = ((1 + 1 / r) ** (slope + 1) - cut) / (1 - cut)
+    for k in range(1, LARGE + 1):
+        here, above = n[k - 1], n[k]
+        if not (here and above):
+            break
+        turing = (k + 1) * above / here
+        error = (k + 1) / here * math.sqrt(above * (1 + above / here))
+        raw = (turing / k - cut) / (1 - cut)
+        if abs(turing - k * (1 + 1 / k) ** (slope + 1)) <= 1.65 * error or not 0 < raw < 1:
+            break
+        d[k] = raw
     return d
 
 
