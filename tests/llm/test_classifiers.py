@@ -151,3 +151,38 @@ def test_swaps_follow_the_sentences(spark):
     assert sorted(-1 - place[f] for f in ("women", "wome~")) in [list(c) for c in got[0]]  # men is there already
     moved = np.diag(toxicity._swaps(got, len(texts), len(place)))
     assert moved[place["femmes"]] == 0 and moved[place["deaf"]] == pytest.approx(1 / 3)
+
+
+def test_repeated_ids_are_learned_from_once_and_alike_however_rows_lie(spark, make, monkeypatch):
+    """Every id has eight rows of different texts; what reaches the driver is bounded by ids, and the order tells nothing."""
+    rows, labels = toxic_corpus(200)
+    labelled = spark.createDataFrame([(i, i % 3 // 2, t) for i, _, t in labels], "doc_id long, quality int, toxic int")
+    docs = make([(i, f"{text} extra{k} {'x' * k}", f"s{k}") for i, text in rows for k in range(8)])
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 60)
+    monkeypatch.setattr(cotraining, "FIT_ROWS", 60)
+    sizes, plain, matrix = [], toxicity._descend, cotraining._matrix
+    monkeypatch.setattr(toxicity, "_descend", lambda x, *a: sizes.append(len(x)) or plain(x, *a))
+    monkeypatch.setattr(cotraining, "_matrix", lambda f: sizes.append(len(f)) or matrix(f))
+    first = toxicity.fit(docs.repartition(5), labelled)
+    again = toxicity.fit(docs.repartition(2).orderBy("source"), labelled)
+    assert (first.weights, first.bias) == (again.weights, again.bias) and sizes == [60, 60]
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    one = key(cotraining.quality(docs.repartition(5), labelled).select("doc_id", "kept"))
+    sizes.clear()
+    assert key(cotraining.quality(docs.repartition(2).orderBy("source"), labelled).select("doc_id", "kept")) == one
+    assert max(sizes) <= 60
+
+
+def test_terms_can_be_given(spark, make):
+    rows, labels = toxic_corpus()
+    rows = [(i, t.replace("muslims", "zorks").replace("christians", "glims")) for i, t in rows]
+    labelled = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    gap = lambda m: abs(sum(m.weights.get(f, 0) for f in toxicity.features("zorks"))
+                        - sum(m.weights.get(f, 0) for f in toxicity.features("glims")))
+    assert gap(toxicity.fit(make(rows), labelled, (("zorks", "glims"),))) < 0.5 * gap(toxicity.fit(make(rows), labelled))
+
+
+def test_documents_without_rows_but_labels(spark, make):
+    labelled = spark.createDataFrame([(1, 1, 1), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity(make([]), labelled).collect() == []
+    assert cotraining.quality(make([]), labelled).collect() == []

@@ -257,8 +257,9 @@ def _learned(rows: DataFrame, labels: DataFrame) -> tuple[list[View] | None, np.
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(
         F.min(F.col("quality").cast("int")).alias("quality"))
     fit = known.filter(F.crc32(F.col("id").cast("string")) % 4 != 2).orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS)
-    table = rows.join(F.broadcast(fit), rows["doc_id"] == fit["id"]).select("id", "quality", "f").toPandas()  # at most FIT_ROWS ids
-    table = table.drop_duplicates("id").sort_values("id")
+    # One row for each id, that of the least features, so at most FIT_ROWS, whatever repeats.
+    table = rows.join(F.broadcast(fit), rows["doc_id"] == fit["id"]).groupBy("id", "quality").agg(F.min("f").alias("f"))
+    table = table.toPandas().sort_values("id", ignore_index=True)
     y = table["quality"].to_numpy(float)
     views = _views(_matrix(table["f"].tolist()))
     check = np.array([zlib.crc32(f"calibrate {i}".encode()) % 4 == 0 for i in table["id"]], bool)

@@ -11,8 +11,10 @@ in it reach the driver.
 Every text is scored whole, in one pass without a shuffle. Nothing but the text enters a score.
 
 A null or empty text scores as one without any feature. A row whose id is null has no label and is
-not held out. Repeated labels of an id count once, as toxic if any of them is. Without labels of
-both kinds the score is the smoothed share of toxic labels for all.
+not held out. Repeated labels of an id count once, as toxic if any of them is, and of repeated ids the
+text of the least hash is learned from, so the result does not hang on how rows lie. Without labels of
+both kinds nothing is learned: the model has no weights, and the score is the smoothed share of toxic
+labels for all. Texts of any length are taken whole.
 """
 
 from __future__ import annotations
@@ -92,23 +94,26 @@ class Model:
         return scored(text.cast("string"))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn from the labels of rows that are not held out."""
+def fit(docs: DataFrame, labels: DataFrame, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> Model:
+    """Learn from the labels of rows that are not held out. `terms` are the groups of words that are swapped, in lower case."""
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
         F.broadcast(known), F.col("doc_id") == F.col("id"))  # at most FIT_ROWS rows
-    listed = rows.select("toxic", _features_of("text").alias("found")).cache()
+    # One text for each id, so that no more than FIT_ROWS rows are learned from, whatever repeats.
+    rows = rows.groupBy("id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    listed = rows.select("id", "toxic", _features_of("text").alias("found")).cache()
     try:
         total, toxic = listed.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
         if toxic in (0, total):
             return Model({}, math.log((toxic + 1) / (total - toxic + 1)))
-        chosen = _chosen(listed, total, toxic)
+        chosen = _chosen(listed, total, toxic, terms)
         place = {f: i for i, f in enumerate(chosen)}
-        kept = listed.select("toxic", _cut(place)("found").alias("at"), _swapped(place)("found").alias("swaps")).toPandas()
+        kept = listed.select("id", "toxic", _cut(place)("found").alias("at"), _swapped(place, terms)("found").alias("swaps")).toPandas()
     finally:
         listed.unpersist()
+    kept = kept.sort_values("id", ignore_index=True)
     x = np.zeros((len(kept), len(chosen)), np.float32)
     for row, at in enumerate(kept["at"]):
         x[row, at] = 1
@@ -129,23 +134,23 @@ def _cut(place: dict[str, int]):
     return cut
 
 
-def _chosen(listed: DataFrame, total: int, toxic: int) -> list[str]:
+def _chosen(listed: DataFrame, total: int, toxic: int, terms: tuple[tuple[str, ...], ...]) -> list[str]:
     """The features that tell most about the label, and those of the identity terms."""
     counts = listed.select("toxic", F.explode("found").alias("f")).groupBy("f").agg(
         F.sum("toxic").alias("a"), F.count("*").alias("n")).filter("n >= 5")
     gap = F.col("a") * total - F.col("n") * toxic
     chi = gap * gap / (F.col("n") * (total - F.col("n") + 1))
     best = [r["f"] for r in counts.orderBy(chi.desc(), "f").limit(FEATURES).collect()]
-    return sorted({*best, *(f for group in IDENTITY_TERMS for term in group for f in features(term))})
+    return sorted({*best, *(f for group in terms for term in group for f in features(term))})
 
 
-def _swapped(place: dict[str, int]):
+def _swapped(place: dict[str, int], terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS):
     """For each swapped copy of a text the features that it lacks, as -1 - place, and those that it has in addition."""
     @F.pandas_udf("array<array<int>>")
     def swapped(found: pd.Series) -> pd.Series:
         def copies(fs: list[str]) -> list[list[int]]:
             words, out = {f for f in fs if f[-1] != "~"}, []
-            for group in IDENTITY_TERMS:
+            for group in terms:
                 for a in words & set(group):
                     for b in group:
                         if b != a:
