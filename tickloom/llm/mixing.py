@@ -15,9 +15,10 @@ spreads every source evenly over the mix: any stretch of slots holds the weights
 `budget` is the number of tokens of the mix. By default it is the least with which no source gives
 less than one whole pass, so nothing is lost. Tokens are runs of characters other than x20 and
 x09-x0D. A null source is a source of its own. A source without tokens has weight zero, cannot be
-measured against a budget and gives one pass. Repeated rows and ids are rows of their own, but
-equal rows come in the same place of a pass. Columns pass through, but
-those that mixing adds replace any of their name.
+measured against a budget and gives one pass. Repeated rows and ids are rows of their own: rows of
+one id and text share their place in a pass, and where a pass ends at such a place, as many of them
+are taken as reach the quota. So a source's part of the mix is over its quota by less than one row.
+Columns pass through, but those that mixing adds replace any of their name.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators.repeat import repeat_rows
 from tickloom.session import stored
 
 ENTROPY = 0.9
@@ -111,7 +113,7 @@ def place(passes: Column, *identity: str) -> Column:
 
 
 def ends(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """source, end: the least place at which a source's rows before it hold `rest` tokens.
+    """source, end, more: the place at which a source's rows reach `rest` tokens, and how many the rows before it lack.
 
     `rows(source, place, n)`: one level narrows the place by LEVEL_BITS bits. Sums combine before
     each shuffle, and a window sees at most 4,096 sums of a source.
@@ -130,7 +132,22 @@ def ends(rows: DataFrame, targets: DataFrame) -> DataFrame:
         hit = sums.filter("before < rest").groupBy("source").agg(
             F.max_by(F.struct(F.col("block").alias("start"), (F.col("rest") - F.col("before")).alias("rest")), "block").alias("x"))
         open_ = stored(hit.select("source", "x.rest", "x.start"), "mixing-ends")
-    return open_.select("source", (F.col("start") + 1).alias("end"))
+    return open_.select("source", F.col("start").alias("end"), F.col("rest").alias("more"))
+
+
+def _tied(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Of the rows that share the place where a source's last pass ends, as many as reach its quota.
+
+    `rows` hold whole rows as `d`. Equal ones are counted, not gathered, and written again as often as they are taken;
+    those that differ in other columns are taken in the order of a hash of all of them.
+    """
+    alike = by_source(rows, plan).filter("place = end").groupBy(
+        "source", "mix_pass", "place", "end", "more", "passes", "span", "n", F.sha2(F.to_json("d"), 256).alias("whole"),
+    ).agg(F.first("d").alias("d"), F.count("*").alias("m"))
+    before = Window.partitionBy("source").orderBy("whole").rowsBetween(Window.unboundedPreceding, -1)
+    alike = alike.withColumn("lack", F.col("more") - F.coalesce(F.sum(F.col("m") * F.col("n")).over(before), F.lit(0)))
+    take = F.when(F.col("lack") > 0, F.least("m", F.ceil(F.col("lack") / F.greatest("n", F.lit(1))))).otherwise(0)
+    return repeat_rows(stored(alike.withColumn("take", take.cast("long")).drop("whole", "m", "lack"), "mixing-ties"), "take").drop("take")
 
 
 def by_source(rows: DataFrame, small: DataFrame) -> DataFrame:
@@ -144,6 +161,12 @@ def by_source(rows: DataFrame, small: DataFrame) -> DataFrame:
     return rows.join(salted, same & (F.col("salt") == F.col("its_salt"))).drop("its_source", "its_salt", "salt")
 
 
+def _with(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Tables of sources joined to the left; a null source is one too."""
+    other = other.withColumnRenamed("source", "its_source")
+    return one.join(other, F.col("source").eqNullSafe(F.col("its_source")), "left").drop("its_source")
+
+
 def mix(docs: DataFrame, entropy: float = ENTROPY, most_passes: float = MOST_PASSES,
         budget: int | None = None) -> DataFrame:
     """The rows of `docs` as often as the mix takes them, with mix_tokens, mix_pass and mix_slot."""
@@ -157,13 +180,23 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, most_passes: float = MOST_PAS
     wanted = stored(quotas(sources, exponent, budget), "mixing-quotas")
     last = by_source(slim.withColumn("place", F.col("identity")), wanted.select("source", F.col("passes").alias("turn")))
     last = last.withColumn("place", place(F.col("turn"), "identity")).drop("turn")
-    cut = ends(last, wanted)
-    plan = wanted.join(cut.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    plan = stored(plan.select("source", "span", "passes", F.coalesce("end", F.lit(0)).alias("end")), "mixing-plan")
-    rows = by_source(rows.withColumn("place", F.col("identity")), plan)
+    cut = stored(ends(last, wanted), "mixing-cut")
+    # Where one row reaches the quota it is taken; rows that do so together are looked at below.
+    there = by_source(last, cut).filter("place = end").groupBy("source").agg(F.count("*").alias("rows"))
+    cut = _with(cut, there).select("source", F.when(F.col("rows") == 1, F.col("end") + 1).otherwise(F.col("end")).alias("end"),
+                                   F.when(F.col("rows") > 1, F.col("more")).alias("more"))
+    plan = _with(wanted, cut).select("source", "span", "passes", F.coalesce("end", F.lit(0)).alias("end"), "more")
+    plan = stored(plan, "mixing-plan")
+    rows = rows.withColumn("place", F.col("identity"))
+    ties = plan.filter("more > 0")
+    tied = None if ties.isEmpty() else _tied(
+        by_source(rows, ties.select("source", F.col("passes").alias("mix_pass"))).withColumn("place", place(F.col("mix_pass"), "identity")), ties)
+    rows = by_source(rows, plan)
     turns = F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes")))
     rows = rows.withColumn("mix_pass", turns).withColumn("place", place(F.col("mix_pass"), "identity"))
     rows = rows.filter((F.col("mix_pass") < F.col("passes")) | (F.col("place") < F.col("end")))
+    if tied is not None:
+        rows = rows.drop("identity").unionByName(tied)
     # A whole pass spreads over its part of the mix; the last one fills what is left of it.
     within = F.col("place") / F.lit(float(1 << 60))
     part = F.when(F.col("mix_pass") < F.col("passes"), within).otherwise(
