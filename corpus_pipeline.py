@@ -16,8 +16,11 @@ SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the classifier rejects; empty ones stay."""
+    """Without the documents that the classifier rejects. Where there are not labels of both kinds nothing is
+    learned, and all documents stay."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if not model.weights:
+        return docs
     return docs.filter(model.score(F.col("text")) < toxicity.THRESHOLD)
 
 
