@@ -86,16 +86,18 @@ SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(k.n_removed,
 FROM docs d LEFT JOIN kept k USING (doc_id)
 """
 
-LINES = """
+LINES = r"""
 WITH split AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS a FROM documents
 ), filled AS (
-  SELECT doc_id, list_filter(list_transform(a, lambda x, i: {'i': i, 'x': x}), lambda s: trim(s.x) <> '') AS f FROM split
+  SELECT doc_id, list_filter(list_transform(a, lambda x, i: {'i': i, 'x': x, 'w': len(regexp_extract_all(x, '[^\x09-\x0D\x20]+'))}),
+    lambda s: trim(s.x) <> '') AS f FROM split
+), places AS (SELECT doc_id, f, unnest(range(1, len(f) + 1)) AS j FROM filled
 ), runs AS (
-  SELECT doc_id, j, list_transform(f[j:j + 2], lambda s: s.x) AS run
-  FROM (SELECT doc_id, f, unnest(range(1, len(f) - 1)) AS j FROM filled WHERE len(f) >= 3)
+  SELECT doc_id, j, n, list_transform(f[j:j + n - 1], lambda s: s.x) AS run FROM places, (VALUES (1), (2), (3)) sizes(n)
+  WHERE j + n - 1 <= len(f) AND (n = 3 OR list_sum(list_transform(f[j:j + n - 1], lambda s: s.w)) >= 50)
 ), later AS (
-  SELECT doc_id, j FROM (SELECT doc_id, j, row_number() OVER (PARTITION BY run ORDER BY doc_id, j) AS n FROM runs) WHERE n > 1
-), gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(j, j + 3)) AS p FROM later) GROUP BY doc_id
+  SELECT doc_id, j, n FROM (SELECT doc_id, j, n, row_number() OVER (PARTITION BY run ORDER BY doc_id, j) AS k FROM runs) WHERE k > 1
+), gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(j, j + n)) AS p FROM later) GROUP BY doc_id
 ), placed AS (SELECT doc_id, list_transform(g.ps, lambda p: f[p].i) AS gone FROM gone g JOIN filled USING (doc_id))
 SELECT s.doc_id, CAST(len(f.f) AS BIGINT) AS line_count, CAST(coalesce(len(p.gone), 0) AS BIGINT) AS lines_removed,
   sha256(CASE WHEN p.gone IS NULL THEN s.text ELSE coalesce(array_to_string(
