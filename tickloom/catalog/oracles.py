@@ -379,6 +379,9 @@ SELECT symbol, window_size, {_six('avg_price')}, {_iso('window_end_time', 'windo
 FROM averages, released WHERE processed_timestamp - INTERVAL 60 SECOND <= until""",
         "stream_late_ticks": f"""
 SELECT symbol, window_size, {_six('avg_price')}, {_iso('window_end_time', 'window_end_time')}
+FROM averages, released WHERE processed_timestamp - INTERVAL 60 SECOND <= until""",
+        "stream_moved_state": f"""
+SELECT symbol, window_size, {_six('avg_price')}, {_iso('window_end_time', 'window_end_time')}
 FROM averages, released WHERE processed_timestamp - INTERVAL 60 SECOND <= until""",
         "stream_sector_performance": f"""
 SELECT sector, CAST(CAST(CAST(avg_price AS VARCHAR) AS DECIMAL(10, 2)) AS DOUBLE) AS avg_price,

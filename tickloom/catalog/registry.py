@@ -24,7 +24,7 @@ from tickloom.sources import events as ev
 from tickloom.sources import tables
 from tickloom.sources.messages import TICK_COLUMNS, decode_ticks, encode_ticks, file_messages
 from tickloom.sources.quotes import attach_sector, normalise_quotes
-from tickloom.streaming import runner, sinks
+from tickloom.streaming import handover, runner, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +114,7 @@ def queries() -> dict[str, Query]:
         "stream_moving_averages": _stream_moving_averages,
         "stream_sector_performance": _stream_sector_performance,
         "stream_late_ticks": _stream_late_ticks,
+        "stream_moved_state": _stream_moved_state,
         "late_ticks": _late_ticks,
         "stored_layers": _stored_layers,
     }
@@ -376,6 +377,16 @@ def _stream_late_ticks(spark: SparkSession, folder: str) -> DataFrame:
     return present(sinks.stored_rows(spark, path, MOVING_AVERAGES).select(*MOVING_AVERAGES.columns))
 
 
+def _stream_moved_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The averages by a query with 3 state partitions over the first days, and by one with 7 that takes over from it, in one table."""
+    path, old, new = (scratch_dir(spark, f"moved-{name}") for name in ("averages", "old", "new"))
+    streams = _late_streams(spark, folder)
+    runner.start_moving_averages(next(streams), path, old, available_now=True, state_partitions=3).awaitTermination()
+    after = handover.last_watermark(spark, old)
+    runner.start_moving_averages(next(streams), path, new, available_now=True, state_partitions=7, after=after).awaitTermination()
+    return present(sinks.stored_rows(spark, path, MOVING_AVERAGES).select(*MOVING_AVERAGES.columns))
+
+
 def _late_ticks(spark: SparkSession, folder: str) -> DataFrame:
     """How many ticks of those micro-batches came too late, from the raw table."""
     path, progress = scratch_dir(spark, "late-raw"), scratch_dir(spark, "late-raw-progress")

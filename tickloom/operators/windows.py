@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +28,10 @@ def window_averages(ticks: DataFrame, label: str, with_close: bool = False) -> D
     return rows.select(*_average_columns(with_close))
 
 
-def moving_averages(ticks: DataFrame, with_close: bool = False) -> DataFrame:
-    """The window averages of all lengths in one result, from one scan, one shuffle and, in a stream, one state."""
-    rows = _expanded(ticks, [("symbol", label, minutes) for label, minutes in AVERAGE_WINDOWS.items()])
+def moving_averages(ticks: DataFrame, with_close: bool = False, after: datetime.datetime | None = None) -> DataFrame:
+    """The window averages of all lengths in one result, from one scan, one shuffle and, in a stream, one state.
+    With `after` only of windows that end later."""
+    rows = _expanded(ticks, [("symbol", label, minutes) for label, minutes in AVERAGE_WINDOWS.items()], after)
     return (
         rows.groupBy(F.col("name").alias("symbol"), "window_size", "window_close")
         .agg(_average("price").alias("avg_price"), F.max("timestamp").alias("window_end_time"))
@@ -36,11 +39,12 @@ def moving_averages(ticks: DataFrame, with_close: bool = False) -> DataFrame:
     )
 
 
-def symbol_and_sector_windows(ticks: DataFrame) -> DataFrame:
+def symbol_and_sector_windows(ticks: DataFrame, after: datetime.datetime | None = None) -> DataFrame:
     """What `moving_averages` and `sector_windows` give, as one result whose `kind` is symbol or sector: a stream is
-    read and decoded once for both, and keeps one state. `split_windows` parts the rows again."""
+    read and decoded once for both, and keeps one state. `split_windows` parts the rows again. With `after` only of windows
+    that end later."""
     kinds = [("symbol", label, minutes) for label, minutes in AVERAGE_WINDOWS.items()]
-    rows = _expanded(ticks, [*kinds, ("sector", f"{SECTOR_WINDOW_MINUTES}min", SECTOR_WINDOW_MINUTES)])
+    rows = _expanded(ticks, [*kinds, ("sector", f"{SECTOR_WINDOW_MINUTES}min", SECTOR_WINDOW_MINUTES)], after)
     return rows.groupBy("kind", "name", "window_size", "window_close").agg(
         _average("price").alias("avg_price"),
         F.sum("volume").alias("total_volume"),
@@ -61,8 +65,8 @@ def every_window(ticks: DataFrame, *kept: str) -> DataFrame:
     return ticks.where(F.col("timestamp").isNotNull()).select(*kept, F.inline(F.array(*slots)))
 
 
-def _expanded(ticks: DataFrame, windows: list[tuple[str, str, int]]) -> DataFrame:
-    """Each tick once for every window (kind of key, label, minutes) that it falls in.
+def _expanded(ticks: DataFrame, windows: list[tuple[str, str, int]], after: datetime.datetime | None = None) -> DataFrame:
+    """Each tick once for every window (kind of key, label, minutes) that it falls in and that ends later than `after`.
 
     `window_close` is an event time as the tick's own time is: it takes over the watermark, as `F.window` does for its
     windows. So one aggregate holds windows of all lengths, and each decides by its own end whether a tick
@@ -75,11 +79,15 @@ def _expanded(ticks: DataFrame, windows: list[tuple[str, str, int]]) -> DataFram
     marked = F.col("window_close").alias("window_close", metadata=ticks.schema["timestamp"].metadata)
     columns = [c for c in ("price", "volume", "change_percent", "timestamp") if c in ticks.columns]
     rows = ticks.where(F.col("timestamp").isNotNull()).select(*columns, F.inline(slots))
-    return rows.select(*columns, "kind", "name", "window_size", marked)
+    rows = rows.select(*columns, "kind", "name", "window_size", marked)
+    return rows if after is None else rows.where(F.col("window_close") > F.lit(after))
 
 
-def sector_windows(ticks: DataFrame, with_close: bool = False) -> DataFrame:
-    """Average price, volume, average change and last tick time per sector and window."""
+def sector_windows(ticks: DataFrame, with_close: bool = False, after: datetime.datetime | None = None) -> DataFrame:
+    """Average price, volume, average change and last tick time per sector and window, with `after` only of windows
+    that end later."""
+    if after is not None:
+        ticks = ticks.where(_slot_end(SECTOR_WINDOW_MINUTES) > F.lit(after))
     slot = F.window("timestamp", f"{SECTOR_WINDOW_MINUTES} minutes")
     rows = (
         ticks.groupBy("sector", slot)

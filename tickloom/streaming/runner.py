@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -37,28 +39,29 @@ def start_raw_ingest(ticks: DataFrame, path: str, checkpoint: str,
 
 def start_moving_averages(ticks: DataFrame, path: str, checkpoint: str,
                           available_now: bool = False, every: str | None = None,
-                          state_partitions: int | None = None) -> StreamingQuery:
-    """Closed windows of all lengths, appended once each."""
+                          state_partitions: int | None = None, after: datetime.datetime | None = None) -> StreamingQuery:
+    """Closed windows of all lengths, appended once each. `after` is the `handover.last_watermark` of a query that
+    this one takes over from; give it again at restarts."""
     writer = batch_writer(path, MOVING_AVERAGES, small=True)
-    rows = moving_averages(with_watermark(ticks))
+    rows = moving_averages(with_watermark(ticks), after=after)
     return _start(_appended(rows, writer), checkpoint, available_now, every, state_partitions)
 
 
 def start_sector_performance(ticks: DataFrame, path: str, checkpoint: str,
                              available_now: bool = False,
                              every: str | None = None,
-                          state_partitions: int | None = None) -> StreamingQuery:
-    """Closed sector windows, appended once each."""
+                             state_partitions: int | None = None, after: datetime.datetime | None = None) -> StreamingQuery:
+    """Closed sector windows, appended once each; `after` as in `start_moving_averages`."""
     writer = batch_writer(path, SECTOR_PERFORMANCE, small=True)
-    rows = sector_windows(with_watermark(ticks))
+    rows = sector_windows(with_watermark(ticks), after=after)
     return _start(_appended(rows, writer), checkpoint, available_now, every, state_partitions)
 
 
 def start_aggregates(ticks: DataFrame, averages_path: str, sectors_path: str, checkpoint: str,
                      available_now: bool = False,
                      every: str | None = None,
-                     state_partitions: int | None = None) -> list[StreamingQuery]:
-    """Both aggregates, as one query: their source is read and decoded once."""
+                     state_partitions: int | None = None, after: datetime.datetime | None = None) -> list[StreamingQuery]:
+    """Both aggregates, as one query: their source is read and decoded once. `after` as in `start_moving_averages`."""
     averages = batch_writer(averages_path, MOVING_AVERAGES, small=True, keep=False)
     sectors = batch_writer(sectors_path, SECTOR_PERFORMANCE, small=True, keep=False)
 
@@ -70,7 +73,7 @@ def start_aggregates(ticks: DataFrame, averages_path: str, sectors_path: str, ch
         finally:
             batch.unpersist()
 
-    rows = symbol_and_sector_windows(with_watermark(ticks))
+    rows = symbol_and_sector_windows(with_watermark(ticks), after)
     return [_start(_appended(rows, write), checkpoint, available_now, every, state_partitions)]
 
 
