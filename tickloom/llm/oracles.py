@@ -181,3 +181,15 @@ WITH RECURSIVE runs AS (
 ), roots AS (SELECT word, arg_max(last, step) AS root FROM ways GROUP BY word)
 SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
 """.replace("CRC", _CRC)
+
+
+def sharding(owners: list[str]) -> str:
+    """For the shard of each slot, in order."""
+    names = ", ".join(f"'{o}'" for o in owners)
+    return f"""
+WITH lookup AS (SELECT unnest(range({len(owners)})) AS slot, unnest([{names}]) AS shard
+), digits AS (SELECT doc_id, source, substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS d FROM documents
+), placed AS (SELECT doc_id, source, CAST(CAST('0x' || d AS BIGINT) % {len(owners)} AS INT) AS slot FROM digits
+)
+SELECT p.doc_id, p.source, p.slot, l.shard FROM placed p JOIN lookup l USING (slot)
+"""

@@ -51,8 +51,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
+    shards = corpus_pipeline.SHARDS
+    owners = [shards[i] for i in sharding.fill(shards, sharding.table_size(len(shards)))]
     return {
         "op2_embedding_near_dedup": oracles.NEIGHBOURS,
+        "op3_sharding": oracles.sharding(owners),
         "op5_line_dedup": oracles.LINES,
         "op9_repeated_substrings": oracles.REPEATS,
         "op6_minhash_near_dedup": oracles.MINHASH,
