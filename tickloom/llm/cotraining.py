@@ -1,7 +1,7 @@
 """A quality classifier of two views that teach each other.
 
-One view sees the content of a text (shares of kinds of characters, words and lines), the other
-what is known about the page (language, source, size). Both are logistic models. Each starts from
+One view sees the content of a text (its words, hashed to WORDS slots, and shares of kinds of characters,
+words and lines), the other what is known about the page (language, source, size). Both are logistic models. Each starts from
 the labelled rows; in every round each names the rows without label that it is surest of, in the
 proportion of the labels, and these join the other's training rows. In the end each view is
 calibrated on labelled rows that it never saw, and the calibrated views are combined there too.
@@ -40,7 +40,8 @@ FIT_ROWS = 8_000
 ROUNDS, SURE = 5, 0.05
 BINS, PER_LOGIT, STEP = 6_000, 100, 1e-3
 FAN_IN = 16
-SLOTS = 64
+SLOTS, WORDS = 64, 128
+RIDGE = 0.02  # for each row learned from
 KEEP = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 #: Fixed list of frequent words of the four languages.
@@ -56,15 +57,18 @@ def content(text: str | None) -> list[float]:
     m = len(words) or 1
     plain = _WORD.findall(text)
     lines = [x for x in text.split("\n") if x.strip()]
-    count = Counter(words)
+    count, known = Counter(words), Counter(map(str.lower, plain))
+    slots = [zlib.crc32(w.encode("utf-8", "replace")) % WORDS for w in known]
+    hashed = np.bincount(np.array(slots, int), list(known.values()), WORDS)
     return [
         *(text.count(c) / m for c in _SIGNS),
         sum(map(str.isupper, words)) / m, sum(c.isdigit() for c in text) / n,
         sum(map(len, plain)) / (10 * (len(plain) or 1)), len(plain) / m,
         len(count) / m, max(count.values(), default=0) / m,
-        sum(w in _COMMON for w in map(str.lower, plain)) / (len(plain) or 1),
+        sum(n for w, n in known.items() if w in _COMMON) / (len(plain) or 1),
         1 - len(set(lines)) / (len(lines) or 1), len(lines) / m,
         max(map(len, words), default=0) / 100, math.log1p(len(words)) / 10,
+        *np.sqrt(hashed / (len(plain) or 1)).tolist(),
     ]
 
 
@@ -83,7 +87,7 @@ class View:
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> View:
         self.middle, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-        self.w = _logistic(self._scaled(x), y)
+        self.w = _logistic(self._scaled(x), y, RIDGE * len(x))
         self.slope, self.shift = 1.0, 0.0
         return self
 
@@ -184,7 +188,7 @@ def _refit(views: list[np.ndarray], y: np.ndarray, steps: list, summed: Callable
         new.middle = middle + first / n
         spread = (((x - middle) ** 2).sum(axis=0) + second) / n - (first / n) ** 2
         new.scale, new.slope, new.shift = np.sqrt(np.maximum(spread, 0)) + 1e-6, 1.0, 0.0
-        new.w = np.zeros(width + 1)
+        new.w, new.ridge = np.zeros(width + 1), RIDGE * n
         out.append(new)
     live = [True] * len(out)
     for _ in range(25):
@@ -198,7 +202,7 @@ def _refit(views: list[np.ndarray], y: np.ndarray, steps: list, summed: Callable
             m, size = out[i], len(out[i].w)
             part, total = np.split(total, [size * (size + 1)])
             part = (part + _slope(m, views[i], y)).reshape(size + 1, size)
-            move = np.linalg.solve(part[1:] + 1e-2 * np.eye(size), part[0] + 1e-2 * m.w)
+            move = np.linalg.solve(part[1:] + m.ridge * np.eye(size), part[0] + m.ridge * m.w)
             m.w = m.w - move
             live[i] = bool(np.abs(move).max() >= STEP)
         if not any(live):
