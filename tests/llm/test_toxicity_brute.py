@@ -1,0 +1,76 @@
+"""The whole toxicity query against the same rules written out text by text."""
+
+import math
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from tests.llm.test_classifiers import EDGES, toxic_corpus
+from tickloom.llm import toxicity
+
+
+def features(text):
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    return {w for w in words} | {w[:k] + "~" for w in words for k in (4, 5, 6) if len(w) > k}
+
+
+def held(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def copies(text):
+    """The text once for every term of a group that can stand in for one that it mentions."""
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    for group in toxicity.IDENTITY_TERMS:
+        for term in set(words) & set(group):
+            for other in group:
+                if other != term:
+                    yield " ".join(other if w == term else w for w in words)
+
+
+def brute(rows, labels, most):
+    """rows: (id, text); the score of each."""
+    learned = [(text or "", labels[i]) for i, text in rows if i in labels and not held(i)]
+    y = np.array([float(t) for _, t in learned])
+    sets = [features(text) for text, _ in learned]
+    told = {}
+    for f in set().union(*sets):
+        n, a = sum(f in s for s in sets), sum(t for s, t in zip(sets, y, strict=True) if f in s)
+        if n >= 5:
+            told[f] = (a * len(y) - n * y.sum()) ** 2 / (n * (len(y) - n + 1))
+    best = sorted(told, key=lambda f: (-told[f], f))[:most]
+    chosen = sorted({*best, *(f for g in toxicity.IDENTITY_TERMS for term in g for f in features(term))})
+    row = lambda s: np.array([float(f in s) for f in chosen])
+    x = np.array([row(s) for s in sets])
+    moved = [row(features(c)) - x[i] for i, (text, _) in enumerate(learned) for c in copies(text)]
+    moved = np.array(moved or [row(set())])
+    w, bias = np.zeros(len(chosen)), math.log(y.mean() / (1 - y.mean()))
+    m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
+    for step in range(1, 601):
+        error = 1 / (1 + np.exp(-(x @ w + bias))) - y
+        swap = 2 * moved.T @ (moved @ w) / len(y)
+        slope = np.append(x.T @ error / len(y) + 1e-5 * w + swap, error.mean())
+        m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope ** 2
+        move = 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
+        w, bias = w - move[:-1], bias - move[-1]
+    return [1 / (1 + math.exp(-(row(features(text)) @ w + bias))) for _, text in rows], len(moved)
+
+
+def test_toxicity_equals_brute_force(spark, make, monkeypatch):
+    monkeypatch.setattr(toxicity, "FEATURES", 60)
+    rows, labels = toxic_corpus(400)
+    # Some labels are wrong, so that there is a best model and scores are not all 0 or 1.
+    labels = [(i, q, t if i % 9 else 1 - t) for i, q, t in labels if i % 10 < 9]
+    out = toxicity.toxicity(make([*rows, *EDGES], clash=True), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    every = [*rows, *[e[:2] for e in EDGES]]
+    scores, swapped = brute(every, {i: t for i, _, t in labels}, 60)
+    assert swapped > 300 and sum(0.01 < s < 0.99 for s in scores) > 100  # many scores are neither 0 nor 1
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    got = sorted(((r.doc_id, r.score, r.held_out, r.predicted) for r in out.collect()), key=key)
+    want = sorted(((i, s, held(i)) for (i, _), s in zip(every, scores, strict=True)), key=key)
+    assert [(g[0], g[2]) for g in got] == [(w[0], w[2]) for w in want]
+    assert [g[1] for g in got] == pytest.approx([w[1] for w in want], abs=2e-3)
+    assert all(g[3] == int(w[1] >= 0.3) for g, w in zip(got, want, strict=True) if abs(w[1] - 0.3) > 2e-3)
