@@ -147,3 +147,10 @@ def test_discounts_are_good_turing(n):
 @pytest.mark.parametrize("n", [[0] * 6, [7, 0, 0, 0, 0, 0], [0, 0, 3, 0, 0, 0], [1, 1, 1, 1, 1, 1], [1, 5, 9, 20, 30, 50]])
 def test_half_a_count_where_nothing_falls(n):
     assert katz.discounts(np.array(n)).tolist() == [1.0] + [(r - 0.5) / r for r in range(1, 6)] + [1.0]
+
+
+def test_columns_of_any_name_may_be_there(make):
+    rows = [(i, f"one two three {i % 3} two one") for i in range(30)] + [(40, None), (41, ""), (None, "one two"), (42, "one " * 20_000), (1, "one two")]
+    key = lambda docs: sorted(map(str, katz.scores(docs).collect()))
+    plain = key(make(rows))
+    assert len(plain) == len(rows) and key(make(rows, clash=True)) == plain

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.llm import neighbours
 
@@ -61,6 +62,15 @@ def test_small_blocks_and_lists(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_columns_of_any_name_may_be_there(spark):
+    rows = clusters(3, [1] * 5 + [2] * 4 + [9]) + EDGES
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], DDL)
+    for name in ("node", "vector", "weight", "component", "component_id", "n_links", "kept", "length", "block", "n", "root"):
+        frame = frame.withColumn(name, F.lit("other"))
+    out = neighbours.near_duplicates(frame)
+    assert sorted([(r.vec_id, r.n_links, r.component_id, r.kept) for r in out.collect()], key=str) == brute(rows)
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 

@@ -14,7 +14,8 @@ Of rows with a score in the step that bounds, a part by a hash of the id is name
 taught follows from the models and bounds of the rounds before, so nothing is marked or collected.
 Rows whose crc32(doc_id as text) mod 4 is 2 are held out of both. Every row is then scored.
 
-Nulls in any column are a value of their own; an empty or null text has content features of zero.
+Nulls in any column are a value of their own; an empty or null text has content features of zero, and
+texts of any length are taken whole. Extra columns, whatever their names, are left out.
 Repeated labels of an id count once, as good only if all are. Rows without id are scored and not
 learned from. Without labels of both kinds the score is the smoothed share of good labels.
 """
