@@ -260,3 +260,31 @@ def test_late_ticks_are_written_by_many_tasks(spark, tmp_path, monkeypatch, one_
     assert one_day or late.count()
     files = spark.read.text(made["late-messages"]).select(F.input_file_name()).distinct().count()
     assert files > 3
+
+
+def test_no_task_reads_all_that_is_kept_for_a_few_rows(spark, tmp_path):
+    from pyspark import TaskContext
+
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    @F.udf("boolean")
+    def read(name):
+        task = TaskContext.get()
+        with open(f"{seen}/{task.stageId()}-{task.partitionId()}", "a") as file:
+            file.write("x")
+        return name == "S0"
+
+    at = F.timestamp_seconds(F.lit(1704099600) + F.col("id") * 900)
+    rows = spark.range(0, 400, 1, 8).select(
+        F.concat(F.lit("S"), (F.col("id") % 40).cast("string")).alias("sector"), F.lit(1.0).alias("avg_price"), F.lit(2).alias("total_volume"),
+        F.lit(None).cast("double").alias("avg_change_percent"), at.alias("window_end_time")).persist()
+    rows.count()
+    try:
+        few = rows.where(read.asNondeterministic()("sector"))
+        sinks.batch_writer(str(tmp_path / "out"), SECTOR_PERFORMANCE, small=True, keep=False, run="q")(few, 0)
+    finally:
+        rows.unpersist()
+    stored = sinks.stored_rows(spark, str(tmp_path / "out"), SECTOR_PERFORMANCE)
+    assert stored.count() == 10 and len(stored.inputFiles()) == 1
+    assert max(file.stat().st_size for file in seen.iterdir()) == 50
