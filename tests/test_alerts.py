@@ -7,6 +7,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from tickloom.operators.previous import with_previous
@@ -68,6 +69,21 @@ def test_rules_of_all_kinds_equal_brute_force(spark):
     assert fired(spark, [], *rows) == []
 
 
+def test_a_rule_for_all_symbols_does_not_bring_all_ticks_to_one_task(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        ticks = spark.createDataFrame([(f"S{i}", 11.0, 1, 0.0, at(i)) for i in range(400)], TICKS)
+        found = alerts.threshold_alerts(ticks, rules(spark, ("*", "any", "price", True, 10.0), ("S1", "own", "price", True, 10.0)))
+        by_task = {r.task: r["count"] for r in found.groupBy(F.spark_partition_id().alias("task")).count().collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(by_task.values()) == 401 and max(by_task.values()) < 200
+
+
 def test_the_tick_before_runs_over_days(spark):
     frame = with_previous(spark.createDataFrame([("A", 1.0, 1, 0.0, at(0))], TICKS))
     assert "hashpartitioning(symbol#" in plan_of(frame) and "day#" in plan_of(frame)

@@ -49,8 +49,10 @@ def _in_batch(rows: DataFrame) -> DataFrame:
 def _in_stream(rows: DataFrame) -> DataFrame:
     """A symbol's last tick is its state, so state grows with symbols, and a group holds one micro-batch of a symbol."""
     schema = ", ".join(["symbol string", *[f"{c} {_TYPES[c]}" for c in ORDER], *[f"previous_{c} double" for c in VALUES]])
-    return rows.groupBy("symbol").applyInPandasWithState(
+    followed = rows.groupBy("symbol").applyInPandasWithState(
         _follow, schema, ", ".join(f"{c} {_TYPES[c]}" for c in ORDER), "append", "NoTimeout")
+    # Rows as they come from Python can't be shuffled ("ColumnarBatchRow cannot be cast"); a computed column makes others of them.
+    return followed.withColumn("symbol", F.concat("symbol", F.lit("")))
 
 
 def _follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

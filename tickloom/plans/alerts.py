@@ -20,12 +20,16 @@ EVERY = "*"
 def threshold_alerts(ticks: DataFrame, rules: DataFrame) -> DataFrame:
     """symbol, alert_type, value, threshold, triggered_at for ticks in a batch or a stream and a table of rules.
 
-    Ticks meet the rules by an equality join, whose size Spark checks before it broadcasts. A rule that stands twice
+    Ticks meet their symbol's rules by an equality join, whose size Spark checks before it broadcasts. The rules for all
+    symbols go to every task instead: as a key of that join they would bring all ticks to one. A rule that stands twice
     fires twice.
     """
-    rules = rules.select(F.col("symbol").alias("rule"), "alert_type", "watched", "above", F.col("threshold").cast("double").alias("threshold"))
-    keys = F.explode(F.array_distinct(F.array("symbol", F.lit(EVERY))))
-    ruled = with_previous(ticks).withColumn("rule", keys).join(rules, "rule")
+    rule = F.struct("alert_type", "watched", "above", F.col("threshold").cast("double").alias("threshold"))
+    own = rules.where(F.col("symbol") != EVERY).groupBy("symbol").agg(F.collect_list(rule).alias("own"))
+    common = rules.where(F.col("symbol") == EVERY).agg(F.collect_list(rule).alias("common"))  # one row, also of no rules
+    met = with_previous(ticks).join(own, "symbol", "left").crossJoin(F.broadcast(common))
+    every = F.when(F.col("own").isNull(), F.col("common")).otherwise(F.concat("own", "common"))
+    ruled = met.select("*", F.inline(every))
     value, before = _watched(""), _watched("previous_")
     fires = _beyond(value) & ~F.coalesce(_beyond(before), F.lit(False))
     return ruled.where(fires).select("symbol", "alert_type", value.alias("value"), "threshold", F.col("timestamp").alias("triggered_at"))
