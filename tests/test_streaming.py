@@ -288,3 +288,25 @@ def test_no_task_reads_all_that_is_kept_for_a_few_rows(spark, tmp_path):
     stored = sinks.stored_rows(spark, str(tmp_path / "out"), SECTOR_PERFORMANCE)
     assert stored.count() == 10 and len(stored.inputFiles()) == 1
     assert max(file.stat().st_size for file in seen.iterdir()) == 50
+
+
+def test_messages_are_encoded_only_where_they_are_sent(spark, tmp_path, monkeypatch):
+    from tickloom.catalog import registry
+
+    sent, encode = [], registry.encode_ticks
+    monkeypatch.setattr(registry, "encode_ticks", lambda ticks: (sent.append(ticks.count()), encode(ticks))[1])
+    streams = list(registry._late_streams(spark, SMALL))
+    ticks = ev.wire_ticks(ev.events(spark, SMALL)).groupBy(F.to_date("timestamp").alias("d")).count().orderBy("d").collect()
+    middle, counts = len(ticks) // 2, [r["count"] for r in ticks]
+    assert len(streams) == 3 and sent == [sum(counts[:middle]), sum(counts[middle:]), counts[0]]
+
+
+def test_the_rules_that_a_row_breaks_are_counted(spark):
+    from tickloom.operators.quality import apply_contract, broken_rules
+
+    rows = spark.createDataFrame([("S", 1.0, 1, None, 0), (None, 1e12, 1, None, 0), ("S" * 60, None, 1, None, 0)], (
+        "sector string, avg_price double, total_volume long, avg_change_percent double, at long")).withColumn("window_end_time", F.timestamp_seconds("at")).drop("at")
+    found = broken_rules(SECTOR_PERFORMANCE)
+    got = apply_contract(rows, SECTOR_PERFORMANCE).agg(*[F.count_if(c).alias(rule) for rule, c in found.items()]).first().asDict()
+    assert {rule: n for rule, n in got.items() if n} == {
+        "sector is null": 1, "sector longer than 50": 1, "avg_price is null": 1, "avg_price out of range": 1}
