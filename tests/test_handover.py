@@ -112,3 +112,20 @@ def test_a_query_without_a_watermark_has_released_nothing(spark, tmp_path):
     logged(tmp_path, "commits", 0, nextBatchWatermarkMs=0)
     assert handover.last_watermark(spark, str(tmp_path)) is None
     assert handover.replay_from(spark, str(tmp_path), 30) is None
+
+
+def test_the_moved_query_takes_its_messages_load_by_load(spark, tmp_path, monkeypatch):
+    from tests.conftest import SMALL
+    from tickloom.catalog import registry
+
+    made, scratch, sent, send = {}, registry.scratch_dir, [], registry._sent
+    monkeypatch.setattr(registry, "scratch_dir", lambda s, name: made.setdefault(name, scratch(s, name)))
+    monkeypatch.setattr(registry, "_sent", lambda ticks, messages: (sent.append(ticks.count()), send(ticks, messages))[1])
+    monkeypatch.setattr(registry, "ROWS_PER_STATE", 60)
+    moved = registry.queries()["stream_moved_state"](spark, SMALL)
+    plain = registry.queries()["stream_moving_averages"](spark, SMALL)
+    assert sorted(moved.collect()) == sorted(plain.collect()) and moved.count()
+    ticks = registry.ev.wire_ticks(registry.ev.events(spark, SMALL)).count()
+    assert len(sent) >= 5 and sum(sent) == ticks and max(sent[:3]) <= 3 * 60 and max(sent) <= 7 * 60
+    batches = spark.read.text(f"{made['moved-old']}/commits").selectExpr("_metadata.file_name").distinct().count()
+    assert batches > 2  # each load is a micro-batch
